@@ -8,7 +8,7 @@ windows are hashed for the whole corpus. Anchors that occur once are dropped;
 windows around the others are extended to their full length, by 96 bits of hash
 over all words, and all but the earliest are removed.
 
-Hashes travel packed: a batch of documents gives one row for each slice of the
+Hashes travel packed, byte by byte: a batch of documents gives one row for each slice of the
 hash range, not a row for each anchor. A batch passes on each hash once, so a
 passage in a third of all documents costs its slice one entry from a batch; the
 batch's other occurrences are known to repeat at once and go to their own
@@ -18,7 +18,7 @@ nothing is collected.
 Order is by id, then start. Defined results: null and empty texts have no
 windows. Null ids come after all others. Rows that repeat in full count as one
 document and get the same result; other rows that share an id are ordered by a
-hash of their texts. Texts of fewer words than a window are never cut. Other
+hash (32 bits) of their texts. Texts of fewer words than a window are never cut. Other
 columns pass through unchanged. An empty table gives an empty one.
 """
 
@@ -74,6 +74,16 @@ def _split(text: str | None) -> list[bytes]:
     return (text or "").encode("utf-8", "surrogatepass").split()
 
 
+def _planes(a: np.ndarray) -> bytes:
+    """An array's bytes, all first ones first: shuffle compression then squeezes what sorted or small numbers share."""
+    return np.ascontiguousarray(a.view(np.uint8).reshape(len(a), -1).T).tobytes()
+
+
+def _unplaned(b: bytes, kind: str) -> np.ndarray:
+    wide = np.dtype(kind).itemsize
+    return np.ascontiguousarray(np.frombuffer(b, np.uint8).reshape(wide, -1).T).view(kind).ravel()
+
+
 def _packed(rows: list[tuple]) -> pa.RecordBatch:
     cols = list(zip(*rows, strict=True)) if rows else [()] * 6
     kinds = [pa.int32(), pa.int32(), *[pa.binary()] * 4]
@@ -105,8 +115,9 @@ def _emit(ids: np.ndarray, tags: np.ndarray, owner: np.ndarray, pos: np.ndarray,
     cuts = np.flatnonzero(np.concatenate(([True], part[1:] != part[:-1]))).tolist() + [len(part)] if len(part) else [0]
     for a, b in zip(cuts[:-1], cuts[1:], strict=True):
         used, local = np.unique(owner[a:b], return_inverse=True)
-        ref = np.stack([local, pos[a:b]], 1).astype("<u4")
-        yield int(part[a]), 0, np.stack([ids[used], tags[used]], 1).astype("<i8").tobytes(), h[a:b].astype("<u8").tobytes(), more[a:b].astype("<u4").tobytes(), ref.tobytes()
+        owners = np.concatenate((np.diff(ids[used], prepend=0), tags[used])).astype("<i8")
+        ref = np.concatenate((local, pos[a:b])).astype("<u4")
+        yield int(part[a]), 0, _planes(owners), _planes(h[a:b].astype("<u8")), _planes(more[a:b].astype("<u4")), _planes(ref)
 
 
 def _known(ids: np.ndarray, tags: np.ndarray, owner: np.ndarray, pos: np.ndarray, slices: int) -> Iterator[tuple]:
@@ -142,14 +153,14 @@ def _merged(batches: Iterator[pa.RecordBatch], earliest: bool) -> Iterator[pa.Re
             if kind:
                 out.append((*np.frombuffer(owners, "<i8").tolist(), refs))
                 continue
-            own, ref = np.frombuffer(owners, "<i8").reshape(-1, 2), np.frombuffer(refs, "<u4").reshape(-1, 2)
-            ids.append(own[:, 0])
-            tags.append(own[:, 1])
-            owner.append(ref[:, 0].astype(np.int64) + n)
-            pos.append(ref[:, 1])
-            h.append(np.frombuffer(hashes, "<u8"))
-            more.append(np.frombuffer(mores, "<u4"))
-            n += len(own)
+            own, ref = _unplaned(owners, "<i8").reshape(2, -1), _unplaned(refs, "<u4").reshape(2, -1)
+            ids.append(np.cumsum(own[0]))
+            tags.append(own[1])
+            owner.append(ref[0].astype(np.int64) + n)
+            pos.append(ref[1])
+            h.append(_unplaned(hashes, "<u8"))
+            more.append(_unplaned(mores, "<u4"))
+            n += own.shape[1]
         if out:
             yield _marks(out)
     if not n:
@@ -200,7 +211,7 @@ def covered(starts: np.ndarray, n: int, window: int) -> np.ndarray:
 
 def repeated_windows(keyed: DataFrame, by_doc: DataFrame, window: int, tasks: int) -> DataFrame:
     """_id, _tag and _marks (packed starts) of the windows that also start earlier."""
-    anchor, slices = window - PERIOD + 1, 8 * tasks
+    anchor, slices = window - PERIOD + 1, tasks
     cover = np.zeros(PERIOD, bool)
     cover[list(COVER)] = True
 
@@ -213,7 +224,8 @@ def repeated_windows(keyed: DataFrame, by_doc: DataFrame, window: int, tasks: in
                     at = np.flatnonzero(cover[np.arange(len(h) - anchor + 1) % PERIOD])
                     owner.append(np.full(len(at), k))
                     pos.append(at)
-                    hs.append(_windows(h, at, anchor, _ONE))
+                    # 48 bits will do: a chance match only costs a look at the windows around it
+                    hs.append(_windows(h, at, anchor, _ONE) & ~np.uint64(0xFFFF))
             if hs:
                 h = np.concatenate(hs)
                 yield _packed(list(_emit(ids, tags, np.concatenate(owner), np.concatenate(pos), h, np.zeros(len(h), np.uint32), slices, False)))
@@ -256,7 +268,7 @@ def substring_dedup(docs: DataFrame, window: int = 20, id_col: str = "doc_id", t
     spark = docs.sparkSession
     ship(spark)
     key = F.coalesce(F.col(id_col).cast("long"), F.lit(LAST_ID))
-    keyed = docs.select(key.alias("_id"), F.xxhash64(text_col).alias("_tag"), F.col(text_col).alias("_text"), F.struct(*[F.col(c) for c in docs.columns if c != text_col]).alias("_row"))
+    keyed = docs.select(key.alias("_id"), F.hash(F.xxhash64(text_col)).cast("long").alias("_tag"), F.col(text_col).alias("_text"), F.struct(*[F.col(c) for c in docs.columns if c != text_col]).alias("_row"))
     n = partitions(spark)
     by_doc = keyed.repartition(n, "_id", "_tag")
     marks = repeated_windows(keyed, by_doc, window, n)
