@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .byte_bpe import encode, read_ranks
 from .common import remainder, sha256_hex, table
+from .fingerprints import document_fingerprints
 from .line_dedup import line_dedup
 from .packing import pack_documents
 from .quality import quality_scores
@@ -31,6 +33,13 @@ def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("_id").alias("doc_id"), F.lpad(F.lower(F.hex("_fp")), 16, "0").alias("fingerprint"), F.col("_component").alias("component_id"))
 
 
+def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    done = encode(_documents(spark, sf_dir), read_ranks(_vocabulary("byte_bpe_50k.tiktoken")), public_tokenizers.PATTERN)
+    return done.select("doc_id", (F.length("_ids") / 4).cast("long").alias("n_tokens"), sha256_hex(F.col("_ids")).alias("ids_sha256"), sha256_hex(F.col("_decoded")).alias("decoded_sha256"))
+
+
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = line_dedup(_documents(spark, sf_dir), count=True)
     return kept.select("doc_id", F.col("_n_lines").alias("n_lines"), F.col("_n_dropped").alias("n_dropped"), sha256_hex(F.coalesce("text", F.lit(""))).alias("kept_sha256"))
@@ -41,6 +50,14 @@ def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", F.col("_n_words").alias("n_words"), F.col("_n_removed").alias("n_removed"), sha256_hex(F.col("text")).alias("kept_sha256"))
 
 
+def op7_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = document_fingerprints(_documents(spark, sf_dir))
+    return out.select(
+        "doc_id", F.col("_n_chars").alias("n_chars"), sha256_hex(F.col("_edited")).alias("edited_sha256"), F.col("_fingerprint").alias("fingerprint"),
+        F.col("_edited_fingerprint").alias("edited_fingerprint"), F.col("_near_edited").alias("near_edited"), F.col("_near_next").alias("near_next"),
+    )
+
+
 def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     places = pack_documents(_documents(spark, sf_dir), _vocabulary("word_bpe_49k.json"))
     return places.select(F.col("_id").alias("doc_id"), "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
@@ -58,5 +75,5 @@ def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op2_simhash_near_dedup, op5_line_dedup, op6_substring_dedup, op8_best_fit_packing, op9_quality_classifier, op10_url_filters)
+    for f in (op2_simhash_near_dedup, op4_byte_bpe, op5_line_dedup, op6_substring_dedup, op7_document_fingerprints, op8_best_fit_packing, op9_quality_classifier, op10_url_filters)
 }
