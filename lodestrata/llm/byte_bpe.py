@@ -55,25 +55,23 @@ def fold_merges(piece: str, ranks: str) -> str:
     """SQL: the ids of a piece (a binary expression). The state holds parts (hex) and the ranks of neighbouring pairs."""
 
     def rank(x: str) -> str:
-        return f"try_element_at(get({ranks}, cast(crc32({x}) % {BUCKETS} as int)), {x})"
+        return f"try_element_at(get(m, cast(crc32({x}) % {BUCKETS} as int)), {x})"
 
     def let(value: str, name: str, body: str) -> str:
         return f"element_at(transform(array({value}), {name} -> {body}), 1)"
 
-    def pair(parts: str, i: str) -> str:
-        return f"concat(get({parts}, {i}), get({parts}, {i} + 1))"
-
+    # parts p and, beside each, the rank r of it and the part after it
     parts = "transform(sequence(0, length(h) div 2 - 1), i -> substring(h, 2 * i + 1, 2))"
-    start = let(parts, "p", f"named_struct('p', p, 'r', transform(sequence(0, size(p) - 2), i -> {let(pair('p', 'i'), 'x', rank('x'))}))")
-    # the leftmost pair of the least rank becomes one part; its neighbours' pairs get new ranks
-    merged = f"concat(slice(t.p, 1, a - 1), array({pair('t.p', 'a - 1')}), slice(t.p, a + 2, size(t.p)))"
-    left = f"if(a > 1, array({let(pair('q', 'a - 2'), 'x', rank('x'))}), array())"
-    right = f"if(a < size(q), array({let(pair('q', 'a - 1'), 'x', rank('x'))}), array())"
-    again = f"concat(slice(t.r, 1, greatest(a - 2, 0)), {left}, {right}, slice(t.r, a + 2, size(t.r)))"
-    step = let("cast(array_position(t.r, array_min(t.r)) as int)", "a", f"if(a is null, t, {let(merged, 'q', f'named_struct("p", q, "r", {again})')})")
+    pairs = f"zip_with(p, slice(p, 2, size(p)), (x, y) -> {let('concat(x, y)', 'z', rank('z'))})"
+    start = let(parts, "p", f"named_struct('p', p, 'r', {pairs})")
+    # the leftmost pair of the least rank becomes part z; only its neighbours' pairs get new ranks
+    merged = "flatten(array(slice(t.p, 1, a - 1), array(z), slice(t.p, a + 2, size(t.p))))"
+    left, right = let("concat(get(t.p, a - 2), z)", "x", rank("x")), let("concat(z, get(t.p, a + 1))", "x", rank("x"))
+    again = f"flatten(array(slice(t.r, 1, greatest(a - 2, 0)), if(a > 1, array({left}, {right}), array({right})), slice(t.r, a + 2, size(t.r))))"
+    step = let("cast(array_position(t.r, array_min(t.r)) as int)", "a", f"if(a is null, t, {let('concat(get(t.p, a - 1), get(t.p, a))', 'z', f'named_struct("p", {merged}, "r", {again})')})")
     fold = f"aggregate(sequence(2, length(h) div 2), s, (t, i) -> {step}, t -> transform(t.p, x -> {rank('x')}))"
     whole = let(rank("h"), "w", f"case when w is not null then array(w) else {let(start, 's', fold)} end")
-    return let(f"hex({piece})", "h", f"if(length(h) = 0, cast(array() as array<int>), {whole})")
+    return let(ranks, "m", let(f"hex({piece})", "h", f"if(length(h) = 0, cast(array() as array<int>), {whole})"))
 
 
 def heap_merges(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
@@ -211,7 +209,7 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text_col: str
                     yield pa.RecordBatch.from_arrays([c.slice(a, 256) for c in cols], ["_row", "_ids", "_decoded"][: len(cols)])
 
     batched = keyed.mapInArrow(cut_rows, f"rows array<{kind.simpleString()}>, codes binary, sizes binary, pieces array<binary>, long array<struct<i:int,ids:array<int>>>")
-    ids = F.expr(f"transform(pieces, w -> {fold_merges('w', rank_map(ranks))})")
+    ids = F.expr(f"transform(pieces, b -> {fold_merges('b', rank_map(ranks))})")
     merged = batched.select("rows", "codes", "sizes", ids.alias("ids"), "long")
     done = merged.mapInArrow(looked_up, f"_row {kind.simpleString()}, _ids binary" + ", _decoded binary" * decode)
     return done.select(*[F.col("_row").getField(c).alias(c) for c in kept], "_ids", *["_decoded"] * decode)
