@@ -24,7 +24,6 @@ columns pass through unchanged. An empty table gives an empty one.
 
 from __future__ import annotations
 
-from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -144,14 +143,53 @@ def _batches(batches: Iterator[pa.RecordBatch], chars: int = 48_000_000) -> Iter
         yield np.array(held[0], np.int64), np.array(held[1], np.int64), held[2], held[3]
 
 
-def _merged(batches: Iterator[pa.RecordBatch], earliest: bool) -> Iterator[pa.RecordBatch]:
-    """For the slices of one task: (_id, _tag, _pos) of repeated entries, with earliest of all but the first."""
+def _dealt(i: np.ndarray, t: np.ndarray, pos: np.ndarray, slices: int) -> Iterator[pa.RecordBatch]:
+    """Places as one row for each slice of documents, whatever their number."""
+    part = ((i * 40_503 ^ t) & 0x7FFFFFFF) % slices
+    order = np.lexsort((pos, t, i, part))
+    part, i, t, pos = part[order], i[order], t[order], pos[order]
+    cuts = np.flatnonzero(np.concatenate(([True], part[1:] != part[:-1]))).tolist() + [len(part)]
+    rows = []
+    for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+        head = np.flatnonzero(np.concatenate(([True], (i[a + 1 : b] != i[a : b - 1]) | (t[a + 1 : b] != t[a : b - 1]))))
+        own = np.concatenate((np.diff(i[a:b][head], prepend=0), t[a:b][head], np.diff(head, append=b - a))).astype("<i8")
+        rows.append((int(part[a]), _planes(own), _planes(pos[a:b].astype("<u4"))))
+    s, o, r = zip(*rows, strict=True)
+    yield pa.RecordBatch.from_arrays([pa.array(s, pa.int32()), pa.array(o, pa.binary()), pa.array(r, pa.binary())], ["_slice", "_owners", "_ref"])
+
+
+def _documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """_id, _tag and _marks (packed positions) of each document of one task's slices."""
+    i, t, pos = [], [], []
+    for b in batches:
+        for owners, refs in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True):
+            own = _unplaned(owners, "<i8").reshape(3, -1)
+            i.append(np.repeat(np.cumsum(own[0]), own[2]))
+            t.append(np.repeat(own[1], own[2]))
+            pos.append(_unplaned(refs, "<u4"))
+    if not i:
+        return
+    i, t, pos = map(np.concatenate, (i, t, pos))
+    order = np.lexsort((pos, t, i))
+    i, t, pos = i[order], t[order], pos[order].astype("<u4")
+    cuts = np.flatnonzero(np.concatenate(([True], (i[1:] != i[:-1]) | (t[1:] != t[:-1])))).tolist() + [len(i)]
+    for k in range(0, len(cuts) - 1, 2_000):
+        some = cuts[k : k + 2_001]
+        rows = [(int(i[a]), int(t[a]), pos[a:b].tobytes()) for a, b in zip(some[:-1], some[1:], strict=True)]
+        x, y, z = zip(*rows, strict=True)
+        yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()), pa.array(y, pa.int64()), pa.array(z, pa.binary())], ["_id", "_tag", "_marks"])
+
+
+def _merged(batches: Iterator[pa.RecordBatch], earliest: bool, slices: int) -> Iterator[pa.RecordBatch]:
+    """For the slices of one task, the places of repeated entries, with earliest of all but the first, dealt by document."""
     ids, tags, owner, pos, h, more, n = [], [], [], [], [], [], 0
+    out: list[tuple] = []
     for b in batches:
-        out = []
         for kind, owners, hashes, mores, refs in zip(*(b.column(k).to_pylist() for k in range(1, 6)), strict=True):
             if kind:
-                out.append((*np.frombuffer(owners, "<i8").tolist(), refs))
+                i, t = np.frombuffer(owners, "<i8").tolist()
+                ref = np.frombuffer(refs, "<u4")
+                out.append((np.full(len(ref), i), np.full(len(ref), t), ref))
                 continue
             own, ref = _unplaned(owners, "<i8").reshape(2, -1), _unplaned(refs, "<u4").reshape(2, -1)
             ids.append(np.cumsum(own[0]))
@@ -161,44 +199,29 @@ def _merged(batches: Iterator[pa.RecordBatch], earliest: bool) -> Iterator[pa.Re
             h.append(_unplaned(hashes, "<u8"))
             more.append(_unplaned(mores, "<u4"))
             n += own.shape[1]
-        if out:
-            yield _marks(out)
-    if not n:
-        return
-    ids, tags, owner, pos, h, more = map(np.concatenate, (ids, tags, owner, pos, h, more))
-    # the first of each hash by id, tag and position; equal places are one
-    by = np.argsort(h, kind="stable")
-    twice = np.zeros(len(h), bool)
-    eq = h[by][1:] == h[by][:-1]
-    twice[by[1:][eq]] = twice[by[:-1][eq]] = True
-    owner, pos, h, more = owner[twice], pos[twice], h[twice], more[twice]
-    order = np.lexsort((pos, tags[owner], ids[owner], more, h))
-    owner, pos, h, more = owner[order], pos[order], h[order], more[order]
-    if not len(h):
-        return
-    head = np.concatenate(([True], (h[1:] != h[:-1]) | (more[1:] != more[:-1])))
-    i, t = ids[owner], tags[owner]
-    same = np.concatenate(([False], (i[1:] == i[:-1]) & (t[1:] == t[:-1]) & (pos[1:] == pos[:-1]) & ~head[1:]))
-    i, t, pos, head = i[~same], t[~same], pos[~same], head[~same]
-    hit = ~head if earliest else ~(head & np.concatenate((head[1:], [True])))
-    i, t, pos = i[hit], t[hit], pos[hit]
-    if not len(i):
-        return
-    order = np.lexsort((pos, t, i))
-    i, t, pos = i[order], t[order], pos[order]
-    cuts = np.flatnonzero(np.concatenate(([True], (i[1:] != i[:-1]) | (t[1:] != t[:-1])))).tolist() + [len(i)]
-    for k in range(0, len(cuts) - 1, 10_000):
-        some = cuts[k : k + 10_001]
-        yield _marks([(int(i[a]), int(t[a]), pos[a:b].astype("<u4").tobytes()) for a, b in zip(some[:-1], some[1:], strict=True)])
-
-
-def _marks(rows: list[tuple]) -> pa.RecordBatch:
-    i, t, p = zip(*rows, strict=True)
-    return pa.RecordBatch.from_arrays([pa.array(i, pa.int64()), pa.array(t, pa.int64()), pa.array(p, pa.binary())], ["_id", "_tag", "_pos"])
-
-
-def _positions(marks: list[bytes] | None) -> np.ndarray:
-    return np.unique(np.concatenate([np.frombuffer(m, "<u4") for m in marks])).astype(np.int64) if marks else np.empty(0, np.int64)
+    if n:
+        ids, tags, owner, pos, h, more = map(np.concatenate, (ids, tags, owner, pos, h, more))
+        by = np.argsort(h, kind="stable")
+        twice = np.zeros(len(h), bool)
+        eq = h[by][1:] == h[by][:-1]
+        twice[by[1:][eq]] = twice[by[:-1][eq]] = True
+        owner, pos, h, more = owner[twice], pos[twice], h[twice], more[twice]
+        # the first of each hash by id, tag and position; equal places are one
+        order = np.lexsort((pos, tags[owner], ids[owner], more, h))
+        owner, pos, h, more = owner[order], pos[order], h[order], more[order]
+        i, t = ids[owner], tags[owner]
+        head, same = np.ones(len(h), bool), np.zeros(len(h), bool)
+        head[1:] = (h[1:] != h[:-1]) | (more[1:] != more[:-1])
+        same[1:] = (i[1:] == i[:-1]) & (t[1:] == t[:-1]) & (pos[1:] == pos[:-1]) & ~head[1:]
+        i, t, pos, head = i[~same], t[~same], pos[~same], head[~same]
+        hit = ~head if earliest else ~(head & np.append(head[1:], True)[: len(head)])
+        out.append((i[hit], t[hit], pos[hit]))
+    if sum(len(x[0]) for x in out):
+        yield from _dealt(*(np.concatenate(c).astype(np.int64) for c in zip(*out, strict=True)), slices)
+
+
+def _positions(marks: bytes | None) -> np.ndarray:
+    return np.frombuffer(marks or b"", "<u4").astype(np.int64)
 
 
 def covered(starts: np.ndarray, n: int, window: int) -> np.ndarray:
@@ -247,12 +270,12 @@ def repeated_windows(keyed: DataFrame, by_doc: DataFrame, window: int, tasks: in
                 yield _packed(list(_emit(ids, tags, *map(np.concatenate, (owner, pos, hs, more)), slices, True)))
 
     def gathered(rows: DataFrame, earliest: bool) -> DataFrame:
-        dealt = rows.repartition(tasks, "_slice")
-        one = dealt.mapInArrow(lambda b: _merged(b, earliest), "_id long, _tag long, _pos binary")
-        return one.groupBy("_id", "_tag").agg(F.collect_list("_pos").alias("_marks"))
+        hashes = rows.repartition(tasks, "_slice").mapInArrow(lambda b: _merged(b, earliest, slices), "_slice int, _owners binary, _ref binary")
+        return hashes.repartition(tasks, "_slice").mapInArrow(_documents, "_id long, _tag long, _marks binary")
 
     marked = gathered(keyed.select("_id", "_tag", "_text").mapInArrow(anchors, _ROW), False)
-    some = by_doc.join(marked, ["_id", "_tag"]).select("_id", "_tag", "_text", "_marks")
+    # with _row, though it isn't used, so that the last join can read the same exchange of texts
+    some = by_doc.join(marked, ["_id", "_tag"]).select("_id", "_tag", "_text", "_marks", "_row")
     return gathered(some.mapInArrow(extended, _ROW), True)
 
 
