@@ -11,6 +11,7 @@ from .byte_bpe import encode, read_ranks
 from .common import remainder, sha256_hex, table
 from .fingerprints import document_fingerprints
 from .line_dedup import line_dedup
+from .maxent_lm import lm_scores
 from .packing import pack_documents
 from .quality import quality_scores
 from .simhash import simhash_components
@@ -28,6 +29,14 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id", "text")
 
 
+def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = lm_scores(_documents(spark, sf_dir))
+    return done.select(
+        F.col("_id").alias("doc_id"), F.col("_held_out").alias("held_out"), F.col("_n_tokens").alias("n_tokens"), F.col("_n_known").alias("n_known"),
+        F.col("_train_tokens").alias("train_tokens"), F.col("_base_score").alias("base_score"), F.col("_score").alias("score"),
+    )
+
+
 def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash_components(_documents(spark, sf_dir))
     return found.select(F.col("_id").alias("doc_id"), F.lpad(F.lower(F.hex("_fp")), 16, "0").alias("fingerprint"), F.col("_component").alias("component_id"))
@@ -75,5 +84,5 @@ def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op2_simhash_near_dedup, op4_byte_bpe, op5_line_dedup, op6_substring_dedup, op7_document_fingerprints, op8_best_fit_packing, op9_quality_classifier, op10_url_filters)
+    for f in (op1_lm_scoring, op2_simhash_near_dedup, op4_byte_bpe, op5_line_dedup, op6_substring_dedup, op7_document_fingerprints, op8_best_fit_packing, op9_quality_classifier, op10_url_filters)
 }
