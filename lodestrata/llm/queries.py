@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .ann import nearest_neighbours
 from .byte_bpe import encode, read_ranks
 from .common import remainder, sha256_hex, table
 from .fingerprints import document_fingerprints
@@ -42,6 +43,10 @@ def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("_id").alias("doc_id"), F.lpad(F.lower(F.hex("_fp")), 16, "0").alias("fingerprint"), F.col("_component").alias("component_id"))
 
 
+def op3_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest_neighbours(table(spark, sf_dir, "embeddings"))
+
+
 def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -84,5 +89,5 @@ def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_lm_scoring, op2_simhash_near_dedup, op4_byte_bpe, op5_line_dedup, op6_substring_dedup, op7_document_fingerprints, op8_best_fit_packing, op9_quality_classifier, op10_url_filters)
+    for f in (op1_lm_scoring, op2_simhash_near_dedup, op3_nearest_neighbours, op4_byte_bpe, op5_line_dedup, op6_substring_dedup, op7_document_fingerprints, op8_best_fit_packing, op9_quality_classifier, op10_url_filters)
 }
