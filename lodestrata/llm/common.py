@@ -15,6 +15,19 @@ SPACE = " \t\n\x0b\x0c\r"
 LAST_ID = 2**63 - 1
 
 
+_CACHES: list[dict] = []
+
+
+def cache_of(worker_cache: dict) -> dict:
+    """A cache of one Python worker; workers outlive stages, so one that starts to be used empties the others."""
+    if not any(c is worker_cache for c in _CACHES):
+        _CACHES.append(worker_cache)
+    for c in _CACHES:
+        if c is not worker_cache:
+            c.clear()
+    return worker_cache
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -66,7 +66,7 @@ class Codes(dict):
         self.hot = hot
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 1_500_000:
+        if len(self) > 600_000:
             self.clear()
         rank, _ = self.hot.get(word, (-1, 0))
         if 0 <= rank < FREQUENT:

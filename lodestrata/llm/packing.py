@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ship, written
+from .common import cache_of, ship, written
 
 GROUP_SIZE, MERGE, ISLANDS = 4096, 4, 2
 #: Byte-level vocabularies write bytes as letters: printable Latin-1 as itself, the others from U+0100 on.
@@ -49,7 +49,7 @@ class WordEncoder(dict):
     repeat far more often than words do. Both tables are emptied when full.
     """
 
-    MOST = 1_500_000
+    MOST = 600_000
 
     def __init__(self, path: str):
         import regex
@@ -82,6 +82,10 @@ class WordEncoder(dict):
         out = self[word] = b"".join(map(self.unit, self.cut(text)))
         return out
 
+    def clear(self) -> None:
+        super().clear()
+        self.units.clear()
+
     def document(self, text: str | None) -> bytes:
         return b"".join(map(self.__getitem__, (text or "").encode("utf-8", "surrogatepass").lower().split()))
 
@@ -89,7 +93,7 @@ class WordEncoder(dict):
 def encoder(path: str) -> WordEncoder:
     if path not in _ENCODERS:
         _ENCODERS[path] = WordEncoder(path)
-    return _ENCODERS[path]
+    return cache_of(_ENCODERS[path])
 
 
 def pieces(docs: DataFrame, tokenizer: str, capacity: int = 4096, end_id: int = 1, id_col: str = "doc_id", text_col: str = "text", keep_ids: bool = False) -> DataFrame:

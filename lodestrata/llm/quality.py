@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import remainder, ship
+from .common import cache_of, remainder, ship
 
 BITS = 20
 _RUNS = re.compile(rb"(.)\1+", re.DOTALL)
@@ -39,7 +39,7 @@ class _Codes(dict):
     """Word (bytes) to its hash in the low and its shape's in the high 32 bits."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 1_000_000:
+        if len(self) > 400_000:
             self.clear()
         shape = _RUNS.sub(rb"\1", word.translate(_SHAPE))
         code = self[word] = zlib.crc32(word.lower()) | zlib.crc32(shape) << 32
@@ -54,7 +54,7 @@ def features(text: str | None) -> np.ndarray:
     words = (text or "").encode("utf-8", "surrogatepass").split()
     if not words:
         return np.empty(0, np.uint64)
-    code = np.fromiter(map(_CODES.__getitem__, words), np.uint64, len(words))
+    code = np.fromiter(map(cache_of(_CODES).__getitem__, words), np.uint64, len(words))
     out = []
     for salt, h in ((1, code & _LOW), (2, code >> np.uint64(32))):
         out.append(h * np.uint64(0x9E3779B97F4A7C15) + np.uint64(salt))

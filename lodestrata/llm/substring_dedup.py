@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import LAST_ID, partitions, ship
+from .common import LAST_ID, cache_of, partitions, ship
 
 PERIOD, COVER = 13, (0, 1, 3, 9)
 #: hashes are dealt to slices by their upper bits
@@ -44,7 +44,7 @@ class _Words(dict):
     def __missing__(self, word: bytes) -> int:
         import xxhash
 
-        if len(self) > 1_000_000:
+        if len(self) > 400_000:
             self.clear()
         h = self[word] = xxhash.xxh3_64_intdigest(word)
         return h
@@ -54,7 +54,7 @@ _WORDS = _Words()
 
 
 def _hashes(words: list[bytes]) -> np.ndarray:
-    return np.fromiter(map(_WORDS.__getitem__, words), np.uint64, len(words))
+    return np.fromiter(map(cache_of(_WORDS).__getitem__, words), np.uint64, len(words))
 
 
 def _windows(h: np.ndarray, at: np.ndarray, size: int, factor: int) -> np.ndarray:
@@ -128,7 +128,7 @@ def _known(ids: np.ndarray, tags: np.ndarray, owner: np.ndarray, pos: np.ndarray
         yield int(tags[k]) % slices, 1, np.array([ids[k], tags[k]], "<i8").tobytes(), b"", b"", pos[a:b].astype("<u4").tobytes()
 
 
-def _batches(batches: Iterator[pa.RecordBatch], chars: int = 48_000_000) -> Iterator[tuple[np.ndarray, np.ndarray, list, list]]:
+def _batches(batches: Iterator[pa.RecordBatch], chars: int = 24_000_000) -> Iterator[tuple[np.ndarray, np.ndarray, list, list]]:
     """Ids, tags, texts and marked positions, many documents at a time."""
     held, size = ([], [], [], []), 0
     for b in batches:
