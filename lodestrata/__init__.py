@@ -1,0 +1 @@
+"""Analytics over UTXO-style transaction ledgers, on PySpark DataFrames."""
