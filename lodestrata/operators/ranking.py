@@ -46,4 +46,5 @@ def previous(df: DataFrame, keys: list[str], value: str, *order: Column, name: s
 
 def nearest_rank(df: DataFrame, value: str, quantiles: dict[str, float]) -> DataFrame:
     """The ceil(q n)-th smallest value for each name; exact."""
-    return df.agg(*[F.expr(f"percentile_disc({q}) within group (order by {value})").alias(name) for name, q in quantiles.items()])
+    kind = df.schema[value].dataType
+    return df.agg(*[F.expr(f"percentile_disc({q}) within group (order by {value})").cast(kind).alias(name) for name, q in quantiles.items()])

@@ -66,7 +66,7 @@ def _anchors(s: SparkSession, d: str) -> DataFrame:
 
 
 def _decisions(s: SparkSession, d: str) -> DataFrame:
-    return P.importance_v1(A.with_reasons(_features(s, d), _anchors(s, d)), J.CUTOFF_TIME, J.CAMPAIGN)
+    return P.importance_v1(A.with_reasons(_features(s, d), _anchors(s, d)).persist(), J.CUTOFF_TIME, J.CAMPAIGN)
 
 
 def _named(df: DataFrame) -> DataFrame:
@@ -74,7 +74,8 @@ def _named(df: DataFrame) -> DataFrame:
 
 
 def _candidates(s: SparkSession, d: str) -> DataFrame:
-    return C.strict_candidates(_variants(s, d))
+    """Kept, as queues and coverage both read it; in production it is the published artifact (sources.sinks.tier_buckets)."""
+    return C.strict_candidates(_variants(s, d).persist()).persist()
 
 
 def _coverage(s: SparkSession, d: str) -> DataFrame:
@@ -82,15 +83,15 @@ def _coverage(s: SparkSession, d: str) -> DataFrame:
     members = D.predictions(s, d).withColumnRenamed("address", "normalized_address")
     proven = D.evidence(s, d).where("evidence_tier in ('A', 'B')")
     explicit = D.requests(s, d).where("reason = 'known_watchlist' and priority > 90")
-    return V.coverage_state(_candidates(s, d), _named(direct), members, _named(proven), _named(D.conflicts(s, d).where("status = 'active'")), _named(explicit))
+    return V.coverage_state(_candidates(s, d), _named(direct), members, _named(proven), _named(D.conflicts(s, d).where("status = 'active'")), _named(explicit)).persist()
 
 
 def _claims(s: SparkSession, d: str) -> DataFrame:
-    return S.claims(D.evidence(s, d), D.reviews(s, d), D.overrides(s, d), D.AS_OF)
+    return S.claims(D.evidence(s, d), D.reviews(s, d), D.overrides(s, d), D.AS_OF).persist()
 
 
 def _resolutions(s: SparkSession, d: str) -> DataFrame:
-    return S.resolutions(D.evidence(s, d), _claims(s, d), D.overrides(s, d), D.AS_OF)
+    return S.resolutions(D.evidence(s, d), _claims(s, d), D.overrides(s, d), D.AS_OF).persist()
 
 
 @query
