@@ -16,7 +16,8 @@ Counts of all words come from one shuffle over all training documents, and
 rare words reach their documents by a join, never a broadcast. The model is
 trained in ROUNDS rounds: each has a share of the training documents; each task
 takes gradient steps on its own copy of the weights, blocks of weights are
-averaged over the tasks by a shuffle, and the average starts the next round. The
+averaged over the tasks by a shuffle, and the average starts the next round
+(the first starts from the word frequencies). The
 weights' size is fixed, whatever the corpus. Scoring is by sparse numpy batches:
 gathers of weight rows for many tokens at once.
 
@@ -83,6 +84,16 @@ def _zero() -> dict[str, np.ndarray]:
     return {n: np.zeros(s, np.float32) for n, s in _SHAPES.items()}
 
 
+def _unigram(counts: list[int], mass: np.ndarray) -> dict[str, np.ndarray]:
+    """Weights of the smoothed word frequencies, where training starts: counts of the frequent words, mass of the tail classes."""
+    w = _zero()
+    own = np.full(FREQUENT, 1e-6)
+    own[: len(counts)] = np.array(counts) + 0.5
+    w["word"][0] = np.log(own)
+    w["bias"][0] = np.log(np.concatenate((own.reshape(HEADS, SIZE).sum(axis=1), mass)))
+    return w
+
+
 def _history(bucket: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Buckets of the previous word, of the one before it, and of both; bucket BUCKETS - 1 stands before a text."""
     before = np.full(len(bucket), BUCKETS - 1)
@@ -180,10 +191,9 @@ def word_counts(docs: DataFrame, text_col: str) -> DataFrame:
     return docs.select(text_col).mapInArrow(counts, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def trained(docs: DataFrame, hot, text_col: str, id_col: str) -> dict[str, np.ndarray]:
-    """Weights after ROUNDS rounds; round r takes the documents whose id hash is r modulo ROUNDS."""
+def trained(docs: DataFrame, hot, weights: dict[str, np.ndarray], text_col: str, id_col: str) -> dict[str, np.ndarray]:
+    """weights after ROUNDS rounds; round r takes the documents whose id hash is r modulo ROUNDS."""
     sc = docs.sparkSession.sparkContext
-    weights = _zero()
     for number in range(ROUNDS):
         start = sc.broadcast(weights)
 
@@ -236,7 +246,7 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", m
     mass = np.full(TAIL, 0.5)  # n + (v + 1) / 2 of each tail class
     for r in classes:
         mass[r.c] = r.n + 0.5 * (r.v + 1)
-    weights = sc.broadcast(trained(train, hot, text_col, id_col))
+    weights = sc.broadcast(trained(train, hot, _unigram([r.n for r in top[:FREQUENT]], mass), text_col, id_col))
     base = float(np.log10(n + 0.5 * (v + 1)))
     idk = docs.schema[id_col].dataType.simpleString()
 
