@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from .common import ship
 
-SAMPLE, HOT, LONG, BUCKETS = 8_000, 1 << 17, 256, 1 << 15
+SAMPLE, HOT, LONG, BUCKETS = 40_000, 1 << 19, 256, 1 << 15
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -60,17 +60,22 @@ def fold_merges(piece: str, ranks: str) -> str:
     def let(value: str, name: str, body: str) -> str:
         return f"element_at(transform(array({value}), {name} -> {body}), 1)"
 
+    # binds without the copy that transform makes of a result
+    def state(value: str, name: str, body: str) -> str:
+        return f"aggregate(array({value}), named_struct('p', cast(array() as array<string>), 'r', cast(array() as array<int>)), (none, {name}) -> {body})"
+
     # parts p and, beside each, the rank r of it and the part after it
     parts = "transform(sequence(0, length(h) div 2 - 1), i -> substring(h, 2 * i + 1, 2))"
     pairs = f"zip_with(p, slice(p, 2, size(p)), (x, y) -> {let('concat(x, y)', 'z', rank('z'))})"
-    start = let(parts, "p", f"named_struct('p', p, 'r', {pairs})")
+    start = state(parts, "p", f"named_struct('p', p, 'r', {pairs})")
     # the leftmost pair of the least rank becomes part z; only its neighbours' pairs get new ranks
     merged = "flatten(array(slice(t.p, 1, a - 1), array(z), slice(t.p, a + 2, size(t.p))))"
     left, right = let("concat(get(t.p, a - 2), z)", "x", rank("x")), let("concat(z, get(t.p, a + 1))", "x", rank("x"))
     again = f"flatten(array(slice(t.r, 1, greatest(a - 2, 0)), if(a > 1, array({left}, {right}), array({right})), slice(t.r, a + 2, size(t.r))))"
-    step = let("cast(array_position(t.r, array_min(t.r)) as int)", "a", f"if(a is null, t, {let('concat(get(t.p, a - 1), get(t.p, a))', 'z', f'named_struct("p", {merged}, "r", {again})')})")
-    fold = f"aggregate(sequence(2, length(h) div 2), s, (t, i) -> {step}, t -> transform(t.p, x -> {rank('x')}))"
-    whole = let(rank("h"), "w", f"case when w is not null then array(w) else {let(start, 's', fold)} end")
+    joined = state("concat(get(t.p, a - 1), get(t.p, a))", "z", f"named_struct('p', {merged}, 'r', {again})")
+    step = state("cast(array_position(t.r, array_min(t.r)) as int)", "a", f"if(a is null, t, {joined})")
+    fold = f"aggregate(sequence(2, length(h) div 2), {start}, (t, i) -> {step}, t -> transform(t.p, x -> {rank('x')}))"
+    whole = let(rank("h"), "w", f"case when w is not null then array(w) else {fold} end")
     return let(ranks, "m", let(f"hex({piece})", "h", f"if(length(h) = 0, cast(array() as array<int>), {whole})"))
 
 
@@ -127,8 +132,10 @@ def _hot(docs: DataFrame, text_col: str, pattern: str, ranks: dict[bytes, int])
         some = some.sample(False, SAMPLE / n, 7)
     top = some.mapInArrow(counts, "piece binary, n long").where(F.length("piece") <= LONG).groupBy("piece").agg(F.sum("n").alias("n"))
     top = top.where("n > 1").orderBy(F.desc("n"), "piece").limit(HOT).select("piece")
-    rows = merged_pieces(top, ranks).collect()  # at most HOT
-    return {bytes(r.piece): np.array(r.ids, "<u4").tobytes() for r in rows}
+    rows = merged_pieces(top.repartition(HOT >> 13), ranks).toArrow()  # at most HOT, in packed form
+    lists = rows.column("ids").combine_chunks()
+    flat, ends = lists.flatten().to_numpy().astype("<u4").tobytes(), (np.cumsum(lists.value_lengths().to_numpy()) * 4).tolist()
+    return {p: flat[a:b] for p, a, b in zip(rows.column("piece").to_pylist(), [0, *ends[:-1]], ends, strict=True)}
 
 
 def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text_col: str = "text", decode: bool = True) -> DataFrame:
