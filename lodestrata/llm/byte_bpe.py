@@ -22,7 +22,6 @@ from __future__ import annotations
 import base64
 import heapq
 import json
-import zlib
 from collections import Counter
 from collections.abc import Iterator
 
@@ -33,7 +32,7 @@ from pyspark.sql import functions as F
 
 from .common import ship
 
-SAMPLE, HOT, LONG, BUCKETS = 40_000, 1 << 19, 256, 1 << 15
+SAMPLE, HOT, LONG, BUCKETS = 40_000, 1 << 19, 256, 1 << 16
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -43,11 +42,13 @@ def read_ranks(path: str) -> dict[bytes, int]:
 
 
 def rank_map(ranks: dict[bytes, int]) -> str:
-    """SQL for the literal: an array of BUCKETS maps from a piece in hex to its rank, by crc32."""
+    """SQL for the literal: an array of BUCKETS maps from a piece in hex to its rank, by XXH64."""
+    import xxhash
+
     buckets: list[dict[str, int]] = [{} for _ in range(BUCKETS)]
     for piece, rank in ranks.items():
         name = piece.hex().upper()
-        buckets[zlib.crc32(name.encode()) % BUCKETS][name] = rank
+        buckets[xxhash.xxh64_intdigest(name, 42) % BUCKETS][name] = rank
     return f"from_json('{json.dumps(buckets, separators=(',', ':'))}', 'array<map<string,int>>')"
 
 
@@ -55,7 +56,7 @@ def fold_merges(piece: str, ranks: str) -> str:
     """SQL: the ids of a piece (a binary expression). The state holds parts (hex) and the ranks of neighbouring pairs."""
 
     def rank(x: str) -> str:
-        return f"try_element_at(get(m, cast(crc32({x}) % {BUCKETS} as int)), {x})"
+        return f"try_element_at(get(m, cast(xxhash64({x}) & {BUCKETS - 1}L as int)), {x})"
 
     def let(value: str, name: str, body: str) -> str:
         return f"element_at(transform(array({value}), {name} -> {body}), 1)"
