@@ -40,11 +40,11 @@ from pyspark.sql import functions as F
 
 from .common import remainder, ship, written
 
-FREQUENT, SIZE, TAIL = 992, 32, 33
+FREQUENT, SIZE, TAIL = 480, 32, 17
 HEADS = FREQUENT // SIZE
 CLASSES = HEADS + TAIL
 BUCKETS, PAIRS = 4096, 16384
-ROUNDS, STEP, BATCH = 2, 0.15, 4096
+ROUNDS, STEP, BATCH = 2, 0.15, 8192
 #: words whose counts are broadcast: the most frequent, and no more than this
 HOT = 1 << 17
 END = b"\n"
