@@ -136,7 +136,7 @@ def _hot(docs: DataFrame, text_col: str, pattern: str, ranks: dict[bytes, int])
     rows = merged_pieces(top.repartition(HOT >> 13), ranks).toArrow()  # at most HOT, in packed form
     lists = rows.column("ids").combine_chunks()
     flat, ends = lists.flatten().to_numpy().astype("<u4").tobytes(), (np.cumsum(lists.value_lengths().to_numpy()) * 4).tolist()
-    return {p: flat[a:b] for p, a, b in zip(rows.column("piece").to_pylist(), [0, *ends[:-1]], ends, strict=True)}
+    return {p: flat[a:b] for p, a, b in zip(rows.column("piece").to_pylist(), [0, *ends][:-1], ends, strict=True)}
 
 
 def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text_col: str = "text", decode: bool = True) -> DataFrame:

@@ -113,6 +113,8 @@ def test_byte_bpe(spark):
         assert bytes(rows[i]._decoded) == (t or "").encode() == B.decode_ids(rows[i]._ids, ranks)
     assert rows[0]._id == "x"
     assert B.encode(frame(spark, texts).limit(0), ranks, P.PATTERN).count() == 0
+    for few in (["once"], [None], ["", None]):
+        assert [bytes(r._decoded) for r in B.encode(frame(spark, few), ranks, P.PATTERN).collect()] == [(t or "").encode() for t in few]
 
 
 def pieces(text):
