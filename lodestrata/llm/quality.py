@@ -39,7 +39,7 @@ class _Codes(dict):
     """Word (bytes) to its hash in the low and its shape's in the high 32 bits."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 400_000:
+        if len(self) > 250_000:
             self.clear()
         shape = _RUNS.sub(rb"\1", word.translate(_SHAPE))
         code = self[word] = zlib.crc32(word.lower()) | zlib.crc32(shape) << 32
@@ -66,19 +66,21 @@ def features(text: str | None) -> np.ndarray:
 SCALE = 20.0
 
 
-def ftrl(samples: list[tuple[np.ndarray, int]], alpha: float = 0.5, beta: float = 1.0, l1: float = 1e-4, l2: float = 1e-4, epochs: int = 3) -> np.ndarray:
+def sparse(f: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A document as feature numbers and values, the bias last; 8 bytes a feature."""
+    at, times = np.unique(f, return_counts=True)
+    return np.append(at, 2**BITS).astype(np.int32), np.append(times * (SCALE / max(1, len(f))), 1.0).astype(np.float32)
+
+
+def ftrl(samples: list[tuple[tuple[np.ndarray, np.ndarray], int]], alpha: float = 0.5, beta: float = 1.0, l1: float = 1e-4, l2: float = 1e-4, epochs: int = 3) -> np.ndarray:
     """Weights, the bias last, after the samples have been seen in turn, epochs times."""
-    z, n, size = np.zeros(2**BITS + 1), np.zeros(2**BITS + 1), 2**BITS
-    sparse = []
-    for f, y in samples:
-        at, times = np.unique(f, return_counts=True)
-        sparse.append((np.append(at.astype(np.int64), size), np.append(times * (SCALE / max(1, len(f))), 1.0), y))
+    z, n = np.zeros(2**BITS + 1), np.zeros(2**BITS + 1)
 
     def weights(at: np.ndarray | slice) -> np.ndarray:
         return np.where(np.abs(z[at]) <= l1, 0.0, -(z[at] - np.sign(z[at]) * l1) / ((beta + np.sqrt(n[at])) / alpha + l2))
 
     for _ in range(epochs):
-        for at, x, y in sparse:
+        for (at, x), y in samples:
             w = weights(at)
             g = (1 / (1 + np.exp(-np.clip(w @ x, -35, 35))) - y) * x
             z[at] += g - (np.sqrt(n[at] + g * g) - np.sqrt(n[at])) / alpha * w
@@ -102,7 +104,7 @@ def fitted(docs: DataFrame, train: DataFrame, max_rows: int = 12_000, id_col: st
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = []
         for b in batches:
-            seen += [(h, i, zlib.crc32((t or "").encode("utf-8", "surrogatepass")), features(t), y) for h, i, t, y in zip(*(b.column(k).to_pylist() for k in range(4)), strict=True)]
+            seen += [(h, i, zlib.crc32((t or "").encode("utf-8", "surrogatepass")), sparse(features(t)), y) for h, i, t, y in zip(*(b.column(k).to_pylist() for k in range(4)), strict=True)]
         seen.sort(key=lambda x: x[:3])
         yield pa.RecordBatch.from_arrays([pa.array([ftrl([x[3:] for x in seen]).astype("<f4").tobytes()])], ["w"])
 
