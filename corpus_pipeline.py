@@ -1,8 +1,8 @@
 """A corpus through five stages, each written as Parquet and read again by the next.
 
-In order: the quality classifier (rejected documents go), line dedup, SimHash
-near-dedup (one document of each group stays), substring dedup, packing. All
-but the last return the columns of documents.
+In order: the quality classifier (rejected documents go), line dedup, near-dedup
+by 5-word shingles at a Jaccard index of 0.8 (one document of each group stays),
+substring dedup, packing. All but the last return the columns of documents.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ from lodestrata.llm.common import table, written
 from lodestrata.llm.line_dedup import line_dedup
 from lodestrata.llm.packing import pack_documents
 from lodestrata.llm.quality import quality_scores
-from lodestrata.llm.simhash import near_dedup
+from lodestrata.llm.resemblance import resemblance_dedup
 from lodestrata.llm.substring_dedup import substring_dedup
 
 
@@ -28,7 +28,7 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return near_dedup(docs)
+    return resemblance_dedup(docs)
 
 
 def passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
