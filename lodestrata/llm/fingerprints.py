@@ -11,10 +11,13 @@ from cells whose check fits and takes them out of their other cells until
 nothing is left (a check that fits by chance leaves something). Where
 that fails, there were too many differences: both versions are sketched again,
 larger (more such sketches, each with its share of the digests, under another
-salt), and larger again, until every digest is recovered.
+salt), and larger again, up to TRIES in all. All shares have to succeed at once,
+which gets less likely and costs more with their number; where the last try
+fails, and where the two have over MANY digests, the differing digests are
+counted exactly, by the difference of the two sets.
 
 The likeness is the Jaccard index of the two sets: common / all, from the two
-sizes and the number of differing digests recovered.
+sizes and the number of differing digests.
 
 The next document comes from a window over buckets of 256 neighbouring ids; only
 the first document of each bucket is sent to another bucket.
@@ -34,8 +37,10 @@ from pyspark.sql.window import Window
 from .common import LAST_ID
 
 CELLS, QUARTERS, SHORT, LONG, BUCKET = 24, 4, 48, 384, 256
-#: no differing set that is left after the last of these is expected in any corpus
+#: sketches tried, the first and larger ones, before the sets themselves are compared
 TRIES = 8
+#: digests of both versions above which no larger sketch is tried
+MANY = 4096
 
 
 def let(value: str, name: str, body: str) -> str:
@@ -97,7 +102,7 @@ def _again(keys_a: str, keys_b: str, salt: int, shards: str) -> str:
 
 
 def likeness(a: str, b: str, keys_a: str, keys_b: str, share: int) -> str:
-    """Jaccard index, from sketches a and b and, where they are too small, larger ones of keys_a and keys_b.
+    """Jaccard index, from sketches a and b and, where they are too small, larger ones of keys_a and keys_b, else these sets themselves.
 
     The first larger try has a sketch for every share digests of both.
     """
@@ -105,7 +110,9 @@ def likeness(a: str, b: str, keys_a: str, keys_b: str, share: int) -> str:
     small = _differing(a, b, "0L")
     if share <= CELLS // 2:  # where all is expected to differ, a sketch can't hold more digests than it has cells
         small = f"if({both} > {CELLS}, null, {small})"
-    tries = [small] + [_again(keys_a, keys_b, k, f"cast(ceil({both} * {1.5 ** (k - 1) / share:.6f}D) as bigint)") for k in range(1, TRIES)]
+    larger = [_again(keys_a, keys_b, k, f"cast(ceil({both} * {1.5 ** (k - 1) / share:.6f}D) as bigint)") for k in range(1, TRIES)]
+    tries = [small, f"if({both} > {MANY}, null, coalesce({', '.join(larger)}))"] if larger else [small]
+    tries.append(f"size(array_except({keys_a}, {keys_b})) + size(array_except({keys_b}, {keys_a}))")
     return f"if({both} = 0, 1D, {let(f'coalesce({", ".join(tries)})', 'd', f'({both} - d) / cast({both} + d as double)')})"
 
 

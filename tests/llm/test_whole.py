@@ -51,3 +51,28 @@ def test_resemblance_of_a_large_group(spark):
     docs = spark.createDataFrame([(i, t) for i, t in enumerate([*texts, None, "", "One two", "one TWO"])] + [(None, texts[0])], "doc_id long, text string")
     assert sorted(r.doc_id or -1 for r in resemblance_dedup(docs).collect()) == [-1, -1, 301, 303]
     assert resemblance_dedup(docs.limit(0)).count() == 0
+
+
+def test_likeness_of_long_texts(spark):
+    from lodestrata.llm import fingerprints as G
+
+    texts = ["\n".join(f"{name} line {i}" for i in range(n)) for name, n in (("a", 6000), ("b", 9000))]
+    rows = G.document_fingerprints(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+
+    def parts(text):
+        lines = [p for p in text[G.LONG :].split("\n") if p]
+        return {text[i : i + G.SHORT] for i in range(0, G.LONG, G.SHORT)} | set(lines)
+
+    for r in rows:
+        for near, other in ((r._near_edited, r._edited), (r._near_next, texts[1 - r.doc_id])):
+            a, b = parts(r.text), parts(other)
+            assert near == pytest.approx(len(a & b) / len(a | b))
+
+
+def test_likeness_where_every_sketch_fails(spark, monkeypatch):
+    from lodestrata.llm import fingerprints as G
+
+    monkeypatch.setattr(G, "TRIES", 1)  # the first sketch alone, too small for these
+    texts = ["\n".join(f"{i} " + "x" * 20 for i in range(k, k + 80)) for k in (0, 40)]
+    rows = G.document_fingerprints(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    assert all(r._near_edited is not None and 0 < r._near_next < 1 for r in rows)
