@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import os
 import uuid
+from collections.abc import Callable, Iterator
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -23,11 +26,38 @@ def cache_of(worker_cache: dict) -> dict:
     if not any(c is worker_cache for c in _CACHES):
         _CACHES.append(worker_cache)
     for c in _CACHES:
-        if c is not worker_cache:
+        if c and c is not worker_cache:
             c.clear()
     return worker_cache
 
 
+def _returned() -> None:
+    """Give freed memory back to the system: workers are used again, and executors count what they hold."""
+    import pyarrow as pa
+
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # not glibc
+        pass
+
+
+def tidy(function: Callable, cache: dict | None = None) -> Callable:
+    """A worker's function over batches that starts without other functions' caches and leaves no freed memory behind."""
+
+    def run(batches: Iterator) -> Iterator:
+        cache_of({} if cache is None else cache)
+        if cache is None:
+            _CACHES.pop()
+        try:
+            yield from function(batches)
+        finally:
+            _returned()
+
+    return run
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -42,6 +72,9 @@ def ship(spark: SparkSession) -> None:
     paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
     if root not in paths:
         env["PYTHONPATH"] = os.pathsep.join([*paths, root])
+    # one allocator, with few arenas, that gives memory back
+    env.setdefault("ARROW_DEFAULT_MEMORY_POOL", "system")
+    env.setdefault("MALLOC_ARENA_MAX", "2")
 
 
 def shared_dir(spark: SparkSession) -> str:

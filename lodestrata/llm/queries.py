@@ -55,8 +55,8 @@ def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    kept = line_dedup(_documents(spark, sf_dir), count=True)
-    return kept.select("doc_id", F.col("_n_lines").alias("n_lines"), F.col("_n_dropped").alias("n_dropped"), sha256_hex(F.coalesce("text", F.lit(""))).alias("kept_sha256"))
+    kept = line_dedup(_documents(spark, sf_dir), counts=("n_lines", "n_dropped"))
+    return kept.select("doc_id", "n_lines", "n_dropped", sha256_hex(F.coalesce("text", F.lit(""))).alias("kept_sha256"))
 
 
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
