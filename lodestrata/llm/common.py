@@ -43,13 +43,17 @@ def _returned() -> None:
         pass
 
 
-def tidy(function: Callable, cache: dict | None = None) -> Callable:
-    """A worker's function over batches that starts without other functions' caches and leaves no freed memory behind."""
+def _started(owner: str) -> None:
+    for c in _CACHES:
+        if type(c).__module__.rsplit(".", 1)[-1] != owner:
+            c.clear()
+
+
+def tidy(function: Callable, owner: str = "") -> Callable:
+    """A worker's function over batches that starts without the caches of other modules than owner and leaves no freed memory behind."""
 
     def run(batches: Iterator) -> Iterator:
-        cache_of({} if cache is None else cache)
-        if cache is None:
-            _CACHES.pop()
+        _started(owner)
         try:
             yield from function(batches)
         finally:
