@@ -1,8 +1,10 @@
 """Byte-level BPE: encoding and decoding by a rank file.
 
 Documents are cut by the vocabulary's pattern in Arrow batches. Each batch
-becomes one row: its distinct pieces that are no token themselves, as arrays of
-the ids of their bytes, and each document as numbers of pieces. Merging is
+becomes one row: the distinct pieces that are no token themselves and are new to
+the task, as arrays of the ids of their bytes, and each document as numbers of pieces.
+Both Arrow steps number a task's pieces alike, up to KEPT, and then begin anew, so
+rows are small and a piece is merged about once a task. Merging is
 Spark's: a higher-order function folds ranked merges over each distinct piece.
 The rank map is one literal, from the ids of two neighbours to the id, which is
 the rank, of both together (row displacement: the entry for (l, r) is at
@@ -41,8 +43,8 @@ from pyspark.sql import functions as F
 from .common import ship, tidy
 
 SAMPLE, PARTS, HOT, LONG = 20_000, 16, 1 << 17, 256
-#: characters of a batch of documents
-BATCH = 16_000_000
+#: characters of a batch of documents; pieces that a task remembers
+BATCH, KEPT = 2_000_000, 400_000
 #: bits of an id
 BITS = 20
 _ID, _NONE = (1 << BITS) - 1, 1 << (2 * BITS + 1)
@@ -95,21 +97,22 @@ def rank_literal(ranks: dict[bytes, int]) -> str:
 
 
 def fold_merges(piece: str) -> str:
-    """SQL: the ids of a piece (an array of its bytes' ids, bigint), with the literal bound to m."""
+    """SQL: the ids of a piece (an array of its bytes' ids), with the literal bound to m."""
 
     def part(left: str, right: str) -> str:
         """The rank of left and right, then left. An entry of another left id, or none, gives a rank beyond all."""
         entry = f"get(m.e, get(m.s, cast({left} as int)) + cast({right} as int))"
         return f"(shiftleft(coalesce({entry} ^ shiftleft({left}, {BITS}), {_NONE}L), {BITS}) | {left})"
 
-    start = f"transform({piece}, (x, i) -> {part('x', f'get({piece}, i + 1)')})"
+    start = f"transform({piece}, (x, i) -> {part('cast(x as bigint)', f'get({piece}, i + 1)')})"
     # the part at a and the one after it become one; the pairs with its neighbours get new ranks
     merged = f"shiftright(get(u, a - 1), {BITS})"
     left, right = part(f"(get(u, a - 2) & {_ID}L)", merged), part(merged, f"(get(u, a + 1) & {_ID}L)")
     after = f"flatten(array(slice(u, 1, greatest(a - 2, 0)), if(a > 1, array({left}, {right}), array({right})), slice(u, a + 2, size(u))))"
     # aggregate over one value binds it without the copy that transform makes of a result
     step = f"aggregate(array(cast(array_position(t, array_min(t)) as int)), t, (u, a) -> if(get(u, a - 1) >= {1 << 2 * BITS}L, u, {after}))"
-    return f"aggregate(sequence(2, greatest(2, size({piece}))), {start}, (t, i) -> {step}, t -> transform(t, x -> cast(x & {_ID}L as int)))"
+    fold = f"aggregate(sequence(2, greatest(2, size({piece}))), {start}, (t, i) -> {step}, t -> transform(t, x -> cast(x & {_ID}L as int)))"
+    return f"if(size({piece}) = 0, cast(array() as array<int>), {fold})"
 
 
 def merged_lists(lists: str, literal: str) -> str:
@@ -146,7 +149,7 @@ class _Bytes:
     """Pieces as arrays of the ids of their bytes."""
 
     def __init__(self, ranks: dict[bytes, int]):
-        self.ids = np.array([ranks[bytes([i])] for i in range(256)], np.int64)
+        self.ids = np.array([ranks[bytes([i])] for i in range(256)], np.int32)
 
     def lists(self, pieces: list[bytes]) -> pa.ListArray:
         ends = np.concatenate(([0], np.cumsum(np.fromiter(map(len, pieces), np.int64, len(pieces))))).astype(np.int32)
@@ -203,7 +206,7 @@ def _hot(docs: DataFrame, text_col: str, pattern: str, ranks: dict[bytes, int],
         own = [p for p, _ in rare]
         yield pa.RecordBatch.from_arrays([pa.array(own, pa.binary()), pieces.lists(own), pa.array([k for _, k in rare], pa.int64())], ["piece", "b", "n"])
 
-    top = texts.mapInArrow(tidy(counts), "piece binary, b array<bigint>, n long").groupBy("piece").agg(F.first("b").alias("b"), F.sum("n").alias("n"))
+    top = texts.mapInArrow(tidy(counts), "piece binary, b array<int>, n long").groupBy("piece").agg(F.first("b").alias("b"), F.sum("n").alias("n"))
     top = top.orderBy(F.desc("n"), "piece").limit(HOT).select("piece", "b").repartition(max(1, HOT >> 13))
     ids = f"element_at(transform(array({literal}), m -> {fold_merges('b')}), 1)"
     rows = top.select("piece", F.expr(ids).alias("ids")).toArrow()  # at most HOT, in packed form
@@ -239,16 +242,20 @@ def encode(
             def __missing__(self, piece: str) -> int:
                 k = known.value.get(raw := piece.encode())
                 if k is None and (k := first.get(piece)) is None:
-                    k = base + len(fresh)
+                    k = base + before + len(fresh)
                     fresh.append(raw)
                 self[piece] = k
                 return k
 
+        numbers, fresh, before, again = Numbers(), [], 0, False
         for b in batches:
             at = 0
             while at < b.num_rows:
-                fresh: list[bytes] = []
-                numbers, codes, ends, size, begin = Numbers(), [], [], 0, at
+                if again := before > KEPT:
+                    numbers.clear()
+                    before = 0
+                fresh.clear()
+                codes, ends, size, begin = [], [], 0, at
                 while at < b.num_rows and size < BATCH:
                     text = _utf8(b.column(1)[at].as_py())
                     found = cut(text)
@@ -256,18 +263,18 @@ def encode(
                     ends.append(len(found))
                     size += len(text)
                     at += 1
+                before += len(fresh)
                 long = [(i, heap_merges(p, known.value)) for i, p in enumerate(fresh) if len(p) > LONG]
                 for i, _ in long:
                     fresh[i] = b""
                 rows = pa.ListArray.from_arrays(pa.array([0, at - begin], pa.int32()), b.column(0).slice(begin, at - begin))
                 rare = pa.ListArray.from_arrays(pa.array([0, len(fresh)], pa.int32()), pieces.lists(fresh))
-                del numbers, fresh
                 yield pa.RecordBatch.from_arrays(
                     [
                         rows, pa.array([np.concatenate(codes).tobytes()], pa.binary()), pa.array([np.array(ends, np.uint32).tobytes()], pa.binary()), rare,
-                        pa.array([long], pa.list_(pa.struct([("i", pa.int32()), ("ids", pa.list_(pa.int32()))]))),
+                        pa.array([long], pa.list_(pa.struct([("i", pa.int32()), ("ids", pa.list_(pa.int32()))]))), pa.array([again]),
                     ],
-                    ["rows", "codes", "ends", "pieces", "long"],
+                    ["rows", "codes", "ends", "pieces", "long", "again"],
                 )
 
     def looked_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -277,15 +284,18 @@ def encode(
             texts[r] = p
         bytes_of = Flat(np.frombuffer(b"".join(texts), np.uint8), np.fromiter(map(len, texts), np.int64, tokens))
         base = Flat(np.arange(tokens, dtype="<u4"), np.ones(tokens, np.int64)) + Flat(*flat.value)
+        all_ids = base
         for b in batches:
             for k in range(b.num_rows):
+                if b.column(5)[k].as_py():
+                    all_ids = base
                 lists = b.column(3)[k].values
-                own, many = lists.flatten().to_numpy(zero_copy_only=False).astype("<u4"), lists.value_lengths().to_numpy(zero_copy_only=False)
-                all_ids = base + Flat(own, many)
-                for x in b.column(4)[k].as_py():
-                    n = len(base.sizes) + x["i"]
-                    all_ids.starts[n], all_ids.sizes[n] = len(all_ids.values), len(x["ids"])
-                    all_ids.values = np.concatenate((all_ids.values, np.array(x["ids"], "<u4")))
+                own, many = lists.flatten().to_numpy(zero_copy_only=False).astype("<u4"), lists.value_lengths().to_numpy(zero_copy_only=False).copy()
+                if long := {x["i"]: np.array(x["ids"], "<u4") for x in b.column(4)[k].as_py()}:
+                    cuts = np.cumsum(many)[:-1]
+                    own = np.concatenate([long.get(i, x) for i, x in enumerate(np.split(own, cuts))])
+                    many[list(long)] = [len(x) for x in long.values()]
+                all_ids += Flat(own, many)
                 codes = np.frombuffer(b.column(1)[k].as_py(), np.uint32)
                 cuts = np.concatenate(([0], np.cumsum(np.frombuffer(b.column(2)[k].as_py(), np.uint32).astype(np.int64))))
                 rows, a = b.column(0)[k].values, 0
@@ -302,9 +312,9 @@ def encode(
                     a = z
 
     batched = keyed.mapInArrow(
-        tidy(cut_rows), f"rows array<{kind.simpleString()}>, codes binary, ends binary, pieces array<array<bigint>>, long array<struct<i:int,ids:array<int>>>"
+        tidy(cut_rows), f"rows array<{kind.simpleString()}>, codes binary, ends binary, pieces array<array<int>>, long array<struct<i:int,ids:array<int>>>, again boolean"
     )
-    merged = batched.select("rows", "codes", "ends", F.expr(merged_lists("pieces", literal)).alias("ids"), "long")
+    merged = batched.select("rows", "codes", "ends", F.expr(merged_lists("pieces", literal)).alias("ids"), "long", "again")
     done = merged.mapInArrow(tidy(looked_up), f"_row {kind.simpleString()}, _ids binary" + ", _decoded binary" * bool(decoded))
     fields = [F.col("_row").getField(c).alias(c) for c in kept]
     return done.select(*fields, F.col("_ids").alias(ids), *([F.col("_decoded").alias(decoded)] if decoded else []))

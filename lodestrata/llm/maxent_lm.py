@@ -1,56 +1,67 @@
 """LM scoring: a hashed maximum-entropy model with a class-factored softmax.
 
-log P(text) is the sum over its tokens of log P(class | history) + log P(word |
-class, history). Words of the FREQUENT most frequent have classes of SIZE words
-each by rank, and their word factor is a softmax over the class. All other
-words, seen or not, have one of TAIL classes by a hash of their last bytes; the
-word factor there is the class's smoothed relative frequency, with one share
-for all that was never seen. So the probabilities of all words and one unseen
-add up to one for any history.
-
-Features are hashed: the bias, the previous word (n-gram), the one before it
-(skip), and both together (n-gram), each a row of weights over the classes; the
-word factor has the bias, and the previous word by class.
-
-Counts of all words come from one shuffle over all training documents, and
-rare words reach their documents by a join, never a broadcast. The model is
-trained in ROUNDS rounds: each has a share of the training documents; each task
-takes gradient steps on its own copy of the weights, blocks of weights are
-averaged over the tasks by a shuffle, and the average starts the next round
-(the first starts from the word frequencies). The
-weights' size is fixed, whatever the corpus. Scoring is by sparse numpy batches:
-gathers of weight rows for many tokens at once.
+log P(text) is the sum over its tokens of log P(class | history) + log P(leaf |
+class, history) + log P(word | leaf). There are CLASSES classes of LEAVES leaves.
+The most frequent HEADS * LEAVES words have leaves of their own, by rank. All
+other words, seen or not, share the leaves of the other classes: the class by a
+hash of their last bytes, the leaf by a hash of the whole word, and the word
+there by its smoothed relative frequency, with one share for all that was never
+seen. So the class and leaf factors are learned for every word, and the
+probabilities of all words and of an unseen one in each shared leaf add up to
+one for any history.
+
+Features are hashed rows of weights: for the class the bias, the previous word
+(n-gram), the one before it (skip) and both (n-gram); for the leaf the bias and
+the previous word with the class (n-gram).
+
+Texts become numbers once: a batch of documents is one row of a table, with the
+64-bit hashes of its distinct words and a number for each token. Counts of all
+words come from one shuffle of batches' counts. Training reads that table in
+ROUNDS rounds, each with a share of all training documents: every task takes
+AdaGrad steps (one step size a row) on its own copy of the weights; the changes are
+averaged over the tasks, each row weighted by the tokens that used it, and the
+squares that set the step sizes are summed and kept. There are as many tasks as
+cores, so what they send grows with the cluster and not with the data; the
+weights' size is fixed. Scoring is by sparse numpy batches: gathers of
+exponentiated rows. Counts of rare words come to their batches by a join, never
+a broadcast.
 
 Defined results: a null or empty text is its end token alone. A row without an
 id has crc32 remainder 0, so it is training text. Rows that repeat count and
-are scored each. Without training text the model and the base are uniform over
-one unseen word. An empty table gives an empty one.
+are scored each. Words of equal count are ranked by hash. Texts and words may be
+of any length. Without training text the base is 0 and the model gives each
+shared leaf the same share. An empty table gives an empty one. Other columns of
+the input, whatever their names, aren't returned.
 """
 
 from __future__ import annotations
 
 import zlib
-from collections import Counter
 from collections.abc import Iterator
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import remainder, ship, written
+from .common import remainder, ship, tidy, written
 
-FREQUENT, SIZE, TAIL = 480, 32, 17
-HEADS = FREQUENT // SIZE
-CLASSES = HEADS + TAIL
-BUCKETS, PAIRS = 4096, 16384
-ROUNDS, STEP, BATCH = 2, 0.15, 8192
+CLASSES, LEAVES, HEADS = 64, 64, 48
+OWN, TAIL = HEADS * LEAVES, CLASSES - HEADS
+#: rows of weights: of a previous word (the first OFTEN ranks have their own), of a pair, of a previous word with a class
+BUCKETS, OFTEN, PAIRS, NEAR = 8192, 4096, 16384, 16384
+ROUNDS, STEP, STEP_TOKENS = 4, 0.5, 4096
+#: weights stay within this, so that products of their exponentials are finite
+MOST = 18.0
 #: words whose counts are broadcast: the most frequent, and no more than this
 HOT = 1 << 17
+#: characters of a batch of documents; rows of a block of weights
+BATCH, BLOCK = 16_000_000, 512
 END = b"\n"
 _LOWER = bytes(i + 32 if 65 <= i <= 90 else i for i in range(256))
-_SHAPES = {"bias": (1, CLASSES), "one": (BUCKETS, CLASSES), "skip": (BUCKETS, CLASSES), "pair": (PAIRS, CLASSES), "word": (1, FREQUENT), "near": (BUCKETS, SIZE)}
-_NAMES = tuple(_SHAPES)
+_TABLES = {"one": BUCKETS, "skip": BUCKETS, "pair": PAIRS, "near": NEAR, "leaf": CLASSES, "class": 1}
+_WIDE = 64
 
 
 def tokens(text: str | None) -> list[bytes]:
@@ -60,171 +71,260 @@ def tokens(text: str | None) -> list[bytes]:
     return out
 
 
-class Codes(dict):
-    """A word's number if it is frequent, else -1; its class; its bucket as a history; whether its count is known here. One integer."""
-
-    def __init__(self, hot: dict[bytes, tuple[int, int]]):
-        self.hot = hot
-
+class _Numbers(dict):
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 600_000:
-            self.clear()
-        rank, _ = self.hot.get(word, (-1, 0))
-        if 0 <= rank < FREQUENT:
-            kind, bucket = rank // SIZE, rank
-        else:
-            kind = HEADS + zlib.crc32(word[-2:]) % TAIL
-            bucket = FREQUENT + zlib.crc32(word[-3:]) % (BUCKETS - FREQUENT)
-        number = rank if 0 <= rank < FREQUENT else FREQUENT
-        code = self[word] = number | kind << 10 | bucket << 17
-        return code
+        k = self[word] = len(self)
+        return k
 
 
-def _zero() -> dict[str, np.ndarray]:
-    return {n: np.zeros(s, np.float32) for n, s in _SHAPES.items()}
+def _coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(id, round, text) as one row for each batch of documents."""
+    import xxhash
 
-
-def _unigram(counts: list[int], mass: np.ndarray) -> dict[str, np.ndarray]:
-    """Weights of the smoothed word frequencies, where training starts: counts of the frequent words, mass of the tail classes."""
-    w = _zero()
-    own = np.full(FREQUENT, 1e-6)
-    own[: len(counts)] = np.array(counts) + 0.5
-    w["word"][0] = np.log(own)
-    w["bias"][0] = np.log(np.concatenate((own.reshape(HEADS, SIZE).sum(axis=1), mass)))
-    return w
-
-
-def _history(bucket: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Buckets of the previous word, of the one before it, and of both; bucket BUCKETS - 1 stands before a text."""
-    before = np.full(len(bucket), BUCKETS - 1)
-    before[1:] = bucket[:-1]
-    before[starts] = BUCKETS - 1
-    skip = np.full(len(bucket), BUCKETS - 1)
+    digest, crc = xxhash.xxh3_64_intdigest, zlib.crc32
+    for b in batches:
+        at = 0
+        while at < b.num_rows:
+            numbers, codes, size, begin = _Numbers(), [], 0, at
+            while at < b.num_rows and size < BATCH:
+                words = tokens(b.column(2)[at].as_py())
+                codes.append(np.fromiter(map(numbers.__getitem__, words), np.uint32, len(words)))
+                size += 6 * len(words)
+                at += 1
+            rounds = b.column(1).slice(begin, at - begin).to_numpy(zero_copy_only=False).astype(np.int8)
+            sizes = np.fromiter(map(len, codes), np.uint32, len(codes))
+            flat = np.concatenate(codes)
+            train = np.bincount(flat[np.repeat(rounds >= 0, sizes)], minlength=len(numbers))
+            words = np.fromiter(map(digest, numbers), np.uint64, len(numbers))
+            kinds = np.fromiter((crc(w[-2:]) % TAIL for w in numbers), np.uint8, len(numbers))
+            ids = pa.ListArray.from_arrays(pa.array([0, at - begin], pa.int32()), b.column(0).slice(begin, at - begin))
+            packed = [pa.array([x.tobytes()], pa.binary()) for x in (rounds, sizes, words, kinds, flat, train.astype(np.uint32))]
+            yield pa.RecordBatch.from_arrays([ids, *packed], ["ids", "rounds", "sizes", "words", "kinds", "codes", "train"])
+
+
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """word, kind and n of the training tokens of each batch of documents."""
+    for b in batches:
+        for words, kinds, train in zip(*(b.column(k) for k in range(3)), strict=True):
+            n = np.frombuffer(train.as_py(), np.uint32)
+            seen = np.flatnonzero(n)
+            cols = (np.frombuffer(words.as_py(), np.int64)[seen], np.frombuffer(kinds.as_py(), np.uint8)[seen].astype(np.int32), n[seen].astype(np.int64))
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], ["word", "kind", "n"])
+
+
+def word_counts(coded: DataFrame) -> DataFrame:
+    """word (64-bit hash), kind and n over all training tokens."""
+    rows = coded.select("words", "kinds", "train").mapInArrow(tidy(_counted), "word long, kind int, n long")
+    return rows.groupBy("word").agg(F.first("kind").alias("kind"), F.sum("n").alias("n"))
+
+
+class Vocabulary:
+    """The most frequent words, sorted by hash, with their ranks and counts."""
+
+    def __init__(self, words: np.ndarray, counts: np.ndarray):
+        by = np.lexsort((words, -counts))
+        rank = np.empty(len(by), np.int64)
+        rank[by] = np.arange(len(by))
+        order = np.argsort(words)
+        self.words, self.ranks, self.counts = words[order], rank[order], counts[order]
+
+    def look_up(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ranks, -1 for words that aren't here, and counts."""
+        if not len(self.words):
+            return np.full(len(words), -1), np.zeros(len(words), np.int64)
+        at = np.minimum(np.searchsorted(self.words, words), len(self.words) - 1)
+        here = self.words[at] == words
+        return np.where(here, self.ranks[at], -1), np.where(here, self.counts[at], 0)
+
+
+def _places(words: np.ndarray, kinds: np.ndarray, ranks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Leaf (its class in the upper bits) and bucket as a history of each word."""
+    own = (ranks >= 0) & (ranks < OWN)
+    h = words.view(np.uint64)
+    shared = (HEADS + kinds.astype(np.int64)) * LEAVES + (h % np.uint64(LEAVES)).astype(np.int64)
+    often = (ranks >= 0) & (ranks < OFTEN)
+    hashed = OFTEN + (h >> np.uint64(20)) % np.uint64(BUCKETS - OFTEN - 1)
+    return np.where(own, ranks, shared).astype(np.uint16), np.where(often, ranks, hashed.astype(np.int64)).astype(np.uint16)
+
+
+def _features(leaf: np.ndarray, bucket: np.ndarray, starts: np.ndarray) -> dict[str, np.ndarray]:
+    """Rows of weights for each token; bucket BUCKETS - 1 stands before a text."""
+    one, skip = np.full(len(bucket), BUCKETS - 1, np.uint16), np.full(len(bucket), BUCKETS - 1, np.uint16)
+    one[1:] = bucket[:-1]
+    one[starts] = BUCKETS - 1
     skip[2:] = bucket[:-2]
     skip[starts] = BUCKETS - 1
     after = starts + 1
     skip[after[after < len(bucket)]] = BUCKETS - 1
-    return before, skip, (before * 40_503 + skip * 69_069 >> 3) % PAIRS
-
-
-def _factors(w: dict[str, np.ndarray], number: np.ndarray, kind: np.ndarray, h: tuple) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Class log probabilities (tokens x classes), tokens of frequent words, and their words' (x SIZE)."""
-    one, skip, pair = h
-    z = w["one"][one] + w["skip"][skip] + w["pair"][pair] + w["bias"]
-    z -= z.max(axis=1, keepdims=True)
-    z -= np.log(np.exp(z).sum(axis=1, keepdims=True))
-    own = np.flatnonzero(number < FREQUENT)
-    y = w["word"].reshape(HEADS, SIZE)[kind[own]] + w["near"][(one[own] * 31 + kind[own] * 1_291) % BUCKETS]
-    y -= y.max(axis=1, keepdims=True)
-    y -= np.log(np.exp(y).sum(axis=1, keepdims=True))
-    return z, own, y
-
-
-def _parsed(code: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    return code & 1023, code >> 10 & 127, code >> 17
+    kind, wide = leaf >> 6, one.astype(np.int64)
+    pair = ((wide * 40_503 + skip.astype(np.int64) * 69_069 >> 3) % PAIRS).astype(np.uint16)
+    near = ((wide * 1_291 + kind.astype(np.int64) * 52_711 >> 2) % NEAR).astype(np.uint16)
+    return {"one": one, "skip": skip, "pair": pair, "near": near, "leaf": kind}
+
+
+def _unigram(mass: np.ndarray) -> dict[str, np.ndarray]:
+    """Weights of the smoothed frequencies, mass of each leaf, where training starts."""
+    w = {n: np.zeros((k, _WIDE), np.float32) for n, k in _TABLES.items()}
+    by_class = mass.reshape(CLASSES, LEAVES)
+    w["class"][0] = np.maximum(np.log(by_class.sum(axis=1) / mass.sum()), -MOST)
+    w["leaf"][:] = np.maximum(np.log(by_class / by_class.sum(axis=1, keepdims=True)), -MOST)
+    return w
 
 
-def _steps(w: dict[str, np.ndarray], seen: dict[str, np.ndarray], code: np.ndarray, starts: np.ndarray) -> None:
-    """AdaGrad steps on w over the tokens of one batch of texts."""
-    number, kind, bucket = _parsed(code)
-    h = _history(bucket, starts)
+class Learner:
+    """Weights, what they were at the start, squares of the gradients' rows, and tokens by row."""
+
+    def __init__(self, weights: dict[str, np.ndarray], squares: dict[str, np.ndarray]):
+        self.start, self.squares_before = weights, squares
+        self.w = {n: x.copy() for n, x in weights.items()}
+        self.squares = {n: x.copy() for n, x in squares.items()}
+        self.used = {n: np.zeros(len(x), np.float32) for n, x in weights.items()}
+
+    def _update(self, name: str, rows: np.ndarray, g: np.ndarray) -> None:
+        order = np.argsort(rows, kind="stable")
+        line = rows[order]
+        cuts = np.flatnonzero(np.concatenate(([True], line[1:] != line[:-1])))
+        at, total = line[cuts], np.add.reduceat(g[order], cuts, axis=0)
+        self.used[name][at] += np.diff(cuts, append=len(rows))
+        squares = self.squares[name]
+        squares[at] += np.einsum("ij,ij->i", total, total)
+        new = self.w[name][at] - total * (STEP / np.sqrt(squares[at] + 1.0))[:, None]
+        self.w[name][at] = np.clip(new, -MOST, MOST, out=new)
+
+    def learn(self, leaf: np.ndarray, bucket: np.ndarray, starts: np.ndarray) -> None:
+        """Steps over the tokens of some documents."""
+        f, w = _features(leaf, bucket, starts), self.w
+        for a in range(0, len(leaf), STEP_TOKENS):
+            part = {n: x[a : a + STEP_TOKENS] for n, x in f.items()}
+            kind, word = part["leaf"], leaf[a : a + STEP_TOKENS] & 63
+            each = np.arange(len(kind))
+            z = w["one"][part["one"]]
+            z += w["skip"][part["skip"]]
+            z += w["pair"][part["pair"]]
+            z += w["class"][0]
+            np.exp(z, out=z)
+            z /= z.sum(axis=1, keepdims=True)
+            z[each, kind] -= 1
+            y = w["near"][part["near"]]
+            y += w["leaf"][kind]
+            np.exp(y, out=y)
+            y /= y.sum(axis=1, keepdims=True)
+            y[each, word] -= 1
+            for name in ("one", "skip", "pair"):
+                self._update(name, part[name], z)
+            self._update("class", np.zeros(len(z), np.uint16), z)
+            self._update("near", part["near"], y)
+            self._update("leaf", kind, y)
+
+    def changes(self) -> Iterator[tuple[str, bytes, bytes, bytes]]:
+        """Blocks of rows: tokens, squares added, and changes times tokens, for the rows that were used."""
+        for n, x in self.w.items():
+            for a in range(0, len(x), BLOCK):
+                s = slice(a, a + BLOCK)
+                if self.used[n][s].any():
+                    change = (x[s] - self.start[n][s]).astype("<f2")
+                    yield f"{n}:{a}", self.used[n][s].tobytes(), (self.squares[n][s] - self.squares_before[n][s]).tobytes(), change.tobytes()
+
+
+def _documents(sizes: np.ndarray, chosen: np.ndarray, codes: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Codes of the chosen documents, some 100,000 at a time, and where each document starts."""
+    ends = np.cumsum(sizes)
+    cuts = [0, *np.unique(np.searchsorted(ends, np.arange(100_000, ends[-1], 100_000)) + 1).tolist(), len(sizes)]
+    for a, z in pairwise(cuts):
+        own, base = sizes[a:z], ends[a] - sizes[a] if a < z else 0
+        if not chosen[a:z].any():
+            continue
+        part = codes[base : ends[z - 1]][np.repeat(chosen[a:z], own)]
+        kept = own[chosen[a:z]]
+        yield part, np.cumsum(kept) - kept
+
+
+def trained(coded: DataFrame, vocabulary, weights: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
+    """weights after ROUNDS rounds over the training documents."""
+    sc = coded.sparkSession.sparkContext
+    squares = {n: np.zeros(len(x), np.float32) for n, x in weights.items()}
+    for number in range(ROUNDS):
+        start = sc.broadcast((weights, squares))
 
-    def update(name: str, rows: np.ndarray | None, g: np.ndarray) -> None:
-        if rows is None:
-            at, total = np.zeros(1, np.int64), g.sum(axis=0, keepdims=True)
-        else:
-            order = np.argsort(rows, kind="stable")
-            cuts = np.flatnonzero(np.concatenate(([True], np.diff(rows[order]) > 0)))
-            at, total = rows[order][cuts], np.add.reduceat(g[order], cuts, axis=0)
-        seen[name][at] += total * total
-        w[name][at] -= STEP * total / np.sqrt(seen[name][at] + 1.0)
-
-    for a in range(0, len(code), BATCH):
-        part = slice(a, a + BATCH)
-        own_h = tuple(x[part] for x in h)
-        z, own, y = _factors(w, number[part], kind[part], own_h)
-        g = np.exp(z)
-        g[np.arange(len(g)), kind[part]] -= 1
-        u = np.exp(y)
-        u[np.arange(len(u)), number[part][own] % SIZE] -= 1
-        update("bias", None, g)
-        update("one", own_h[0], g)
-        update("skip", own_h[1], g)
-        update("pair", own_h[2], g)
-        if len(own):
-            k = kind[part][own]
-            flat = np.zeros((HEADS, SIZE), np.float32)
-            np.add.at(flat, k, u)
-            update("word", None, flat.reshape(1, -1))
-            update("near", (own_h[0][own] * 31 + k * 1_291) % BUCKETS, u)
-
-
-def _texts(batches: Iterator[pa.RecordBatch], column: int, codes: Codes) -> Iterator[tuple[np.ndarray, np.ndarray, list[list[bytes]], pa.RecordBatch]]:
-    """Codes of a few documents at a time, where each starts, and their tokens."""
-    for b in batches:
-        for at in range(0, b.num_rows, 64):
-            part = b.slice(at, 64)
-            words = [tokens(t.as_py()) for t in part.column(column)]
-            sizes = np.array([len(x) for x in words])
-            flat = [x for own in words for x in own]
-            code = np.fromiter(map(codes.__getitem__, flat), np.int64, len(flat))
-            yield code, np.concatenate(([0], np.cumsum(sizes)[:-1])), words, part
+        def learn(batches: Iterator[pa.RecordBatch], start=start, number=number) -> Iterator[pa.RecordBatch]:
+            learner = Learner(*start.value)
+            for b in batches:
+                for rounds, sizes, words, kinds, codes in zip(*(b.column(k) for k in range(5)), strict=True):
+                    chosen = np.frombuffer(rounds.as_py(), np.int8) == number
+                    if not chosen.any():
+                        continue
+                    hashes = np.frombuffer(words.as_py(), np.int64)
+                    leaf, bucket = _places(hashes, np.frombuffer(kinds.as_py(), np.uint8), vocabulary.value.look_up(hashes)[0])
+                    for part, starts in _documents(np.frombuffer(sizes.as_py(), np.uint32).astype(np.int64), chosen, np.frombuffer(codes.as_py(), np.uint32)):
+                        learner.learn(leaf[part], bucket[part], starts)
+            cols = list(zip(*learner.changes(), strict=True))
+            for k in range(0, len(cols[0]) if cols else 0, 16):
+                rows = [pa.array(c[k : k + 16], t) for c, t in zip(cols, (pa.string(), *[pa.binary()] * 3), strict=True)]
+                yield pa.RecordBatch.from_arrays(rows, ["block", "used", "squares", "change"])
 
+        def mean(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            used = added = total = 0
+            for b in batches:
+                for u, q, c in zip(*(b.column(k) for k in (1, 2, 3)), strict=True):
+                    n = np.frombuffer(u.as_py(), np.float32)
+                    change = np.frombuffer(c.as_py(), "<f2").reshape(len(n), _WIDE).astype(np.float64)
+                    used, added, total = used + n.astype(np.float64), added + np.frombuffer(q.as_py(), np.float32), total + change * n[:, None]
+            out = (total / np.maximum(used, 1)[:, None]).astype("<f4")
+            cols = [pa.array([key[0].as_py()]), pa.array([out.tobytes()], pa.binary()), pa.array([np.asarray(added, "<f4").tobytes()], pa.binary())]
+            yield pa.RecordBatch.from_arrays(cols, ["block", "change", "squares"])
+
+        rows = coded.select("rounds", "sizes", "words", "kinds", "codes").coalesce(max(1, sc.defaultParallelism))
+        blocks = rows.mapInArrow(tidy(learn), "block string, used binary, squares binary, change binary").groupBy("block")
+        weights, squares = {n: x.copy() for n, x in weights.items()}, {n: x.copy() for n, x in squares.items()}
+        for r in blocks.applyInArrow(mean, "block string, change binary, squares binary").collect():  # as many blocks as the weights have
+            name, at = r.block.split(":")
+            change = np.frombuffer(r.change, "<f4").reshape(-1, _WIDE)
+            s = slice(int(at), int(at) + len(change))
+            weights[name][s] += change
+            squares[name][s] += np.frombuffer(r.squares, "<f4")
+        start.destroy()
+    return weights
 
-def word_counts(docs: DataFrame, text_col: str) -> DataFrame:
-    """word (binary) and n over all tokens of docs."""
 
-    def counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        c: Counter = Counter()
+class Scorer:
+    """log10 probabilities from exponentiated weights."""
 
-        def batch() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(list(c), pa.binary()), pa.array(list(c.values()), pa.int64())], ["word", "n"])
+    def __init__(self, weights: dict[str, np.ndarray]):
+        self.e = {n: np.exp(x) for n, x in weights.items()}
 
-        for b in batches:
-            for t in b.column(0):
-                c.update(tokens(t.as_py()))
-            if len(c) > 500_000:
-                yield batch()
-                c.clear()
-        yield batch()
+    def __call__(self, leaf: np.ndarray, bucket: np.ndarray, starts: np.ndarray) -> np.ndarray:
+        """For each token, that of its leaf, by class and history."""
+        f, e, out = _features(leaf, bucket, starts), self.e, np.empty(len(leaf))
+        for a in range(0, len(leaf), STEP_TOKENS):
+            part = {n: x[a : a + STEP_TOKENS] for n, x in f.items()}
+            kind, word = part["leaf"], leaf[a : a + STEP_TOKENS] & 63
+            each = np.arange(len(kind))
+            z = e["one"][part["one"]]
+            z *= e["skip"][part["skip"]]
+            z *= e["pair"][part["pair"]]
+            z *= e["class"][0]
+            y = e["near"][part["near"]]
+            y *= e["leaf"][kind]
+            p = (z[each, kind] / z.sum(axis=1)).astype(np.float64) * (y[each, word] / y.sum(axis=1))
+            out[a : a + STEP_TOKENS] = np.log10(p)
+        return out
 
-    return docs.select(text_col).mapInArrow(counts, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
+def _level() -> str:
+    """SQL: a word's level by its count n; exact below 1,024, and of bounded number."""
+    return "if(n < 1024, n, 384 + cast(floor(log2(n) * 64) as bigint))"
 
-def trained(docs: DataFrame, hot, weights: dict[str, np.ndarray], text_col: str, id_col: str) -> dict[str, np.ndarray]:
-    """weights after ROUNDS rounds; round r takes the documents whose id hash is r modulo ROUNDS."""
-    sc = docs.sparkSession.sparkContext
-    for number in range(ROUNDS):
-        start = sc.broadcast(weights)
-
-        def learn(batches: Iterator[pa.RecordBatch], start=start) -> Iterator[pa.RecordBatch]:
-            w = {n: x.copy() for n, x in start.value.items()}
-            seen, size = _zero(), 0
-            for code, starts, _, _ in _texts(batches, 0, Codes(hot.value)):
-                _steps(w, seen, code, starts)
-                size += len(code)
-            if size:
-                rows = [(f"{n}:{k}", size, part.ravel().tolist()) for n in _NAMES for k, part in enumerate(np.array_split(w[n], max(1, w[n].size >> 16)))]
-                key, weight, values = zip(*rows, strict=True)
-                yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(weight, pa.int64()), pa.array(values, pa.list_(pa.float32()))], ["block", "weight", "w"])
 
-        def mean(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            total, size = None, 0
-            for b in batches:
-                for k, x in zip(b.column(1).to_pylist(), b.column(2), strict=True):
-                    v = x.values.to_numpy() * np.float64(k)
-                    total, size = v if total is None else total + v, size + k
-            yield pa.RecordBatch.from_arrays([pa.array([key[0].as_py()]), pa.array([(total / size).astype("<f4").tobytes()], pa.binary())], ["block", "w"])
-
-        mine = docs.where(F.pmod(F.xxhash64(F.col(id_col), F.lit(5)), F.lit(ROUNDS)) == number).select(text_col)
-        parts = mine.mapInArrow(learn, "block string, weight long, w array<float>").groupBy("block").applyInArrow(mean, "block string, w binary").collect()
-        if parts:  # as many blocks as the weights have, whatever the corpus
-            by = {r.block: np.frombuffer(r.w, "<f4") for r in parts}
-            for n in _NAMES:
-                k = max(1, weights[n].size >> 16)
-                weights[n] = np.concatenate([by[f"{n}:{i}"] for i in range(k)]).reshape(_SHAPES[n])
-        start.destroy()
-    return weights
+def _most_frequent(counts: DataFrame) -> tuple[np.ndarray, np.ndarray, int]:
+    """Words and counts of all levels down to one, at most HOT words; that level."""
+    levels = sorted(((r.level, r["count"]) for r in counts.groupBy(F.expr(_level()).alias("level")).count().collect()), reverse=True)  # bounded
+    least, size = (levels[0][0] + 1 if levels else 1), 0
+    for level, n in levels:
+        if size + n > HOT:
+            break
+        least, size = level, size + n
+    rows = counts.where(f"{_level()} >= {least}").select("word", "n").toArrow()  # at most HOT
+    return rows.column("word").to_numpy().astype(np.int64), rows.column("n").to_numpy().astype(np.int64), least
 
 
 def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", modulus: int = 5, held_out: int = 1) -> DataFrame:
@@ -232,74 +332,81 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", m
     spark = docs.sparkSession
     sc = spark.sparkContext
     ship(spark)
-    out = remainder(F.col(id_col), modulus) == held_out
-    train = docs.where(~out)
-    counts = written(word_counts(train, text_col), "counts")
-    kind = F.when(F.length("word") > 1, F.substring("word", -2, 2)).otherwise(F.col("word"))
-    n, v = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    top = counts.orderBy(F.desc("n"), "word").limit(HOT).collect()  # at most HOT
-    hot = sc.broadcast({bytes(r.word): (i, r.n) for i, r in enumerate(top)})
-    least = top[-1].n if len(top) == HOT else 0
-    frequent = [bytes(r.word) for r in top[:FREQUENT]]
-    tail = counts.where(~F.col("word").isin(frequent)) if frequent else counts
-    classes = tail.groupBy((F.crc32(kind) % TAIL).alias("c")).agg(F.sum("n").alias("n"), F.count("*").alias("v")).collect()
-    mass = np.full(TAIL, 0.5)  # n + (v + 1) / 2 of each tail class
-    for r in classes:
-        mass[r.c] = r.n + 0.5 * (r.v + 1)
-    weights = sc.broadcast(trained(train, hot, _unigram([r.n for r in top[:FREQUENT]], mass), text_col, id_col))
-    base = float(np.log10(n + 0.5 * (v + 1)))
+    share = F.when(remainder(F.col(id_col), modulus) == held_out, -1).otherwise(F.pmod(F.xxhash64(F.col(id_col), F.lit(5)), F.lit(ROUNDS)))
     idk = docs.schema[id_col].dataType.simpleString()
+    schema = f"ids array<{idk}>, rounds binary, sizes binary, words binary, kinds binary, codes binary, train binary"
+    rows = docs.select(F.col(id_col).alias("_id"), share.cast("int").alias("_round"), F.col(text_col).alias("_text")).mapInArrow(tidy(_coded), schema)
+    # written once, so a batch keeps its number whatever is lost later
+    coded = written(rows.withColumn("_batch", F.monotonically_increasing_id()), "tokens")
+    counts = written(word_counts(coded), "counts")
+    words, of, least = _most_frequent(counts)
+    vocabulary = sc.broadcast(Vocabulary(words, of))
+    first = np.sort(words[np.lexsort((words, -of))[:OWN]])
+    own = sc.broadcast(first)
+    mass = np.full(CLASSES * LEAVES, 1e-6)
+    mass[: len(first)] = np.sort(of)[::-1][: len(first)] + 0.5
+    mass[OWN:] = 0.5
+
+    def leaves(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n, v = np.zeros(CLASSES * LEAVES, np.int64), np.zeros(CLASSES * LEAVES, np.int64)
+        total = distinct = 0
+        for b in batches:
+            word, kind, c = (b.column(k).to_numpy() for k in range(3))
+            total, distinct = total + int(c.sum()), distinct + len(c)
+            rest = ~np.isin(word, own.value)
+            at = _places(word[rest], kind[rest], np.full(int(rest.sum()), -1))[0].astype(np.int64)
+            np.add.at(n, at, c[rest])
+            v += np.bincount(at, minlength=len(v))
+        yield pa.RecordBatch.from_arrays([pa.array(np.append(np.arange(len(n)), -1)), pa.array(np.append(n, total)), pa.array(np.append(v, distinct))], ["leaf", "n", "v"])
+
+    sums = counts.select("word", "kind", "n").mapInArrow(tidy(leaves), "leaf long, n long, v long").groupBy("leaf").agg(F.sum("n").alias("n"), F.sum("v").alias("v"))
+    n = v = 0
+    for r in sums.where("v > 0").collect():  # at most a row a leaf
+        if r.leaf < 0:
+            n, v = r.n, r.v
+        else:
+            mass[r.leaf] = r.n + 0.5 * (r.v + 1)
+    weights = sc.broadcast(trained(coded, vocabulary, _unigram(mass)))
+    base, log_mass = float(np.log10(n + 0.5 * (v + 1))), np.log10(mass)
+
+    def rare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for batch, own_words in zip(b.column(0).to_pylist(), b.column(1), strict=True):
+                hashes = np.frombuffer(own_words.as_py(), np.int64)
+                at = np.flatnonzero(vocabulary.value.look_up(hashes)[0] < 0)
+                cols = [pa.array(np.full(len(at), batch)), pa.array(at.astype(np.int32)), pa.array(hashes[at])]
+                yield pa.RecordBatch.from_arrays(cols, ["_batch", "at", "word"])
+
+    asked = coded.select("_batch", "words").mapInArrow(tidy(rare), "_batch long, at int, word long")
+    known = counts.where(f"{_level()} < {least}").select("word", "n")
+    found = asked.join(known, "word").groupBy("_batch").agg(F.collect_list(F.struct("at", "n")).alias("found"))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        w, codes, log_mass = weights.value, Codes(hot.value), np.log10(mass)
-        known = {x: (float(np.log10(c + 0.5)), i) for x, (i, c) in hot.value.items()}
-        for code, starts, words, part in _texts(batches, 2, codes):
-            number, kinds, bucket = _parsed(code)
-            h = _history(bucket, starts)
-            each = np.empty(len(code))
-            for a in range(0, len(code), 4 * BATCH):
-                s = slice(a, a + 4 * BATCH)
-                z, own, y = _factors(w, number[s], kinds[s], tuple(x[s] for x in h))
-                got = z[np.arange(len(z)), kinds[s]].astype(np.float64)
-                got[own] += y[np.arange(len(y)), number[s][own] % SIZE]
-                each[s] = got * np.log10(np.e)
-            rare = number == FREQUENT
-            each[rare] -= log_mass[kinds[rare] - HEADS]
-            model = np.add.reduceat(each, starts)
-            base_sum, tail_sum, rest = [], [], []
-            for own in words:
-                b = t = 0.0
-                c: Counter = Counter()
-                for x in own:
-                    k = known.get(x)
-                    if k is None:
-                        c[x] += 1
-                    else:
-                        b += k[0]
-                        if k[1] >= FREQUENT:
-                            t += k[0]
-                base_sum.append(b)
-                tail_sum.append(t)
-                rest.append([(x, i) for x, i in c.items()])
-            yield pa.RecordBatch.from_arrays(
-                [
-                    part.column(0), part.column(1), pa.array([len(x) for x in words], pa.int64()), pa.array(model + np.array(tail_sum)), pa.array(base_sum),
-                    pa.array([sum(i for _, i in r) for r in rest], pa.int64()), pa.array(rest, pa.list_(pa.struct([("word", pa.binary()), ("k", pa.int32())]))),
-                ],
-                ["_id", "_held_out", "_n", "_model", "_base", "_n_rest", "_rest"],
-            )
-
-    schema = f"_id {idk}, _held_out boolean, _n long, _model double, _base double, _n_rest long, _rest array<struct<word:binary,k:int>>"
-    rows = docs.select(F.col(id_col), out.alias("_out"), F.col(text_col)).mapInArrow(score, schema)
-    # written once, so a row keeps its number whatever is lost later
-    part = written(rows.withColumn("_row", F.monotonically_increasing_id()), "scores")
-    rest = part.select("_row", F.explode("_rest").alias("x")).select("_row", "x.word", "x.k")
-    rare = counts.where(F.col("n") <= least) if least else counts.limit(0)
-    found = rest.join(rare, "word", "left").groupBy("_row").agg(
-        F.sum(F.col("k") * F.log10(F.coalesce("n", F.lit(0)) + 0.5)).alias("_more"), F.sum(F.when(F.col("n").isNull(), 0).otherwise(F.col("k"))).alias("_found")
-    )
-    more = F.coalesce("_more", F.lit(0.0))
-    return part.drop("_rest").join(found, "_row", "left").select(
-        "_id", "_held_out", F.col("_n").alias("_n_tokens"), (F.col("_n") - F.col("_n_rest") + F.coalesce("_found", F.lit(0))).alias("_n_known"),
-        F.lit(n).cast("long").alias("_train_tokens"), (F.col("_base") + more - F.col("_n") * base).alias("_base_score"), (F.col("_model") + more).alias("_score"),
-    )
+        scorer = Scorer(weights.value)
+        for b in batches:
+            for k in range(b.num_rows):
+                ids = b.column(0)[k].values
+                rounds, sizes, hashes, kinds, codes = (np.frombuffer(b.column(j)[k].as_py(), t) for j, t in ((1, "i1"), (2, "<u4"), (3, "<i8"), (4, "u1"), (5, "<u4")))
+                ranks, c = vocabulary.value.look_up(hashes)
+                more = b.column(6)[k]
+                if more.is_valid and len(more.values):
+                    c = c.copy()
+                    c[more.values.field(0).to_numpy()] = more.values.field(1).to_numpy()
+                leaf, bucket = _places(hashes, kinds, ranks)
+                unigram, in_leaf, seen = np.log10(c + 0.5), np.zeros(len(c)), (c > 0).astype(np.int64)
+                shared = leaf >= OWN
+                in_leaf[shared] = unigram[shared] - log_mass[leaf[shared]]
+                done = 0
+                for part, starts in _documents(sizes.astype(np.int64), np.ones(len(sizes), bool), codes):
+                    model = np.add.reduceat(scorer(leaf[part], bucket[part], starts) + in_leaf[part], starts)
+                    many, s = np.diff(starts, append=len(part)), slice(done, done + len(starts))
+                    cols = [
+                        ids.slice(done, len(starts)), pa.array(rounds[s] < 0), pa.array(many.astype(np.int64)), pa.array(np.add.reduceat(seen[part], starts)),
+                        pa.array(np.add.reduceat(unigram[part], starts) - many * base), pa.array(model),
+                    ]
+                    done += len(starts)
+                    yield pa.RecordBatch.from_arrays(cols, ["_id", "_held_out", "_n_tokens", "_n_known", "_base_score", "_score"])
+
+    whole = coded.join(found, "_batch", "left").select("ids", "rounds", "sizes", "words", "kinds", "codes", "found")
+    out = whole.mapInArrow(tidy(score), f"_id {idk}, _held_out boolean, _n_tokens long, _n_known long, _base_score double, _score double")
+    return out.select("_id", "_held_out", "_n_tokens", "_n_known", F.lit(n).cast("long").alias("_train_tokens"), "_base_score", "_score")
