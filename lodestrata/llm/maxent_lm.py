@@ -4,7 +4,7 @@ log P(text) is the sum over its tokens of log P(class | history) + log P(leaf |
 class, history) + log P(word | leaf). There are CLASSES classes of LEAVES leaves.
 The most frequent HEADS * LEAVES words have leaves of their own, by rank. All
 other words, seen or not, share the leaves of the other classes: the class by a
-hash of their last bytes, the leaf by a hash of the whole word, and the word
+hash of their last two bytes, the leaf by a hash of the whole word, and the word
 there by its smoothed relative frequency, with one share for all that was never
 seen. So the class and leaf factors are learned for every word, and the
 probabilities of all words and of an unseen one in each shared leaf add up to
@@ -36,7 +36,6 @@ the input, whatever their names, aren't returned.
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
 from itertools import pairwise
 
@@ -51,7 +50,7 @@ CLASSES, LEAVES, HEADS = 64, 64, 48
 OWN, TAIL = HEADS * LEAVES, CLASSES - HEADS
 #: rows of weights: of a previous word (the first OFTEN ranks have their own), of a pair, of a previous word with a class
 BUCKETS, OFTEN, PAIRS, NEAR = 8192, 4096, 16384, 16384
-ROUNDS, STEP, STEP_TOKENS = 4, 0.5, 4096
+ROUNDS, STEP, STEP_TOKENS = 4, 1.0, 4096
 #: weights stay within this, so that products of their exponentials are finite
 MOST = 18.0
 #: words whose counts are broadcast: the most frequent, and no more than this
@@ -62,6 +61,7 @@ END = b"\n"
 _LOWER = bytes(i + 32 if 65 <= i <= 90 else i for i in range(256))
 _TABLES = {"one": BUCKETS, "skip": BUCKETS, "pair": PAIRS, "near": NEAR, "leaf": CLASSES, "class": 1}
 _WIDE = 64
+_ONES = np.ones(_WIDE, np.float32)
 
 
 def tokens(text: str | None) -> list[bytes]:
@@ -77,11 +77,20 @@ class _Numbers(dict):
         return k
 
 
+def _kinds(words: list[bytes]) -> np.ndarray:
+    """A number below TAIL from the last two bytes of each word."""
+    flat = np.frombuffer(b"\0\0" + b"".join(words), np.uint8).astype(np.int64)
+    sizes = np.fromiter(map(len, words), np.int64, len(words))
+    end = np.cumsum(sizes) + 1
+    before = np.where(sizes > 1, flat[end - 1], 0)
+    return ((flat[end] * 251 + before * 7_919 >> 3) % TAIL).astype(np.uint8)
+
+
 def _coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(id, round, text) as one row for each batch of documents."""
     import xxhash
 
-    digest, crc = xxhash.xxh3_64_intdigest, zlib.crc32
+    digest = xxhash.xxh3_64_intdigest
     for b in batches:
         at = 0
         while at < b.num_rows:
@@ -96,7 +105,7 @@ def _coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             flat = np.concatenate(codes)
             train = np.bincount(flat[np.repeat(rounds >= 0, sizes)], minlength=len(numbers))
             words = np.fromiter(map(digest, numbers), np.uint64, len(numbers))
-            kinds = np.fromiter((crc(w[-2:]) % TAIL for w in numbers), np.uint8, len(numbers))
+            kinds = _kinds(list(numbers))
             ids = pa.ListArray.from_arrays(pa.array([0, at - begin], pa.int32()), b.column(0).slice(begin, at - begin))
             packed = [pa.array([x.tobytes()], pa.binary()) for x in (rounds, sizes, words, kinds, flat, train.astype(np.uint32))]
             yield pa.RecordBatch.from_arrays([ids, *packed], ["ids", "rounds", "sizes", "words", "kinds", "codes", "train"])
@@ -184,12 +193,16 @@ class Learner:
         order = np.argsort(rows, kind="stable")
         line = rows[order]
         cuts = np.flatnonzero(np.concatenate(([True], line[1:] != line[:-1])))
-        at, total = line[cuts], np.add.reduceat(g[order], cuts, axis=0)
-        self.used[name][at] += np.diff(cuts, append=len(rows))
-        squares = self.squares[name]
-        squares[at] += np.einsum("ij,ij->i", total, total)
-        new = self.w[name][at] - total * (STEP / np.sqrt(squares[at] + 1.0))[:, None]
-        self.w[name][at] = np.clip(new, -MOST, MOST, out=new)
+        # as complex numbers two weights are added at a time
+        at, total = line[cuts], np.add.reduceat(g[order].view(np.complex64), cuts, axis=0).view(np.float32)
+        self._step(name, at, total, np.diff(cuts, append=len(rows)))
+
+    def _step(self, name: str, at: np.ndarray, total: np.ndarray, used: np.ndarray | int) -> None:
+        self.used[name][at] += used
+        now = self.squares[name][at] + np.einsum("ij,ij->i", total, total)
+        self.squares[name][at] = now
+        total *= (-STEP / np.sqrt(now + 1.0))[:, None]
+        self.w[name][at] += total
 
     def learn(self, leaf: np.ndarray, bucket: np.ndarray, starts: np.ndarray) -> None:
         """Steps over the tokens of some documents."""
@@ -202,19 +215,19 @@ class Learner:
             z += w["skip"][part["skip"]]
             z += w["pair"][part["pair"]]
             z += w["class"][0]
-            np.exp(z, out=z)
-            z /= z.sum(axis=1, keepdims=True)
-            z[each, kind] -= 1
             y = w["near"][part["near"]]
             y += w["leaf"][kind]
-            np.exp(y, out=y)
-            y /= y.sum(axis=1, keepdims=True)
-            y[each, word] -= 1
+            for x, right in ((z, kind), (y, word)):
+                np.exp(x, out=x)
+                x *= (1 / (x @ _ONES))[:, None]
+                x[each, right] -= 1
             for name in ("one", "skip", "pair"):
                 self._update(name, part[name], z)
-            self._update("class", np.zeros(len(z), np.uint16), z)
+            self._step("class", np.zeros(1, np.int64), (np.ones(len(z), np.float32) @ z)[None], len(z))
             self._update("near", part["near"], y)
             self._update("leaf", kind, y)
+        for x in w.values():
+            np.clip(x, -MOST, MOST, out=x)
 
     def changes(self) -> Iterator[tuple[str, bytes, bytes, bytes]]:
         """Blocks of rows: tokens, squares added, and changes times tokens, for the rows that were used."""
@@ -305,7 +318,7 @@ class Scorer:
             z *= e["class"][0]
             y = e["near"][part["near"]]
             y *= e["leaf"][kind]
-            p = (z[each, kind] / z.sum(axis=1)).astype(np.float64) * (y[each, word] / y.sum(axis=1))
+            p = (z[each, kind] / (z @ _ONES)).astype(np.float64) * (y[each, word] / (y @ _ONES))
             out[a : a + STEP_TOKENS] = np.log10(p)
         return out
 
