@@ -65,11 +65,8 @@ def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = document_fingerprints(_documents(spark, sf_dir))
-    return out.select(
-        "doc_id", F.col("_n_chars").alias("n_chars"), sha256_hex(F.col("_edited")).alias("edited_sha256"), F.col("_fingerprint").alias("fingerprint"),
-        F.col("_edited_fingerprint").alias("edited_fingerprint"), F.col("_near_edited").alias("near_edited"), F.col("_near_next").alias("near_next"),
-    )
+    out = document_fingerprints(_documents(spark, sf_dir), names=("n_chars", "edited", "fingerprint", "edited_fingerprint", "near_edited", "near_next"))
+    return out.select("doc_id", "n_chars", sha256_hex(F.col("edited")).alias("edited_sha256"), "fingerprint", "edited_fingerprint", "near_edited", "near_next")
 
 
 def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

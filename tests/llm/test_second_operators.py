@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import re
 from collections import defaultdict
 
 import numpy as np
@@ -80,11 +81,7 @@ def test_byte_bpe(spark):
 
 
 def pieces(text):
-    def cut(t, n):
-        return [t[i : i + n] for i in range(0, len(t), n)] or [""]
-
-    parts = cut(text[: G.LONG], G.SHORT) + [p for line in text[G.LONG :].split("\n") for p in cut(line, G.LONG)]
-    return {p for p in parts if p}
+    return set(re.findall("[^\n]{1,%d}" % G.LONG, text))
 
 
 def test_fingerprints(spark):
@@ -109,7 +106,24 @@ def test_fingerprints(spark):
     assert all(len(v) == 1 for v in prints.values()) and len({next(iter(v)) for v in prints.values()}) == len(prints)
 
 
+def test_fingerprints_of_many_paragraphs(spark):
+    """Thousands of different lines, some in common: exact, and in time in proportion."""
+    lines = [f"line {i} {i * 7919 % 10007}" for i in range(30_000)]
+    texts = ["\n".join(lines[a:b]) for a, b in ((0, 20_000), (5_000, 25_000), (10_000, 11_500), (10_000, 30_000))]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    rows = {r.doc_id: r for r in G.document_fingerprints(docs).collect()}
+    for k, t in enumerate(texts):
+        nxt = texts[(k + 1) % 4]
+        for near, other in ((rows[k]._near_edited, t[: len(t) - len(t) // 4] + nxt[: len(t) // 4]), (rows[k]._near_next, nxt)):
+            a, b = pieces(t), pieces(other)
+            assert near == pytest.approx(len(a & b) / len(a | b))
+
+
 def test_fingerprint_edges(spark):
+    wide = spark.createDataFrame([(1, "x", 1, 2, 3), (2, "y", 4, 5, 6)], "doc_id long, text string, _edited int, _row int, _n_chars int")
+    names = ("a", "b", "c", "d", "e", "f")
+    assert G.document_fingerprints(wide, names=names).columns == [*wide.columns, *names]
+    assert sorted((r._edited, r._row, r._n_chars, r.a) for r in G.document_fingerprints(wide, names=names).collect()) == [(1, 2, 3, 1), (4, 5, 6, 1)]
     one = spark.createDataFrame([(3, "abcd")], "doc_id long, text string")
     r = G.document_fingerprints(one).first()
     assert r._edited == "abca" and r._near_next == 1.0
