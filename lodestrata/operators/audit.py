@@ -23,9 +23,10 @@ def point_totals(responses: DataFrame, least: int = 1) -> DataFrame:
 
 
 def panel_rows(candidates: DataFrame, observations: DataFrame, evidence: DataFrame, payloads: DataFrame, prefix: str, tiers: tuple[str, ...], group: str | None = None) -> DataFrame:
-    """Flags of each candidate address whose reference has the prefix."""
+    """Flags of each candidate address whose reference has the prefix; its first such request counts."""
     c = F.col
-    own = candidates.where(F.startswith(c("source_reference"), F.lit(prefix))).select("address", "source_reference").dropDuplicates(["address"])
+    own = candidates.where(F.startswith(c("source_reference"), F.lit(prefix)))
+    own = first_by(own, ["address"], F.asc("requested_at"), F.asc("request_id")).select("address", "source_reference")
     last = first_by(observations, ["address"], F.desc("completed_at"), F.desc("observation_id")).join(payloads.select("payload_sha256", "retention_status"), "payload_sha256", "left")
     commercial = (c("source_authority") == "commercial_provider") & (c("evidence_tier") == "C")
     label, tag = (c("assertion_type") == "address_label") & (c("candidate_label") != ""), F.coalesce(c("provider_tag_id"), F.lit("")) != ""

@@ -5,11 +5,17 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.shared import kept
 from .economics import BTC
 from .flatten import single_address
 from .policy import VARIANTS
 
 c = F.col
+#: what the first census reads of the first policy's rows
+POLICY_V1 = (
+    "current_utxo_sats", "max_same_tx_received_sats", "gross_flow_90d_sats", "recency_days", "p0_mask", "chain_importance_score", "is_chain_p0", "is_chain_p1",
+    "is_edge_upgrade_frontier", "has_positive_economic_component", "is_coarse_candidate",
+)
 
 
 def histogram(df: DataFrame, column: str, name: str) -> DataFrame:
@@ -93,7 +99,11 @@ def counters_v2(policy: DataFrame) -> DataFrame:
 
 
 def census_v1(io: DataFrame, economics: DataFrame, policy: DataFrame) -> DataFrame:
-    """The whole first census as one row; each part is one row, so the cross joins are of one row each."""
+    """The whole first census as one row; each part is one row, so the cross joins are of one row each.
+
+    The policy's rows are kept once: all counters and histograms read that table.
+    """
+    policy = kept(policy.select(*POLICY_V1), "census")
     row = counters_v1(policy).crossJoin(source_quality(economics)).crossJoin(quality_counts(io))
     masks = ordered(histogram(policy, "p0_mask", "mask"), "p0_overlap_distribution", "mask")
     scores = ordered(histogram(policy, "chain_importance_score", "score"), "score_histogram", "score")
@@ -101,7 +111,8 @@ def census_v1(io: DataFrame, economics: DataFrame, policy: DataFrame) -> DataFra
 
 
 def census_v2(io: DataFrame, economics: DataFrame, policy: DataFrame) -> DataFrame:
-    """The whole second census as one row, with a struct for each variant."""
+    """The whole second census as one row, with a struct for each variant; the policy's rows are kept once."""
+    policy = kept(policy, "census")
     row = counters_v2(policy).crossJoin(source_quality(economics)).crossJoin(quality_counts(io))
     row = row.crossJoin(ordered(histogram(policy, "receipt_support_mask", "mask"), "receipt_support_overlap_distribution", "mask"))
     row = row.crossJoin(ordered(histogram(policy, "v2_chain_score", "score"), "score_histogram", "score"))

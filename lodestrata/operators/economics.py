@@ -1,4 +1,9 @@
-"""Per-address economics. Both levels of grouping hold the address, so one shuffle by address serves both."""
+"""Per-address economics in two levels, each summed in part before its shuffle.
+
+First (address, block, transaction), then the address: both shuffles are dealt
+evenly, and an address with a third of all rows sends one partial row a task to
+its second group.
+"""
 
 from __future__ import annotations
 
@@ -26,7 +31,7 @@ def _long(c: Column) -> Column:
 
 def per_transaction(io: DataFrame) -> DataFrame:
     """Received, spent and gross of each address in each transaction; the key is (block, transaction), never the hash alone."""
-    rows = single_address(io).where(F.col("value_sats").isNotNull()).repartition("normalized_address")
+    rows = single_address(io).where(F.col("value_sats").isNotNull())
     v, kind = F.col("value_sats"), F.col("row_kind")
     return rows.groupBy("normalized_address", "block_hash", "transaction_hash").agg(
         F.max("block_timestamp").alias("block_timestamp"), F.sum(_if(kind == "output", v)).alias("tx_received_sats"),
@@ -58,7 +63,7 @@ def address_economics(io: DataFrame, cutoff_time: str) -> DataFrame:
 
 def economics_v1(io: DataFrame, cutoff_time: str) -> DataFrame:
     """The first policy's economics: an address is a receiver by any output row, also of value zero."""
-    rows = single_address(io).where(F.col("value_sats").isNotNull()).repartition("normalized_address")
+    rows = single_address(io).where(F.col("value_sats").isNotNull())
     tx = rows.groupBy("normalized_address", "block_hash", "transaction_hash", "row_kind").agg(F.max("block_timestamp").alias("block_timestamp"), F.sum("value_sats").alias("v"))
     ts, v, out = F.col("block_timestamp"), F.col("v"), F.col("row_kind") == "output"
     return tx.groupBy("normalized_address").agg(
@@ -77,13 +82,22 @@ def received_by_transaction(io: DataFrame) -> DataFrame:
 def large_counterparties(io: DataFrame, least_sats: int = 100 * BTC) -> DataFrame:
     """For each address, how many others received at least so much in a transaction with it.
 
-    The join is on the transaction. Its large receivers are few by nature (each
-    needs least_sats), and AQE splits a transaction that has many.
+    Transactions of one large receiver are dropped by their count. An address
+    of one such transaction has all its other receivers, which the count
+    gives; only addresses of several need the others by name, so only these make
+    pairs, and each transaction's receivers are dealt to them by the join.
     """
-    large = received_by_transaction(io).where(F.col("same_tx_received_sats") >= least_sats).select("block_hash", "transaction_hash", "normalized_address")
-    other = large.withColumnRenamed("normalized_address", "other_address")
-    pairs = large.join(other, ["block_hash", "transaction_hash"]).where(F.col("normalized_address") != F.col("other_address"))
-    return pairs.groupBy("normalized_address").agg(F.count_distinct("other_address").alias("direct_large_counterparty_count"))
+    key = ["block_hash", "transaction_hash"]
+    large = received_by_transaction(io).where(F.col("same_tx_received_sats") >= least_sats).select(*key, "normalized_address")
+    sizes = large.groupBy(*key).agg(F.count("*").alias("_receivers")).where("_receivers > 1")
+    shared = large.join(sizes, key)
+    by = shared.groupBy("normalized_address").agg(F.count("*").alias("_transactions"), F.max("_receivers").alias("_receivers"))
+    name = "direct_large_counterparty_count"
+    once = by.where("_transactions = 1").select("normalized_address", (F.col("_receivers") - 1).alias(name))
+    often = shared.select(*key, "normalized_address").join(by.where("_transactions > 1").select("normalized_address"), "normalized_address")
+    others = shared.select(*key, F.col("normalized_address").alias("_other"))
+    pairs = often.join(others, key).where(F.col("normalized_address") != F.col("_other")).select("normalized_address", "_other").distinct()
+    return once.union(pairs.groupBy("normalized_address").agg(F.count("*").alias(name)))
 
 
 def _windowed(kind: str, cut: Column) -> list[Column]:
@@ -95,9 +109,9 @@ def address_features(io: DataFrame, cutoff_time: str, large_sats: int = 100 * BT
     """The 24 features of every address with an output; input-only addresses are dropped.
 
     One grouping by transaction and one by address replace the joins of separate
-    output, input, transaction and maximum tables.
+    output, input, transaction and maximum tables; each sums in part before its shuffle.
     """
-    rows = single_address(io).where("value_sats is not null").repartition("normalized_address")
+    rows = single_address(io).where("value_sats is not null")
     cut, out, v, ts, h = _cut(rows, cutoff_time), F.col("row_kind") == "output", F.col("value_sats"), F.col("block_timestamp"), F.col("block_number")
     sums = [c for kind in ("output", "input") for c in _windowed(kind, cut)]
     tx = rows.groupBy("normalized_address", "block_hash", "transaction_hash").agg(

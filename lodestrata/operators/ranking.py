@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..sources.shared import kept
+
 
 def first_by(df: DataFrame, keys: list[str], *order: Column, k: int = 1, rank: str | None = None) -> DataFrame:
     """The first k rows of each key; Spark limits each group before the shuffle."""
@@ -24,15 +26,18 @@ def latest(df: DataFrame, keys: list[str], at: str, tie: str, as_of: str | None
 def ranked(df: DataFrame, *order: Column, name: str = "queue_rank") -> DataFrame:
     """df with its place in a total order, from 1.
 
-    Places come from sorted ranges: counts of the ranges before, then places
-    within each, so no single task holds all rows.
+    Rows are dealt to sorted ranges and kept in the shared folder with their
+    range: bounds come from a sample, so a second run, or a lost executor's,
+    might deal otherwise. Counts of the ranges before and places within each
+    are then taken from that one table; no single task holds all rows.
     """
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = df.repartitionByRange(n, *order).withColumn("_range", F.spark_partition_id())
-    counts = dealt.groupBy("_range").agg(F.count("*").alias("_n"))
-    before = counts.withColumn("_before", F.coalesce(F.sum("_n").over(Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("_n")
+    dealt = kept(df.repartitionByRange(n, *order).withColumn("_range", F.spark_partition_id()), "ranges")
+    counts = dealt.groupBy("_range").agg(F.count("*").alias("_n"))  # at most n rows
+    before = counts.select("_range", F.coalesce(F.sum("_n").over(Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"))
     within = F.row_number().over(Window.partitionBy("_range").orderBy(*order))
-    return dealt.withColumn("_within", within).join(F.broadcast(before), "_range").withColumn(name, (F.col("_before") + F.col("_within")).cast("bigint")).drop("_range", "_before", "_within")
+    placed = dealt.withColumn("_within", within).join(F.broadcast(before), "_range")
+    return placed.withColumn(name, (F.col("_before") + F.col("_within")).cast("bigint")).drop("_range", "_before", "_within")
 
 
 def top(df: DataFrame, k: int, *order: Column, name: str = "queue_rank") -> DataFrame:

@@ -5,14 +5,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .ranking import first_by
+
 PROTECTED = ("event_id", "amount_btc", "direction", "threshold_result", "quality_decision", "alert_decision", "ownership_semantics")
 ADDRESSES = ("watched_address", "output_address", "counterparty_address", "input_address")
 INDEPENDENT = ("reviewed_evidence", "local_override")
 
 
 def lookup(snapshot: DataFrame, assertion_type: str = "entity_control") -> DataFrame:
-    """One row an address: what a lookup finds."""
-    rows = snapshot.where(F.col("assertion_type") == assertion_type).dropDuplicates(["address"])
+    """One row an address: what a lookup finds. Where an address has several, the first by all their fields, nulls first."""
+    rows = first_by(snapshot.where(F.col("assertion_type") == assertion_type), ["address"], F.asc("identity_state"), F.asc("operational_tier"), F.asc("resolution_policy"), F.asc("primary_entity_display"))
     usable = F.col("operational_tier") == "lookup_usable"
     return rows.select(
         F.col("address").alias("lookup_address"), F.lit("found").alias("identity_lookup_status"), "identity_state", F.when(usable, F.col("primary_entity_display")).alias("identity_entity_display"),

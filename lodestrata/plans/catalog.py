@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,11 +26,12 @@ from ..operators import resolver as S
 from ..operators import snapshot as H
 from ..sources import evidence_projection as D
 from ..sources import projection as J
+from ..sources.shared import kept
 from .oracle import ORACLE_SQL
 
 __all__ = ["ORACLE_SQL", "QUERIES"]
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-AS_OF_DAY, SCRIPTED = "2001-07-25", True
+AS_OF_DAY, EARLY, SCRIPTED = "2001-07-25", "1995-01-31 00:00:00", True
 
 
 def query(f: Callable) -> Callable:
@@ -216,6 +218,30 @@ def census_v2_reconciled(s, d):
     return R.reconcile_v2(N.census_v2(io, economics, P.variants_v2(economics, J.CUTOFF_TIME))).select("outcome", F.array_join("blocked_codes", ",").alias("blocked"), F.array_join("warning_codes", ",").alias("warned"))
 
 
+def _dist(name: str):
+    """A distribution as text: value:count, by value."""
+    key = "score" if name.startswith("score") else "mask"
+    return F.array_join(F.transform(name, lambda x: F.concat(x[key], F.lit(":"), x["address_count"])), ",")
+
+
+@query
+def census_v1_row(s, d):
+    economics = E.economics_v1(_io(s, d), J.CUTOFF_TIME)
+    row = N.census_v1(_io(s, d), economics, P.chain_policy_v1(economics, J.CUTOFF_TIME))
+    return row.withColumns({c: _dist(c) for c in ("p0_overlap_distribution", "score_histogram")})
+
+
+@query
+def census_v2_row(s, d):
+    economics = _economics(s, d)
+    row = N.census_v2(_io(s, d), economics, P.variants_v2(economics, J.CUTOFF_TIME))
+    for v in P.VARIANTS:
+        struct = row.schema[f"{v}_variant"].dataType
+        parts = {f"{v}_variant_{f.name}": _dist(f"{v}_variant.{f.name}") if f.name.endswith("distribution") else F.col(f"{v}_variant.{f.name}") for f in struct}
+        row = row.withColumns(parts).drop(f"{v}_variant")
+    return row.withColumns({c: _dist(c) for c in ("receipt_support_overlap_distribution", "score_histogram")})
+
+
 @query
 def population_contract(s, d):
     positive = _economics(s, d).where("has_output")
@@ -230,7 +256,9 @@ def candidates_v2_s(s, d):
 
 @query
 def candidate_violations(s, d):
-    return C.violations(_candidates(s, d)).withColumn("codes", F.array_join("codes", ","))
+    """Rows of one bucket with another score: their digests no longer fit."""
+    bad = _candidates(s, d).withColumn("v2_chain_score", F.col("v2_chain_score") + F.when(F.col("address_bucket") == 3, 1).otherwise(0))
+    return C.violations(bad).select("normalized_address", F.array_contains("codes", "row_digest").alias("digest_differs"))
 
 
 @query
@@ -250,9 +278,14 @@ def anchors_as_of(s, d):
     return _anchors(s, d)
 
 
+def _early(s: SparkSession, d: str) -> DataFrame:
+    """Features of a campaign that ended after the first month, so many anchors of today have none."""
+    return E.address_features(X.flatten_io(X.at_cutoff(J.transactions(s, d), 30, EARLY), True), EARLY)
+
+
 @query
 def anchor_only(s, d):
-    return A.anchor_only(_anchors(s, d), _features(s, d)).withColumn("calibration_reasons", F.array_join("calibration_reasons", ","))
+    return A.anchor_only(_anchors(s, d), _early(s, d)).withColumn("calibration_reasons", F.array_join("calibration_reasons", ","))
 
 
 @query
@@ -270,9 +303,35 @@ def p0_leaders(s, d):
     return W.best_p0(_decisions(s, d), 50).select("address_id", "p0_place", "p0_metric")
 
 
+def _campaign(s: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    """Decisions of the early campaign, kept, and the anchors without features."""
+    rows, anchors = kept(_early(s, d), "features"), _anchors(s, d)
+    decided = P.importance_v1(A.with_reasons(rows, anchors), EARLY, J.CAMPAIGN)
+    return kept(decided, "decisions"), A.anchor_only(anchors, rows)
+
+
+@query
+def first_wave(s, d):
+    decided, anchors = _campaign(s, d)
+    return W.select_first_wave(decided, _slots(decided, anchors), anchors)
+
+
+def _slots(decided: DataFrame, anchors: DataFrame) -> int:
+    """Past all P0 rows and a third of the others, so quotas and caps both count."""
+    n = {r.priority_class: r["count"] for r in decided.groupBy("priority_class").count().collect()}
+    return n.get("P0", 0) + anchors.count() + (n.get("P1", 0) + n.get("CONTROL", 0)) // 3
+
+
 @query
 def first_wave_statistics(s, d):
-    return W.first_wave_statistics(_decisions(s, d))
+    decided, anchors = _campaign(s, d)
+    rows = W.first_wave_statistics(decided, anchors, W.capacity(4, 5, 1000, 25), 5)
+    return rows.where("metric <> 'first_wave'")
+
+
+@query
+def first_wave_leaders(s, d):
+    return W.best_p0(*(lambda x: (x[0], 80, x[1]))(_campaign(s, d)))
 
 
 @query
@@ -373,7 +432,12 @@ def conflicts(s, d):
 @query
 def snapshot_rows(s, d):
     made = _claims(s, d)
-    rows = _resolutions(s, d).withColumns({"resolved_at": F.lit(D.AS_OF).cast("timestamp"), "resolution_id": F.lit("r")})
+    now, at = _resolutions(s, d), F.lit(D.AS_OF).cast("timestamp")
+    other = now.withColumns({"operational_tier": F.lit("discovery_only"), "primary_entity_display": F.lit("someone else")})
+    # an older resolution, one of the same time with a lesser id, and one from after the snapshot's time
+    times = ((now, 0, "r"), (other, -24, "s"), (other, 0, "a"), (other, 24, "t"))
+    made_at = [df.withColumns({"resolved_at": at + F.expr(f"INTERVAL '{h}' HOUR"), "resolution_id": F.lit(i)}) for df, h, i in times]
+    rows = reduce(DataFrame.unionByName, made_at)
     return H.snapshot_rows(rows, made, D.AS_OF).select("address", "assertion_type", "operational_tier", "primary_entity_display", F.size("candidate_entities").alias("candidates"))
 
 
@@ -394,8 +458,10 @@ def replay_policy_counts(s, d):
 
 @query
 def replay_changed_fields(s, d):
+    """Replay itself changes nothing; every 13th event was changed on the way here, in one field."""
     events = D.replay_events(s, d)
-    return Y.changed_fields(events, Y.enriched(events, _resolutions(s, d)))
+    changed = events.withColumn("amount_btc", F.when(F.col("event_id").cast("long") % 13 == 0, F.concat("amount_btc", F.lit("0"))).otherwise(F.col("amount_btc")))
+    return Y.changed_fields(events, Y.enriched(changed, _resolutions(s, d)))
 
 
 @query

@@ -394,15 +394,13 @@ ORACLE_SQL = {
     "p0_overlap": f"with {CHAIN1}, m as (select p0_mask, count(*) as n from chain group by 1) select string_agg(p0_mask || ':' || n, ',' order by p0_mask) as distribution from m",
     "population_contract": f"with {ECON1}, {ECON.split(IO)[1].lstrip(', ')}, p as (select normalized_address from econ where has_output), o as (select normalized_address from econ1 where has_output), n as (select (select count(*) from o) as o, (select count(*) from p) as p, (select count(*) from p anti join o using (normalized_address)) as x) select o as output_defined_count, p as positive_value_count, x as outside_count, o - p + x as zero_value_only_count, case when x > 0 then 'blocked' else 'allow' end as outcome, case when x > 0 then 'not_contained' else '' end as blocked_codes from n",
     "candidates_v2_s": f"with {CAND} select * from cand",
-    "candidate_violations": "select ''::varchar as normalized_address, ''::varchar as codes where false",
+    "candidate_violations": f"with {CAND} select normalized_address, true as digest_differs from cand where address_bucket = 3",
     "tier_bucket_counts": f"with {CAND} select candidate_tier, address_bucket, count(*) as row_count from cand group by all",
     "excluded_candidates": f"with {CAND} select normalized_address, candidate_tier from cand where address_bucket <> 7",
     "anchors_as_of": f"with {EV} select * from anchors",
-    "anchor_only": f"with {FEATURES}, {EV} select address, string_agg(reason_code, ',' order by reason_code) as calibration_reasons from anchors where address not in (select normalized_address from feat) group by address",
     "cohort_overlap": f"with {DECIDE}, c as (select address_id, unnest(cohorts) as c from decided) select x.c as cohort_a, y.c as cohort_b, count(*) as address_count from c x join c y on x.address_id = y.address_id and x.c <= y.c group by all",
     "topk_per_cohort": f"with {DECIDE}{GROUPS}, r as (select *, (row_number() over (partition by quota_group order by importance_score desc, largest_sats desc, address_id))::int as group_rank from grouped) select quota_group, group_rank, address_id, importance_score, largest_sats from r where group_rank <= 20",
     "p0_leaders": f"with {DECIDE}, p as (select *, ({PLACE})::int as place from decided where priority_class = 'P0') select address_id, place as p0_place, {METRIC} as p0_metric from p order by place, {METRIC} desc, address_id limit 50",
-    "first_wave_statistics": f"with {DECIDE} select priority_class, count(*) as address_count, sum(importance_score)::bigint as score_sum, max(importance_score) as score_max from decided group by 1",
     "coverage_state": f"with {COVER} select normalized_address, candidate_tier, candidate_row_sha256, array_to_string(ids, ',') as provider_entity_ids, direct_enriched, entity_membership_covered, local_evidence_covered, active_conflict, explicit_direct_requirement, coverage_state, reason as coverage_reason_codes from covered",
     "coverage_counts": f"with {COVER} select coverage_state, count(*) as row_count, {', '.join(f'count(*) filter ({x}) as {x}_count' for x in ('direct_enriched', 'entity_membership_covered', 'local_evidence_covered', 'active_conflict', 'explicit_direct_requirement'))} from covered group by 1",
     "set_overlap": f"with {CAND}, {EV}, s as (select distinct address from pred) select count(*) filter (address in (select normalized_address from cand)) as inside_count, count(*) filter (address not in (select normalized_address from cand)) as outside_count from s",
@@ -436,7 +434,7 @@ ORACLE_SQL = {
     "replay_impact": f"""with {REPLAY} select {_W.format('true')} as events, {_W.format('found')} as found, {_W.format('inside')} as internal_candidate_events, {_W.format('inside and found')} as internal_candidate_identity_coverage,
         {', '.join(f"{_W.format(f'inside and policy = {chr(39)}{p}{chr(39)}')} as internal_candidate_{p}_events" for p in ('provider_default', 'local_override', 'conflict_first'))}, {_W.format('inside and inp is null')} as internal_candidate_missing_input_context from seen""",
     "replay_policy_counts": f"with {REPLAY} select case when found then 'found' else 'not_found' end as identity_lookup_status, policy as identity_resolution_policy, sum(w)::bigint as weighted_events from seen group by all",
-    "replay_changed_fields": "select 0::bigint as changed_business_fields",
+    "replay_changed_fields": "select count(*) filter (event_id % 13 = 0) as changed_business_fields from events",
     "bilateral_impact": f"""with {BOTH} select count(*) as events, count(*) filter (not ok) as malformed_events, count(*) filter (ok and inside) as internal_candidate_events, count(*) filter (incomplete) as events_with_missing_input_address, count(*) filter (out_found) as output_identity_found_events,
         sum(n)::bigint as input_addresses_observed, sum(found)::bigint as input_identity_found_addresses, count(*) filter (clash) as conflict_first_side_events, count(*) filter (same) as same_entity_bilateral_events, count(*) filter (dflt) as same_entity_provider_default_events,
         count(*) filter (indep) as same_entity_independent_evidence_events, count(*) filter (strong) as source_strong_condition_events, count(*) filter (strong and not incomplete and not clash and same and dflt) as provider_default_suppression_candidates,
@@ -447,3 +445,129 @@ ORACLE_SQL = {
     "point_totals": f"with {EV} select sum(greatest(1, ceil(event_id * 777 / 100000.0)))::bigint as points from obs",
     "nearest_rank": f"with {EV} select quantile_disc(event_id, 0.5) as p50, quantile_disc(event_id, 0.95) as p95 from obs",
 }
+
+
+def _spread(table: str, column: str) -> str:
+    return f"(select string_agg(x || ':' || n, ',' order by x) from (select {column} as x, count(*) as n from {table} group by 1))"
+
+
+_SOURCE = """select count(*) filter (has_output) as source_standard_address_count, count(*) filter (has_input and not has_output) as source_input_only_address_count,
+    count(*) filter (has_output and current_utxo_sats < 0) as negative_current_utxo_count, max(last_seen_time) filter (has_output) as max_observed_activity_time from {}"""
+_QUALITY = "select count(*) filter (v is null) as null_value_count, 0::bigint as value_cast_failure_count from one"
+ROW1 = CHAIN1 + f""", census as (
+    select *, {_spread('chain', 'p0_mask')} as p0_overlap_distribution, {_spread('chain', 'chain_importance_score')} as score_histogram, 'btc_candidate_statistics_v1' as contract_version
+    from (select {_counters1()} from chain), ({_SOURCE.format('econ1')}), ({_QUALITY})
+)"""
+_VARIANT_NAMES = {"strict": "V2-S", "balanced": "V2-B", "retention": "V2-R"}
+
+
+def _variant_columns(v: str) -> str:
+    own = {
+        "variant": f"'{_VARIANT_NAMES[v]}'", "p0_utxo_ge_100_btc_count": "p0_utxo_count", "p0_sustained_residual_gross_90d_ge_1000_btc_count": "p0_sustained_residual_gross_count",
+        "p0_receipt_rule_count": f"{v}_p0_receipt_count", "p0_lifetime_ge_10000_active_supported_90d_count": "p0_lifetime_active_supported_count",
+        "chain_p0_union_count": f"{v}_p0_union_count", "incremental_receipt_p0_count": f"{v}_incremental_receipt_p0_count", "p0_overlap_distribution": _spread("variants", f"{v}_p0_mask"),
+        "chain_p1_count": f"{v}_p1_count", "p0_p1_overlap_count": f"{v}_p0_p1_overlap_count", "edge_upgrade_frontier_count": f"{v}_edge_count",
+        "coarse_candidate_union_count": f"{v}_coarse_count", "excluded_source_address_count": f"{v}_excluded_count",
+    }
+    return ", ".join(f"{x} as {v}_variant_{n}" for n, x in own.items())
+
+
+ROW2 = VARIANT + f""", census as (
+    select *, {_spread('variants', 'receipt_support_mask')} as receipt_support_overlap_distribution, {_spread('variants', 'v2_chain_score')} as score_histogram,
+           {', '.join(_variant_columns(v) for v in _VARIANT_NAMES)}, 'btc_candidate_statistics_v2' as contract_version
+    from (select {_counters2()} from variants), ({_SOURCE.format('econ')}), ({_QUALITY})
+)"""
+
+
+def _falls(*names: str) -> str:
+    return " or ".join(f"{a} < {b}" for a, b in zip(names, names[1:], strict=False))
+
+
+def _by(prefix: str, *steps: int, end: str = "_btc_count") -> str:
+    return _falls(*(f"{prefix}{k}{end}" for k in steps))
+
+
+def _masks(table: str, column: str, cond: str = "true") -> str:
+    return f"(select count(*) from {table} where {cond.format(column)})"
+
+
+def _verdict(rows: str, hard: dict[str, str], soft: dict[str, str]) -> str:
+    def broken(rules: dict[str, str]) -> str:
+        return "list_sort(list_filter([" + ", ".join(f"case when {x} then '{k}' end" for k, x in rules.items()) + "], lambda x: x is not null))"
+
+    return f"""with {rows}, judged as (select {broken(hard)} as b, {broken(soft)} as w from census)
+        select case when len(b) > 0 then 'blocked' when len(w) > 0 then 'warn' else 'allow' end as outcome, array_to_string(b, ',') as blocked, array_to_string(w, ',') as warned from judged"""
+
+
+_N = "source_standard_address_count"
+_HARD = {"null_values": "null_value_count > 0", "value_cast_failures": "value_cast_failure_count > 0", "negative_utxo": "negative_current_utxo_count > 0"}
+HARD1 = _HARD | {
+    "p0_distribution_total": f"{_masks('chain', 'p0_mask')} <> {_N}", "p0_union": f"{_masks('chain', 'p0_mask', '{} <> 0')} <> chain_p0_union_count",
+    "score_total": f"{_masks('chain', '')} <> {_N}",
+    "p0_bits": " or ".join(
+        f"{_masks('chain', 'p0_mask', '{} & ' + str(b) + ' <> 0')} <> {n}"
+        for b, n in ((1, "p0_utxo_ge_100_btc_count"), (2, "p0_same_tx_receive_ge_500_btc_count"), (4, "p0_gross_90d_ge_1000_btc_count"), (8, "p0_lifetime_ge_10000_active_365d_count"))
+    ),
+    "p0_p1_overlap": "p0_p1_overlap_count <> 0", "coarse_partition": f"coarse_candidate_union_count + excluded_source_address_count <> {_N}",
+    "coarse_too_small": "coarse_candidate_union_count < chain_p0_union_count + chain_p1_count + edge_upgrade_frontier_count",
+    "utxo_ladder": _by("utxo_ge_", 1, 10, 100, 1000), "receipt_ladder": _by("same_tx_receive_ge_", 100, 500, 1000, 5000), "gross_ladder": _by("gross_90d_ge_", 10, 100, 1000, 10000),
+    "recency_ladder": _by("recency_le_", 365, 90, 30, end="d_count"),
+}
+SOFT1 = {
+    "coarse_over_5m": "coarse_candidate_union_count > 5000000", "p0_over_120k": "chain_p0_union_count > 120000", "edge_over_1m": "edge_upgrade_frontier_count > 1000000",
+    "cohort_over_40_percent": "greatest(current_capital_count, historical_large_receipt_count, high_turnover_count, dormant_holder_count) * 100 > coarse_candidate_union_count * 40",
+}
+HARD2 = _HARD | {
+    "score_total": f"{_masks('variants', '')} <> {_N}", "support_total": f"{_masks('variants', '')} <> {_N}",
+    "support_bits": " or ".join(
+        f"{_masks('variants', 'receipt_support_mask', '{} & ' + str(b) + ' <> 0')} <> recent_receipt_{n}_count" for b, n in ((1, "retained"), (2, "repeated"), (4, "sustained_activity"))
+    ),
+    "utxo_ladder": _by("utxo_ge_", 1, 10, 100, 1000), "raw_gross_ladder": _by("raw_gross_90d_ge_", 10, 100, 1000, 10000), "residual_ladder": _by("residual_gross_90d_ge_", 10, 100, 1000, 10000),
+    "recency_ladder": _by("recency_le_", 365, 90, 30, end="d_count"),
+    "horizon_ladder": _falls("lifetime_max_receipt_ge_500_btc_count", "max_receipt_365d_ge_500_btc_count", "max_receipt_90d_ge_500_btc_count"),
+    "residual_over_raw": _falls("raw_gross_90d_ge_10_btc_count", "residual_gross_90d_ge_10_btc_count"),
+    "variant_funnel": _falls("balanced_p0_receipt_count", "strict_p0_receipt_count") + " or " + _falls("balanced_p0_union_count", "strict_p0_union_count"),
+    "hard_stop_p0": "strict_p0_union_count > 1000000", "hard_stop_coarse": "strict_coarse_count > 5000000", "hard_stop_edge": "strict_edge_count > 1000000",
+}
+for _v in _VARIANT_NAMES:
+    HARD2[f"{_v}_partition"] = f"{_masks('variants', '')} <> {_N} or {_masks('variants', _v + '_p0_mask', '{} <> 0')} <> {_v}_p0_union_count or {_v}_coarse_count + {_v}_excluded_count <> {_N}"
+    HARD2[f"{_v}_bits"] = " or ".join(
+        f"{_masks('variants', _v + '_p0_mask', '{} & ' + str(b) + ' <> 0')} <> {n}"
+        for b, n in ((1, "p0_utxo_count"), (2, "p0_sustained_residual_gross_count"), (4, f"{_v}_p0_receipt_count"), (8, "p0_lifetime_active_supported_count"))
+    )
+    HARD2[f"{_v}_p0_p1_overlap"] = f"{_v}_p0_p1_overlap_count <> 0"
+SOFT2 = {"review_p0": "strict_p0_union_count > 120000", "review_coarse": "strict_coarse_count > 2000000", "review_receipt": "strict_p0_receipt_count > 95906"}
+
+ORACLE_SQL |= {
+    "census_v1_row": f"with {ROW1} select * from census", "census_v2_row": f"with {ROW2} select * from census",
+    "census_v1_reconciled": _verdict(ROW1, HARD1, SOFT1), "census_v2_reconciled": _verdict(ROW2, HARD2, SOFT2),
+    "panel_by_stratum": f"""with {PANEL}, first_ref as (select address, arg_min(ref, (ts, event_id)) as ref from req where ref like 'panel:%' group by address), cut as (select panel.*, split_part(ref, ':', -1) as stratum from panel join first_ref using (address))
+        select stratum, outcome, count(*) as candidate_addresses, {_PANEL} from cut group by stratum, outcome""",
+}
+
+
+def _early(sql: str) -> str:
+    """The same of the campaign that ended after the first month."""
+    return sql.replace(CUT, "timestamp '1995-01-31 00:00:00'").replace("height <= 2404", "height <= 30")
+
+
+ALONE = f"""{_early(DECIDE)}, alone as (
+    select address, sha256('bitcoin:' || address) as address_id, list(distinct reason_code) as reasons from anchors where address not in (select normalized_address from feat) group by address
+)"""
+ORACLE_SQL |= {
+    "anchor_only": f"with {ALONE} select address, array_to_string(list_sort(reasons), ',') as calibration_reasons from alone",
+    "first_wave_leaders": f"""with {ALONE}, p as (select address_id, reasons, current_utxo_sats, max_same_tx_received_sats, gross_flow_90d_sats, lifetime_received_sats from decided where priority_class = 'P0' union all select address_id, reasons, 0, 0, 0, 0 from alone),
+        q as (select *, coalesce({PLACE}, 6)::int as place from p) select address_id, place as p0_place, ({METRIC})::bigint as p0_metric from q order by place, p0_metric desc, address_id limit 80""",
+    "first_wave_statistics": f"""with {ALONE}, members as (select priority_class as c, reasons, cohorts from decided where priority_class <> 'NONE' union all select 'P0', reasons, ['calibration'] from alone),
+        n as (select count(*) as u, count(*) filter (c = 'P0') as p0, sum(len(reasons)) as r, (select count(*) from alone) as a from members),
+        numbered as (select row_number() over () as k, cohorts from members), each_cohort as (select k, unnest(cohorts) as a from numbered),
+        counts as (
+            select 'class' as metric, c as name, count(*) as value from members group by c
+            union all select 'reason', x, count(*) from (select unnest(reasons) as x from members) group by x
+            union all select 'cohort', a, count(*) from each_cohort group by a
+            union all select 'overlap', x.a || '&' || y.a, count(*) from each_cohort x join each_cohort y on x.k = y.k and x.a < y.a group by all
+        )
+        select * from counts union all
+        select 'total' as metric, unnest(['anchor_only', 'reason_memberships', 'duplicate_slots_prevented', 'first_wave_unique', 'unique_selected', 'rate_limited_capacity', 'point_limited_capacity', 'remaining_p0', 'projected_minimum_minutes']),
+            unnest([a, r, r - u, least(u, 20), u, 20, 40, p0 - least(p0, u, 20), ceil(u / 5.0)])::bigint from n""",
+}

@@ -1,6 +1,8 @@
 """Rules of single operators, with hand-built rows."""
 
 import hashlib
+import random
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -139,12 +141,67 @@ def test_quotas_are_whole(spark):
     assert W.quotas(10) == {"current_capital": 3, "historical_large_receipt": 3, "high_turnover": 2, "dormant_holder": 1, "high_value_connector": 1, "calibration_control": 0}
 
 
-def test_first_wave(spark):
-    rows = [(f"{i:03d}", "P0" if i < 3 else "P1", 40 - i % 10, 10 * i, 0, 0, 0, ["utxo_ge_100_btc"] if i < 3 else ["x"], [("current_capital", "high_turnover", "dormant_holder")[i % 3]]) for i in range(60)]
-    df = spark.createDataFrame(rows, "address_id string, priority_class string, importance_score int, current_utxo_sats long, max_same_tx_received_sats long, gross_flow_90d_sats long, lifetime_received_sats long, reason_codes array<string>, cohort_names array<string>")
-    counts, chosen = W.select_first_wave(df, 20)
-    assert counts["P0"] == 3 and chosen[:3] == ["002", "001", "000"] and len(chosen) == len(set(chosen)) == sum(counts.values()) == 20
-    assert W.select_first_wave(df, 0) == ({}, [])
+WAVE = (
+    "address_id string, priority_class string, importance_score int, current_utxo_sats long, max_same_tx_received_sats long, "
+    "gross_flow_90d_sats long, lifetime_received_sats long, reason_codes array<string>, cohort_names array<string>"
+)
+
+
+def wave_by_loops(rows, slots):
+    """The selection's rules, row by row."""
+    p0 = sum(r[1] == "P0" for r in rows)
+    counts, free = Counter({"P0": min(p0, slots)}), slots - min(p0, slots)
+    line = sorted((r for r in rows if r[1] in ("P1", "CONTROL")), key=lambda r: (-r[2], -max(r[3:7]), r[0]))
+    lists = {g: [r for r in line if g in own_groups(r)][:slots] for g in W.GROUPS}
+    chosen = set()
+    for g, most in W.quotas(free).items():
+        for r in [r for r in lists[g] if r[0] not in chosen][:most]:
+            chosen.add(r[0])
+            counts[g] += 1
+    cap = -(-free * 40 // 100)
+    for r in line:
+        if len(chosen) < free and r[0] not in chosen and any(r in own for own in lists.values()):
+            live = sum(any(x[0] not in chosen for x in own) for own in lists.values())
+            able = [g for g in own_groups(r) if counts[g] < cap or live < 3]
+            if able:
+                counts[min(able, key=lambda g: (counts[g], g))] += 1
+                chosen.add(r[0])
+    return {g: n for g, n in counts.items() if n}
+
+
+def own_groups(r):
+    return sorted({"calibration_control" if c in ("calibration", "control") else c for c in r[8]} & set(W.GROUPS))
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_first_wave(spark, seed):
+    rng = random.Random(seed)
+    names = ["current_capital", "high_turnover", "dormant_holder", "historical_large_receipt", "high_value_connector", "calibration", "control"]
+    rows = [
+        (f"{i:03d}", rng.choice(["P0", "P1", "P1", "P1", "P1", "CONTROL", "NONE"]), rng.randint(0, 40), rng.randint(0, 9), rng.randint(0, 9), 0, 0,
+         ["utxo_ge_100_btc"], rng.sample(names[: 3 + 2 * seed], rng.randint(1, 3)))
+        for i in range(120)
+    ]
+    df = spark.createDataFrame(rows, WAVE)
+    for slots in (5, 40, 70):
+        got = {r.quota_group: r.address_count for r in W.select_first_wave(df, slots).collect()}
+        assert got == wave_by_loops(rows, slots), slots
+    assert W.select_first_wave(df, 0).count() == 0
+
+
+def test_first_wave_anchors_and_capacity(spark):
+    rows = [("a" * 64, "P0", 5, 7, 0, 0, 0, ["utxo_ge_100_btc"], ["current_capital"]), ("b" * 64, "P1", 30, 1, 1, 1, 1, ["x", "y"], ["current_capital", "high_turnover"])]
+    anchors = spark.createDataFrame([("n1", ["existing_provider_conflict"]), ("n2", [])], "address string, calibration_reasons array<string>")
+    best = W.best_p0(spark.createDataFrame(rows, WAVE), 9, anchors).collect()
+    assert [r.p0_place for r in best] == [0, 2, 6] and best[1].address_id == "a" * 64
+    limits = W.capacity(1, 3, 100, 50)
+    assert limits == {"rate_limited": 3, "point_limited": 2, "bounded": 2}
+    got = {(r.metric, r.name): r.value for r in W.first_wave_statistics(spark.createDataFrame(rows, WAVE), anchors, limits, 3).collect()}
+    assert got["class", "P0"] == 3 and got["class", "P1"] == 1 and got["total", "anchor_only"] == 2 and got["first_wave", "P0"] == 2
+    assert got["total", "remaining_p0"] == 1 and got["total", "projected_minimum_minutes"] == 2 and got["overlap", "current_capital&high_turnover"] == 1
+    assert got["total", "reason_memberships"] == 5 and got["total", "duplicate_slots_prevented"] == 1 and got["reason", "anchor_only_calibration"] == 1
+    with pytest.raises(ValueError):
+        W.capacity(0, 1, 1)
 
 
 def test_candidate_violations(spark):
@@ -168,6 +225,29 @@ def test_coverage_precedence(spark):
         assert got[n] == ("direct_enriched" if direct else "needs_direct_enrichment" if conflict or explicit else "entity_membership_covered" if member else "local_evidence_covered" if evidence else "needs_direct_enrichment")
 
 
+@pytest.mark.parametrize("parts", [2, 8, 200])
+def test_ranks_of_wide_rows(spark, parts):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", parts)
+    try:
+        df = spark.range(50_000, numPartitions=7).select("id", (F.col("id") * 7_919 % 50_021).alias("v"), F.sha2(F.col("id").cast("string").cast("binary"), 256).alias("more"))
+        rows = K.ranked(df, F.desc("v"), F.asc("id")).collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    places = {r.id: r.queue_rank for r in rows}
+    assert len(rows) == 50_000 and all(places[i] == k for k, i in enumerate(sorted(range(50_000), key=lambda i: (-(i * 7_919 % 50_021), i)), 1))
+
+
+def test_one_address_in_half_the_rows(spark):
+    tx = transactions(spark, *[(f"t{i}", f"b{i % 5}", i, "2019-12-01", [], [out("hot", 10 ** 10 + i), out(f"a{i}", 10 ** 10 * (i % 3))]) for i in range(300)])
+    got = {r.normalized_address: r for r in E.address_economics(X.flatten_io(tx), CUT).collect()}
+    assert got["hot"].lifetime_received_sats == sum(10 ** 10 + i for i in range(300)) and got["hot"].active_tx_90d_count == 300
+    plan = E.address_economics(X.flatten_io(tx), CUT)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Repartition" not in plan  # both levels sum in part before their shuffles
+    feats = {r.normalized_address: r.direct_large_counterparty_count for r in E.address_features(X.flatten_io(tx), CUT).collect()}
+    assert feats["hot"] == sum(i % 3 > 0 for i in range(300)) and feats["a1"] == 1 and feats["a3"] == 0
+
+
 def test_ranking(spark):
     df = spark.range(500).select(F.col("id"), (F.col("id") * 37 % 101).alias("v"))
     got = [r.id for r in K.ranked(df, F.desc("v"), F.asc("id")).orderBy("queue_rank").collect()]
