@@ -80,7 +80,7 @@ def _differing(one: str, other: str, salt: str) -> str:
     after = f"if(size(u) = 0, named_struct('c', t.c, 'd', t.d, 'e', true), named_struct('c', {taken}, 'd', concat(t.d, u.k), 'e', false))"
     start = f"named_struct('c', zip_with({one}, {other}, (a, b) -> a ^ b), 'd', cast(array() as array<bigint>), 'e', false)"
     done = "if(forall(t.c, c -> c = 0L) and size(array_distinct(t.d)) = size(t.d), size(t.d), null)"
-    return f"aggregate(sequence(1, {CELLS}), {start}, (t, r) -> if(t.e, t, {let(placed, 'u', after)}), t -> {done})"
+    return f"aggregate(sequence(1, {CELLS}), {start}, (t, turn) -> if(t.e, t, {let(placed, 'u', after)}), t -> {done})"
 
 
 def _dealt(keys: str, salt: str, shards: str) -> str:
