@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import ship, written
+from .common import ship, tidy, written
 
 SAMPLE, PROBES, TARGET = 16_384, 128, 0.97
 BLOCK, QUERIES = 1024, 256
@@ -64,7 +64,14 @@ def unit(x: np.ndarray) -> np.ndarray:
 
 
 def cosine(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Row by row; equal rows give equal values wherever they stand."""
+    """Row by row; equal rows give equal values wherever they stand. Rows whose squares overflow or vanish are scaled first."""
+
+    def scaled(x: np.ndarray) -> np.ndarray:
+        most = np.abs(x).max(axis=1, keepdims=True)
+        far = (most > 1e120) | (most < 1e-120)
+        return np.where(far, x / np.where(far, most, 1), x) if far.any() else x
+
+    a, b = scaled(a), scaled(b)
     return (a * b).sum(axis=1) / (np.sqrt((a * a).sum(axis=1)) * np.sqrt((b * b).sum(axis=1)))
 
 
@@ -95,6 +102,15 @@ def valid(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
     return rows.where(F.size("_v") == (most.n if most else 0))
 
 
+def _sample(rows: DataFrame, most: int = SAMPLE) -> list:
+    """At most that many rows, about as many where there are so many: those of small hashes, and no sort."""
+    n = rows.count()
+    part = rows if n <= most else rows.where(F.pmod(F.xxhash64("_id", "_v", F.lit(11)), F.lit(1 << 30)) < int((1 << 30) * 0.95 * most / n))
+    found = part.limit(most).collect()
+    # repeated rows have the same hash: all or none of them are there
+    return found or rows.limit(most).collect()
+
+
 def _stacked(column: pa.Array) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), "<f8").reshape(len(column), -1)
 
@@ -107,7 +123,7 @@ def nearest_neighbours(vectors: DataFrame, k: int = 5, every: int = 50, id_col:
         raise ValueError("a mask holds 64 second-half centroids")
     rows = valid(vectors, id_col, vector_col)
     schema = "query_id long, rank int, vec_id long, score double"
-    some = rows.orderBy(F.xxhash64("_id"), "_id").limit(SAMPLE).collect()  # at most SAMPLE
+    some = _sample(rows)
     if not some:
         return spark.createDataFrame([], schema)
     x = unit(np.array([r._v for r in some], np.float64))
@@ -125,7 +141,7 @@ def nearest_neighbours(vectors: DataFrame, k: int = 5, every: int = 50, id_col:
             raw = [r.tobytes() for r in np.ascontiguousarray(v, "<f8")]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(nearest(u[:, :half], first).astype(np.int32)), pa.array(nearest(u[:, half:], second).astype(np.int32)), pa.array(raw, pa.binary())], ["_id", "_i", "_j", "_v"])
 
-    index = written(rows.mapInArrow(assigned, "_id long, _i int, _j int, _v binary"), "index")
+    index = written(rows.mapInArrow(tidy(assigned), "_id long, _i int, _j int, _v binary"), "index")
     counts = np.zeros(size, np.int64)
     for r in index.groupBy("_i", "_j").count().collect():  # at most codes ** 2
         counts[r._i, r._j] = r["count"]
@@ -157,9 +173,11 @@ def nearest_neighbours(vectors: DataFrame, k: int = 5, every: int = 50, id_col:
     chunks = F.element_at(F.array(*[F.lit(int(max(1, -(-n // BLOCK)))) for n in per_group]), F.col("_i") + 1)
     blocks = index.groupBy("_i", F.pmod(F.xxhash64("_id", "_v"), chunks).alias("_c")).agg(F.collect_list(F.struct("_id", "_j", "_v")).alias("_entries"))
     n_queries = queries.count()
-    asked = queries.select("_id", "_v").mapInArrow(probes, "_q long, _i int, _mask long, _u binary")
+    asked = queries.select("_id", "_v").mapInArrow(tidy(probes), "_q long, _i int, _mask long, _u binary")
     asked = asked.groupBy("_i", F.pmod(F.xxhash64("_q"), F.lit(max(1, -(-n_queries // QUERIES)))).alias("_d")).agg(F.collect_list(F.struct("_q", "_mask", "_u")).alias("_asked"))
-    pairs = blocks.join(asked, "_i").select("_entries", "_asked")
+    # each block of queries goes to every block of its centroid by name, so a heavy centroid is as many keys as it has blocks
+    asked = asked.select("_i", F.explode(F.sequence(F.lit(0).cast("long"), chunks.cast("long") - 1)).alias("_c"), "_asked")
+    pairs = blocks.withColumn("_c", F.col("_c").cast("long")).join(asked, ["_i", "_c"]).select("_entries", "_asked")
 
     def reranked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -186,7 +204,7 @@ def nearest_neighbours(vectors: DataFrame, k: int = 5, every: int = 50, id_col:
                 best = np.arange(len(at_q)) - start < k
                 yield pa.RecordBatch.from_arrays([pa.array(q[at_q[best]]), pa.array(ids[at_v[best]]), pa.array(score[best])], ["query_id", "vec_id", "score"])
 
-    found = pairs.mapInArrow(reranked, "query_id long, vec_id long, score double")
+    found = pairs.mapInArrow(tidy(reranked), "query_id long, vec_id long, score double")
     w = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
@@ -215,7 +233,7 @@ def _budget(index: DataFrame, queries: DataFrame, books: tuple, counts: np.ndarr
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int32(), pa.float64(), pa.int32(), pa.int32()), strict=True)], ["n", "score", "i", "j"])
 
     w = Window.partitionBy("n").orderBy(F.desc("score"))
-    true = index.mapInArrow(best, "n int, score double, i int, j int").withColumn("r", F.row_number().over(w)).where(F.col("r") <= k).collect()  # PROBES * k
+    true = index.mapInArrow(tidy(best), "n int, score double, i int, j int").withColumn("r", F.row_number().over(w)).where(F.col("r") <= k).collect()  # PROBES * k
     need = []
     for n in range(len(ids)):
         cells = {(r.i, r.j) for r in true if r.n == n}

@@ -7,6 +7,7 @@ import gc
 import os
 import uuid
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -19,6 +20,7 @@ LAST_ID = 2**63 - 1
 
 
 _CACHES: list[dict] = []
+_SCRATCH: list[list[DataFrame]] = []
 
 
 def cache_of(worker_cache: dict) -> dict:
@@ -100,14 +102,36 @@ def written(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/lodestrata-{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    for made in _SCRATCH[-1:]:
+        made.append(out)
+    return out
+
+
+def free_name(name: str, columns: list[str]) -> str:
+    """name, with underscores in front until no column has it (Spark doesn't tell cases apart)."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
+@contextmanager
+def scratch(keep: list[DataFrame]) -> Iterator[None]:
+    """Deletes, at the end, the tables that written() made meanwhile, but those in keep; what was read from them has to be stored by then."""
+    _SCRATCH.append([])
+    try:
+        yield
+    finally:
+        for df in _SCRATCH.pop():
+            if not any(df is k for k in keep):
+                dropped(df)
 
 
 def dropped(df: DataFrame) -> None:
     """Delete a table that written() made."""
     spark = df.sparkSession
-    files = df.inputFiles()
-    if files:
+    if files := df.inputFiles():  # none if it was deleted already
         path = spark._jvm.org.apache.hadoop.fs.Path(files[0].rsplit("/", 1)[0])
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 

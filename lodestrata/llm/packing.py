@@ -10,16 +10,22 @@ group, go on to the next round, where MERGE groups meet in one; so no task ever
 gets more than about GROUP_SIZE pieces, and the last round ends with one group.
 
 Crossover injects the best-filled bins of one parent whole into the other,
-removes the bins there that hold any of their pieces, and best-fits the
-displaced pieces. Fitness is the mean of the squared fill.
+removes the bins there that hold any of their pieces, lets displaced pieces
+change places with smaller ones that leave more room, and best-fits the rest; a
+mutation opens the worst bins. Fitness is the number of sequences, then the mean
+of the squared fill. An island ends at the lower bound or when it has not
+got better for a while. Where best fit alone meets the bound, as it does with many
+small pieces, nothing is left to evolve.
 
 Defined results: a null or empty text is the closing id alone. Rows that repeat
 are packed each for itself; a row without an id too. An empty table gives an
-empty one. Texts over the capacity are cut, and nothing else is.
+empty one. Texts over the capacity are cut, and nothing else is. Other columns
+of the input, whatever their names, aren't returned.
 """
 
 from __future__ import annotations
 
+import json
 import random
 import unicodedata
 import zlib
@@ -32,24 +38,57 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cache_of, ship, written
+from .common import cache_of, ship, tidy, written
 
-GROUP_SIZE, MERGE, ISLANDS = 4096, 4, 2
+GROUP_SIZE, MERGE, ISLANDS = 4096, 4, 3
+POPULATION, STALE, GENERATIONS = 10, 25, 200
+#: bins that a repair tries to fill better by changing items
+SWAPPED = 32
 #: Byte-level vocabularies write bytes as letters: printable Latin-1 as itself, the others from U+0100 on.
 _PLAIN = [*range(33, 127), *range(161, 173), *range(174, 256)]
 _BYTE_LETTERS = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in _PLAIN)}
-_ENCODERS: dict[str, "WordEncoder"] = {}
+_ENCODERS: dict[str, "WordEncoder | TextEncoder"] = {}
+
+
+# The settings of a tokenizer file for which words may be looked up one by one.
+_NORMAL = ({"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"})
+_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+
+
+def by_words(settings: dict) -> bool:
+    """Whether a tokenizer's settings are those: lower case and normal form, cut by a pattern that never joins what white space parts, byte letters."""
+    normal, cut = settings.get("normalizer") or {}, settings.get("pre_tokenizer") or {}
+    split, *rest = cut.get("pretokenizers") or [{}]
+    return (
+        tuple(normal.get("normalizers") or ()) == _NORMAL and split.get("pattern") == {"Regex": _PATTERN} and split.get("behavior") == "Removed" and split.get("invert") is True
+        and [x.get("type") for x in rest] == ["ByteLevel"] and not rest[0].get("add_prefix_space") and not rest[0].get("use_regex")
+        and settings["model"].get("type") == "BPE" and not settings["model"].get("dropout") and not settings.get("truncation") and not settings.get("padding")
+    )
+
+
+class TextEncoder:
+    """Ids of whole texts, by the tokenizer itself: for files of any other settings."""
+
+    def __init__(self, path: str):
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.no_truncation()
+        self.tokenizer.no_padding()
+
+    def document(self, text: str | None) -> bytes:
+        return np.array(self.tokenizer.encode(text or "", add_special_tokens=False).ids, "<u4").tobytes()
 
 
 class WordEncoder(dict):
-    """Ids (little-endian unsigned 32 bits) of words between ASCII white space, by a Hugging Face tokenizer file.
+    """Ids (little-endian unsigned 32 bits) of words between ASCII white space, for files whose settings are by_words.
 
-    The tokenizer's pattern never joins what white space parts, so words can be
-    looked up one by one; a word is first cut into the pattern's units, which
-    repeat far more often than words do. Both tables are emptied when full.
+    A word is first cut into the pattern's units, which repeat far more often
+    than words do. Both tables are emptied when full.
     """
 
-    MOST = 600_000
+    MOST = 200_000
 
     def __init__(self, path: str):
         import regex
@@ -90,10 +129,12 @@ class WordEncoder(dict):
         return b"".join(map(self.__getitem__, (text or "").encode("utf-8", "surrogatepass").lower().split()))
 
 
-def encoder(path: str) -> WordEncoder:
+def encoder(path: str) -> WordEncoder | TextEncoder:
     if path not in _ENCODERS:
-        _ENCODERS[path] = WordEncoder(path)
-    return cache_of(_ENCODERS[path])
+        with open(path, encoding="utf-8") as f:
+            _ENCODERS[path] = (WordEncoder if by_words(json.load(f)) else TextEncoder)(path)
+    found = _ENCODERS[path]
+    return cache_of(found) if isinstance(found, dict) else found
 
 
 def pieces(docs: DataFrame, tokenizer: str, capacity: int = 4096, end_id: int = 1, id_col: str = "doc_id", text_col: str = "text", keep_ids: bool = False) -> DataFrame:
@@ -121,7 +162,7 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = 4096, end_id: int =
             yield pa.RecordBatch.from_arrays(cols + [pa.array(kept, pa.binary())] * keep_ids, ["_id", "piece", "start", "length", "ids_crc32"] + ["ids"] * keep_ids)
 
     schema = f"_id {kind}, piece int, start long, length long, ids_crc32 long" + ", ids binary" * keep_ids
-    return docs.select(F.col(id_col), F.col(text_col)).mapInArrow(rows, schema)
+    return docs.select(F.col(id_col), F.col(text_col)).mapInArrow(tidy(rows, "packing"), schema)
 
 
 Bins = list[list[int]]
@@ -153,42 +194,94 @@ def best_fit(sizes: list[int], items: list[int], capacity: int, bins: Bins | Non
     return bins
 
 
-def fitness(sizes: list[int], bins: Bins, capacity: int) -> float:
-    return sum((sum(sizes[i] for i in b) / capacity) ** 2 for b in bins) / max(1, len(bins))
+def loads_of(sizes: list[int], bins: Bins) -> list[int]:
+    return [sum(map(sizes.__getitem__, b)) for b in bins]
+
+
+def fitness(sizes: list[int], bins: Bins, capacity: int) -> tuple[int, float]:
+    """Fewer bins first, then the mean of the squared fill; larger is better."""
+    return -len(bins), sum((x / capacity) ** 2 for x in loads_of(sizes, bins)) / max(1, len(bins))
 
 
 def crossed(sizes: list[int], one: Bins, other: Bins, capacity: int, share: float) -> Bins:
     """one with the best-filled share of other's bins injected whole."""
-    inject = sorted(other, key=lambda b: -sum(sizes[i] for i in b))[: max(1, int(len(other) * share))]
+    loads = loads_of(sizes, other)
+    inject = [other[k] for k in sorted(range(len(other)), key=lambda k: -loads[k])[: max(1, int(len(other) * share))]]
     taken = {i for b in inject for i in b}
     stay, displaced = [], []
     for b in one:
-        hit = [i for i in b if i in taken]
-        if not hit:
+        if taken.isdisjoint(b):
             stay.append(b)
         else:
             displaced += [i for i in b if i not in taken]
-    return best_fit(sizes, sorted(displaced, key=lambda i: -sizes[i]), capacity, inject + stay)
-
-
-def evolved(sizes: list[int], capacity: int, seed: int, first: list[Bins] = (), population: int = 4, generations: int = 6) -> Bins:
-    """The elite of one island: first are the packings that it starts from."""
+    return repaired(sizes, displaced, capacity, inject + stay)
+
+
+def repaired(sizes: list[int], displaced: list[int], capacity: int, bins: Bins) -> Bins:
+    """bins with the displaced items: larger ones change places with smaller ones that they fill a bin better than, then best fit."""
+    bins, free = [list(b) for b in bins], sorted(displaced, key=lambda i: -sizes[i])
+    if free:
+        loads = loads_of(sizes, bins)
+        for k in sorted(range(len(bins)), key=loads.__getitem__)[:SWAPPED]:
+            gap = capacity - loads[k]
+            if not gap:
+                continue
+            best = None  # the swap that leaves the least room
+            for a, i in enumerate(bins[k]):
+                for f, j in enumerate(free):
+                    more = sizes[j] - sizes[i]
+                    if 0 < more <= gap and (best is None or more > best[0]):
+                        best = (more, a, f)
+                        if more == gap:
+                            break
+            if best:
+                _, a, f = best
+                bins[k][a], free[f] = free[f], bins[k][a]
+                free.sort(key=lambda i: -sizes[i])
+    return best_fit(sizes, free, capacity, bins)
+
+
+def broken(sizes: list[int], bins: Bins, capacity: int, rng: random.Random, share: float) -> Bins:
+    """A mutation: the worst-filled bins, and some others, are opened and packed anew."""
+    loads = loads_of(sizes, bins)
+    order = sorted(range(len(bins)), key=loads.__getitem__)
+    opened = set(order[: max(1, int(len(bins) * share))]) | set(rng.sample(range(len(bins)), min(len(bins), 1 + int(len(bins) * share))))
+    return repaired(sizes, [i for k in opened for i in bins[k]], capacity, [b for k, b in enumerate(bins) if k not in opened])
+
+
+def least_bins(sizes: list[int], capacity: int) -> int:
+    """No packing has fewer: by the total, and by items of over half the capacity, of which each bin holds one."""
+    return max(-(-sum(sizes) // capacity), sum(2 * x > capacity for x in sizes))
+
+
+def evolved(sizes: list[int], capacity: int, seed: int, first: list[Bins] = (), population: int = POPULATION, stale: int = STALE, most: int = GENERATIONS) -> Bins:
+    """The elite of one island: first are the packings that it starts from.
+
+    Ends at the bound, or after stale generations without a better elite, and
+    after most at last; all of that depends on the group's sizes alone.
+    """
     rng, n = random.Random(seed), len(sizes)
-    by_size = sorted(range(n), key=lambda i: -sizes[i])
-    least = -(-sum(sizes) // capacity)
-    pool = list(first) or [best_fit(sizes, by_size, capacity)]
+    least = least_bins(sizes, capacity)
+    pool = list(first)
     while len(pool) < population:
-        mixed = sorted(range(n), key=lambda i: -sizes[i] * rng.uniform(0.7, 1.3))
-        pool.append(best_fit(sizes, mixed, capacity))
-    pool.sort(key=lambda b: -fitness(sizes, b, capacity))
-    for _ in range(generations):
-        if len(pool[0]) <= least:
+        spread = 0.0 if not pool else rng.uniform(0.05, 0.6)
+        pool.append(best_fit(sizes, sorted(range(n), key=lambda i: -sizes[i] * rng.uniform(1 - spread, 1 + spread)), capacity))
+        if len(pool[-1]) <= least:
+            return pool[-1]
+    scored = sorted(((fitness(sizes, b, capacity), b) for b in pool), key=lambda x: x[0], reverse=True)
+    idle = 0
+    for _ in range(most):
+        if -scored[0][0][0] <= least or idle >= stale:
             break
-        a, b = rng.sample(range(len(pool)), 2)
-        pool += [crossed(sizes, pool[a], pool[b], capacity, rng.uniform(0.2, 0.8)), crossed(sizes, pool[b], pool[a], capacity, rng.uniform(0.2, 0.8))]
-        pool.sort(key=lambda x: -fitness(sizes, x, capacity))
-        del pool[population:]
-    return pool[0]
+        # tournaments choose the parents
+        a, b = (min(rng.sample(range(len(scored)), 2)) for _ in range(2))
+        made = [crossed(sizes, scored[a][1], scored[b][1], capacity, rng.uniform(0.1, 0.7)), broken(sizes, scored[rng.randrange(len(scored))][1], capacity, rng, rng.uniform(0.02, 0.15))]
+        best = scored[0][0]
+        known = {f for f, _ in scored}
+        scored += [(f, b) for f, b in ((fitness(sizes, b, capacity), b) for b in made) if f not in known]
+        scored = sorted(scored, key=lambda x: x[0], reverse=True)[:population]
+        idle = 0 if scored[0][0] > best else idle + 1
+    return scored[0][1]
 
 
 _ORDER = ["_id", "piece", "ids_crc32", "start", "length"]
@@ -220,7 +313,7 @@ def _round(rest: DataFrame, capacity: int, groups: int, number: int, last: bool)
             elites.append(list(bins.values()))
         pdf = pdf.iloc[:n].drop(columns=["_bin", "_island", "_group"])
         sizes = pdf["length"].tolist()
-        bins = evolved(sizes, capacity, int(key[0]) + number, elites, max(2, len(elites)), 4)
+        bins = evolved(sizes, capacity, int(key[0]) + number, elites)
         bins.sort(key=lambda b: sum(sizes[i] for i in b))
         at, offset, final, left = np.empty(n, np.int64), np.empty(n, np.int64), np.ones(n, bool), 0
         for k, b in enumerate(bins):

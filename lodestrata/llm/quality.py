@@ -12,7 +12,8 @@ bounded size); every document is scored, whole.
 Defined results: an empty or null text has no features and gets the bias's
 score. Labels of a null id or null value are ignored; a document with several
 labels counts as good if any of them is 1. No labels at all: all scores 0.5.
-Rows that repeat get the same score. Only the text enters a score.
+Rows that repeat get the same score. Only the text enters a score. Texts may be
+of any length. Other columns pass through; score_names gives the new ones' names.
 """
 
 from __future__ import annotations
@@ -27,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cache_of, remainder, ship
+from .common import cache_of, free_name, remainder, ship, tidy
 
 BITS = 20
 _RUNS = re.compile(rb"(.)\1+", re.DOTALL)
@@ -39,7 +40,7 @@ class _Codes(dict):
     """Word (bytes) to its hash in the low and its shape's in the high 32 bits."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 250_000:
+        if len(self) > 200_000:
             self.clear()
         shape = _RUNS.sub(rb"\1", word.translate(_SHAPE))
         code = self[word] = zlib.crc32(word.lower()) | zlib.crc32(shape) << 32
@@ -108,28 +109,38 @@ def fitted(docs: DataFrame, train: DataFrame, max_rows: int = 12_000, id_col: st
         seen.sort(key=lambda x: x[:3])
         yield pa.RecordBatch.from_arrays([pa.array([ftrl([x[3:] for x in seen]).astype("<f4").tobytes()])], ["w"])
 
-    got = rows.select("_h", "_id", "_text", "_y").repartition(1).mapInArrow(learn, "w binary").collect()
+    got = rows.select("_h", "_id", "_text", "_y").repartition(1).mapInArrow(tidy(learn, "quality"), "w binary").collect()
     return np.frombuffer(got[0]["w"], "<f4") if got else np.zeros(2**BITS + 1, np.float32)
 
 
-def scored(docs: DataFrame, weights: np.ndarray, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """docs with _score, the chance of a good label, added."""
+def scored(docs: DataFrame, weights: np.ndarray, id_col: str = "doc_id", text_col: str = "text", name: str = "_score") -> DataFrame:
+    """docs with name, the chance of a good label, added."""
     ship(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(weights)  # 4 MB, whatever the data
 
-    @F.pandas_udf("double")
-    def score(texts: pd.Series) -> pd.Series:
-        w, out = shared.value, np.empty(len(texts))
-        for k, text in enumerate(texts):
-            f = features(text)
-            dot = float(w[-1]) + (float(w[f].sum(dtype=np.float64)) * SCALE / len(f) if len(f) else 0.0)
-            out[k] = 1 / (1 + np.exp(-min(35.0, max(-35.0, dot))))
-        return pd.Series(out)
+    def score(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        w = shared.value
+        for part in texts:
+            out = np.empty(len(part))
+            for k, text in enumerate(part):
+                f = features(text)
+                dot = float(w[-1]) + (float(w[f].sum(dtype=np.float64)) * SCALE / len(f) if len(f) else 0.0)
+                out[k] = 1 / (1 + np.exp(-min(35.0, max(-35.0, dot))))
+            yield pd.Series(out)
 
-    return docs.withColumn("_score", score(F.col(text_col)))
+    def tidied(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        yield from tidy(score, "quality")(texts)
+
+    return docs.select("*", F.pandas_udf(tidied, "double")(F.col(text_col)).alias(name))
+
+
+def score_names(columns: list[str]) -> tuple[str, str]:
+    """What the two new columns are called: one more underscore in front where there is such a column already."""
+    return free_name("_score", columns), free_name("_predicted", columns)
 
 
 def quality_scores(docs: DataFrame, labels: DataFrame, max_rows: int = 12_000, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality") -> DataFrame:
-    """docs with _score and _predicted (1 from 0.5 on) added."""
+    """docs with _score and _predicted (1 from 0.5 on) added, by the names of score_names."""
     weights = fitted(docs, labelled(labels, label_col, id_col), max_rows, id_col, text_col)
-    return scored(docs, weights, id_col, text_col).withColumn("_predicted", (F.col("_score") >= 0.5).cast("int"))
+    score, predicted = score_names(docs.columns)
+    return scored(docs, weights, id_col, text_col, score).select("*", (F.col(score) >= 0.5).cast("int").alias(predicted))

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import ship, written
+from .common import ship, tidy, written
 from .simhash import _LOWER, components
 
 BANDS, ROWS = 40, 5
@@ -85,7 +85,7 @@ def sets(docs: DataFrame, id_col: str, text_col: str, words: int) -> DataFrame:
                 )
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(F.col(id_col), F.col(text_col)).mapInArrow(rows, f"_id {kind}, _fp long, _n int, _set array<long>, _keys array<long>")
+    return docs.select(F.col(id_col), F.col(text_col)).mapInArrow(tidy(rows), f"_id {kind}, _fp long, _n int, _set array<long>, _keys array<long>")
 
 
 def _checked(pairs: DataFrame, marks: DataFrame, similarity: float) -> DataFrame:

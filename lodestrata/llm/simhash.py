@@ -8,9 +8,9 @@ all, and in its table the two have the same masked key: no pair within the
 radius is missed.
 
 Equal fingerprints are one node. Tables' keys held by one node are dropped by a
-count before any list is made; keys of more than HEAVY nodes are divided again:
-of r + 1 blocks of the bits that the mask drops, two nodes within r bits agree
-in at least one. Within a list, links are checked bit for bit; a list passes on
+count before any list is made; keys of more than HEAVY nodes are divided again,
+until none has more: of r + 1 blocks of the bits that the mask drops, two nodes
+within r bits agree in at least one. Within a list, links are checked bit for bit; a list passes on
 a spanning forest of its links, never all pairs, and takes the cheaper of two
 exact ways: comparing blocks, or looking up each node's neighbours.
 
@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import dropped, ship, written
+from .common import dropped, ship, tidy, written
 
 HEAVY = 20_000
 
@@ -81,7 +81,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps)], ["_id", "_fp"])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(F.col(id_col), F.col(text_col)).mapInArrow(rows, f"_id {kind}, _fp long")
+    return docs.select(F.col(id_col), F.col(text_col)).mapInArrow(tidy(rows), f"_id {kind}, _fp long")
 
 
 class _Union:
@@ -121,35 +121,47 @@ def forest(fps: np.ndarray, radius: int, free: int) -> list[tuple[int, int]]:
     return [(int(fps[a]), int(fps[b])) for a, b in links]
 
 
+def _signed(mask: int) -> int:
+    return mask - (1 << 64) if mask >> 63 else mask
+
+
+def divided(mask: int, radius: int) -> list[int]:
+    """mask with one of radius + 1 blocks of the bits that it drops: two nodes within radius bits agree in one of them at least."""
+    free = [b for b in range(64) if not mask >> b & 1]
+    return sorted({mask | sum(1 << b for b in free[k :: radius + 1]) for k in range(radius + 1)} - {mask})
+
+
 def links(nodes: DataFrame, radius: int = 3, heavy: int = HEAVY) -> DataFrame:
     """Links (_a, _b) between distinct fingerprints _fp: a spanning forest of each key's list."""
     spark = nodes.sparkSession
     ship(spark)
-    every = masks(radius)
-    signed = [m - (1 << 64) if m >> 63 else m for m in every]
-    tables = F.array(*[F.struct(F.lit(i).alias("_t"), F.col("_fp").bitwiseAND(F.lit(m)).alias("_k")) for i, m in enumerate(signed)])
-    keyed = nodes.select("_fp", F.explode(tables).alias("_x")).select("_fp", "_x._t", "_x._k")
-    sizes = keyed.groupBy("_t", "_k").agg(F.count("*").alias("_n")).where("_n > 1")
-
-    def blocks(i: int) -> list[int]:
-        free = [b for b in range(64) if not every[i] >> b & 1]
-        return [sum(1 << b for b in free[k :: radius + 1]) for k in range(radius + 1)]
-
-    part = F.array(*[F.array(*[F.lit(m - (1 << 64) if m >> 63 else m) for m in blocks(i)]) for i in range(len(every))])
-    again = F.transform(F.get(part, F.col("_t")), lambda m, j: F.struct(j.alias("_j"), F.col("_fp").bitwiseAND(m).alias("_s")))
-    once = F.array(F.struct(F.lit(-1).alias("_j"), F.lit(0).cast("long").alias("_s")))
-    shared = keyed.join(sizes, ["_t", "_k"]).select("_fp", "_t", "_k", F.explode(F.when(F.col("_n") > heavy, again).otherwise(once)).alias("_y"))
-    lists = shared.groupBy("_t", "_k", "_y").agg(F.collect_list("_fp").alias("_fps")).where(F.size("_fps") > 1)
-
+    heavy = max(heavy, 2**radius)  # with radius free bits there are no more nodes, and no more blocks to divide by
+    now, found = masks(radius), None
+    keyed = nodes.select("_fp", F.explode(F.array(*[F.lit(_signed(m)) for m in now])).alias("_m"))
+    while True:
+        keyed = keyed.select("_fp", "_m", F.col("_fp").bitwiseAND(F.col("_m")).alias("_k"))
+        sizes = written(keyed.groupBy("_m", "_k").agg(F.count("*").alias("_n")).where("_n > 1"), "keys")
+        lists = keyed.join(sizes.where(F.col("_n") <= heavy), ["_m", "_k"]).groupBy("_m", "_k").agg(F.collect_set("_fp").alias("_fps"))
+        own = _forests(lists.where(F.size("_fps") > 1), radius)
+        found = own if found is None else found.union(own)
+        crowded = sizes.where(F.col("_n") > heavy)
+        if crowded.isEmpty():
+            return found.distinct()
+        parts = F.create_map(*[x for m in now for x in (F.lit(_signed(m)), F.array(*[F.lit(_signed(d)) for d in divided(m, radius)]))])
+        again = keyed.join(crowded, ["_m", "_k"]).select("_fp", F.explode(parts[F.col("_m")]).alias("_m")).distinct()
+        keyed, now = written(again, "crowded"), sorted({d for m in now for d in divided(m, radius)})
+
+
+def _forests(lists: DataFrame, radius: int) -> DataFrame:
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             out: list[tuple[int, int]] = []
             for t, fps in zip(b.column(0).to_pylist(), b.column(1), strict=True):
-                out += forest(np.array(fps.values.to_numpy(), np.int64).view(np.uint64), radius, ~every[t] & (1 << 64) - 1)
+                out += forest(np.array(fps.values.to_numpy(), np.int64).view(np.uint64), radius, ~(t % (1 << 64)) & (1 << 64) - 1)
             ends = np.array(out, np.uint64).reshape(-1, 2).view(np.int64)
             yield pa.RecordBatch.from_arrays([pa.array(ends[:, 0].copy()), pa.array(ends[:, 1].copy())], ["_a", "_b"])
 
-    return lists.select("_t", "_fps").mapInArrow(rows, "_a long, _b long").distinct()
+    return lists.select("_m", "_fps").mapInArrow(tidy(rows), "_a long, _b long")
 
 
 def components(edges: DataFrame) -> DataFrame:

@@ -31,11 +31,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import LAST_ID, cache_of, partitions, ship
+from .common import LAST_ID, cache_of, free_name, partitions, ship, tidy
 
 PERIOD, COVER = 13, (0, 1, 3, 9)
 #: hashes are dealt to slices by their upper bits
 UPPER = 24
+#: bytes of input, as the plan estimates them, for a slice; there are never fewer slices than shuffle partitions
+SLICE_BYTES = 32_000_000
+OWNER = "substring_dedup"
 
 
 class _Words(dict):
@@ -44,7 +47,7 @@ class _Words(dict):
     def __missing__(self, word: bytes) -> int:
         import xxhash
 
-        if len(self) > 400_000:
+        if len(self) > 250_000:
             self.clear()
         h = self[word] = xxhash.xxh3_64_intdigest(word)
         return h
@@ -125,10 +128,11 @@ def _known(ids: np.ndarray, tags: np.ndarray, owner: np.ndarray, pos: np.ndarray
     cuts = np.flatnonzero(np.concatenate(([True], owner[1:] != owner[:-1]))).tolist() + [len(owner)]
     for a, b in zip(cuts[:-1], cuts[1:], strict=True):
         k = owner[a]
-        yield int(tags[k]) % slices, 1, np.array([ids[k], tags[k]], "<i8").tobytes(), b"", b"", pos[a:b].astype("<u4").tobytes()
+        # by id and tag: copies of a text share a tag
+        yield int((int(ids[k]) * 40_503 ^ int(tags[k])) & 0x7FFFFFFF) % slices, 1, np.array([ids[k], tags[k]], "<i8").tobytes(), b"", b"", pos[a:b].astype("<u4").tobytes()
 
 
-def _batches(batches: Iterator[pa.RecordBatch], chars: int = 24_000_000) -> Iterator[tuple[np.ndarray, np.ndarray, list, list]]:
+def _batches(batches: Iterator[pa.RecordBatch], chars: int = 16_000_000) -> Iterator[tuple[np.ndarray, np.ndarray, list, list]]:
     """Ids, tags, texts and marked positions, many documents at a time."""
     held, size = ([], [], [], []), 0
     for b in batches:
@@ -270,13 +274,20 @@ def repeated_windows(keyed: DataFrame, by_doc: DataFrame, window: int, tasks: in
                 yield _packed(list(_emit(ids, tags, *map(np.concatenate, (owner, pos, hs, more)), slices, True)))
 
     def gathered(rows: DataFrame, earliest: bool) -> DataFrame:
-        hashes = rows.repartition(tasks, "_slice").mapInArrow(lambda b: _merged(b, earliest, slices), "_slice int, _owners binary, _ref binary")
-        return hashes.repartition(tasks, "_slice").mapInArrow(_documents, "_id long, _tag long, _marks binary")
+        hashes = rows.repartition(tasks, "_slice").mapInArrow(tidy(lambda b: _merged(b, earliest, slices), OWNER), "_slice int, _owners binary, _ref binary")
+        return hashes.repartition(tasks, "_slice").mapInArrow(tidy(_documents, OWNER), "_id long, _tag long, _marks binary")
 
-    marked = gathered(keyed.select("_id", "_tag", "_text").mapInArrow(anchors, _ROW), False)
+    marked = gathered(keyed.select("_id", "_tag", "_text").mapInArrow(tidy(anchors, OWNER), _ROW), False)
     # with _row, though it isn't used, so that the last join can read the same exchange of texts
     some = by_doc.join(marked, ["_id", "_tag"]).select("_id", "_tag", "_text", "_marks", "_row")
-    return gathered(some.mapInArrow(extended, _ROW), True)
+    return gathered(some.mapInArrow(tidy(extended, OWNER), _ROW), True)
+
+
+def _slices(docs: DataFrame) -> int:
+    """By the input's size, so a slice's entries fit in a task whatever the number of shuffle partitions."""
+    size = int(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    n = partitions(docs.sparkSession)
+    return max(n, min(-(-size // SLICE_BYTES), 1 << UPPER - 4)) if size < 1 << 60 else n  # no estimate
 
 
 def substring_dedup(docs: DataFrame, window: int = 20, id_col: str = "doc_id", text_col: str = "text", count: bool = False) -> DataFrame:
@@ -284,7 +295,7 @@ def substring_dedup(docs: DataFrame, window: int = 20, id_col: str = "doc_id", t
 
     Texts that lose words are the kept ones joined by one space; others stay as
     they are. count joins the words of all texts so, and adds _n_words and
-    _n_removed.
+    _n_removed (with one more underscore where docs has such a column).
     """
     if window < PERIOD + 1:
         raise ValueError(f"window: {PERIOD + 1} words at least")
@@ -292,7 +303,7 @@ def substring_dedup(docs: DataFrame, window: int = 20, id_col: str = "doc_id", t
     ship(spark)
     key = F.coalesce(F.col(id_col).cast("long"), F.lit(LAST_ID))
     keyed = docs.select(key.alias("_id"), F.hash(F.xxhash64(text_col)).cast("long").alias("_tag"), F.col(text_col).alias("_text"), F.struct(*[F.col(c) for c in docs.columns if c != text_col]).alias("_row"))
-    n = partitions(spark)
+    n = _slices(docs)
     by_doc = keyed.repartition(n, "_id", "_tag")
     marks = repeated_windows(keyed, by_doc, window, n)
     joined = by_doc.join(marks, ["_id", "_tag"], "left").select("_row", "_text", "_marks")
@@ -316,6 +327,6 @@ def substring_dedup(docs: DataFrame, window: int = 20, id_col: str = "doc_id", t
             yield pa.RecordBatch.from_arrays(cols, ["_row", "_text", "_n_words", "_n_removed"][: len(cols)])
 
     row = keyed.schema["_row"].dataType.simpleString()
-    done = joined.mapInArrow(cut, f"_row {row}, _text string" + ", _n_words long, _n_removed long" * count)
+    done = joined.mapInArrow(tidy(cut, OWNER), f"_row {row}, _text string" + ", _n_words long, _n_removed long" * count)
     fields = [F.col("_text").alias(c) if c == text_col else F.col("_row").getField(c).alias(c) for c in docs.columns]
-    return done.select(*fields, *["_n_words", "_n_removed"][: 2 * count])
+    return done.select(*fields, *[F.col(c).alias(free_name(c, docs.columns)) for c in ("_n_words", "_n_removed")[: 2 * count]])
