@@ -36,7 +36,7 @@ def main(argv: list[str] | None = None) -> int:
 
 
 def _run(args: argparse.Namespace) -> None:
-    from .plans.catalog import QUERIES
+    from .plans.registry import QUERIES
     from .schemas import scan_bytes
     from .session import session
     from .sources import sinks

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 
 def canonical(c: Column) -> Column:
-    return F.lower(F.trim(c))
+    """Lower case, without white space of any kind at both ends."""
+    return F.lower(F.regexp_replace(c, r"(?U)^\s+|\s+$", ""))
 
 
 def collapsed(c: Column) -> Column:

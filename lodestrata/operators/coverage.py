@@ -59,8 +59,11 @@ def discovery_priority(rank: Column) -> Column:
     return F.when(rank.isNull(), 50).otherwise(F.greatest(F.lit(20), F.lit(70) - F.least(rank - 1, F.lit(50))))
 
 
-def due_entities(observations: DataFrame, parses: DataFrame, attempts: DataFrame, seeds: DataFrame, exhausted: DataFrame, fresh_after: str, retry_after: str, limit: int) -> DataFrame:
-    """Entities to look up, by priority: incomplete ones, discovered ones by rank, seeded ones; not the fresh, cooling or exhausted."""
+def due_entities(observations: DataFrame, parses: DataFrame, attempts: DataFrame, seeds: DataFrame, exhausted: DataFrame, fresh_after: str, retry_after: str, limit: int, extra: DataFrame | None = None) -> DataFrame:
+    """Entities to look up, by priority: incomplete ones, discovered ones by rank, seeded ones; not the fresh, cooling or exhausted.
+
+    extra: entities (entity_id, rank) that this run has discovered itself.
+    """
     key = "entity_id"
 
     def after(df: DataFrame, ts: str, t: str) -> Column:
@@ -75,6 +78,8 @@ def due_entities(observations: DataFrame, parses: DataFrame, attempts: DataFrame
     scored = [
         ids(detail).withColumn("priority", F.lit(75)), found.select(key, discovery_priority(F.col("r")).alias("priority")), seeds.groupBy(key).agg(F.max("priority").alias("priority")),
     ]
+    if extra is not None:
+        scored.append(extra.groupBy(key).agg(F.min("rank").alias("r")).select(key, discovery_priority(F.col("r")).alias("priority")))
     # a detail that isn't fresh counts only where nothing else gives a priority
     other = reduce(DataFrame.unionByName, scored[1:])
     base = fresh_detail.join(fresh_parse, key, "left_anti").withColumn("priority", F.lit(75)).unionByName(other)

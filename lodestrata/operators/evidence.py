@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.hashing import fingerprint
+from ..functions.text import canonical
+from .ranking import first_by
 
 IDENTITY = ("address", "assertion_type", "candidate_entity_id", "candidate_entity_name", "candidate_label", "candidate_wallet_role", "provider_entity_id", "provider_tag_id", "source_authority", "evidence_tier", "independence_group", "artifact_sha256", "observed_at")
 # The allowed words of each enumeration.
@@ -54,8 +56,8 @@ def fingerprinted(rows: DataFrame) -> DataFrame:
 
 
 def new_rows(rows: DataFrame, ledger: DataFrame, key: str = "evidence_fingerprint") -> DataFrame:
-    """One row of each fingerprint that the ledger doesn't hold: what an append adds."""
-    return rows.dropDuplicates([key]).join(ledger.select(key), key, "left_anti")
+    """One row of each fingerprint that the ledger doesn't hold, the first by all fields: what an append adds."""
+    return first_by(rows, [key], *[F.asc(c) for c in sorted(rows.columns) if c != key]).join(ledger.select(key), key, "left_anti")
 
 
 def claim_eligible() -> Column:
@@ -69,4 +71,4 @@ def canonical_value() -> Column:
     c = F.col
     first = lambda *x: F.coalesce(*[F.when(c(k) != "", c(k)) for k in x])
     raw = F.when(c("assertion_type") == "entity_control", first("candidate_entity_name", "candidate_entity_id")).when(c("assertion_type") == "wallet_role", c("candidate_wallet_role")).otherwise(c("candidate_label"))
-    return F.lower(F.trim(raw))
+    return canonical(raw)

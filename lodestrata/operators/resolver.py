@@ -112,7 +112,16 @@ def show(resolved: DataFrame, address: str, assertion_type: str) -> DataFrame:
     return resolved.where((F.col("address") == address) & (F.col("assertion_type") == assertion_type))
 
 
+def decision_errors(entry: DataFrame, decisions: tuple[str, ...]) -> DataFrame:
+    """Rows that can't be recorded, with codes."""
+    missing = lambda c: F.coalesce(F.trim(c), F.lit("")) == ""
+    rules = {"unknown_decision": ~F.coalesce(F.col("decision").isin(*decisions), F.lit(False)), "no_reviewer": missing("reviewer_ref"), "no_address": missing("address"), "no_time": F.col("reviewed_at").isNull()}
+    return entry.withColumn("codes", F.array_compact(F.array(*[F.when(c, F.lit(k)) for k, c in rules.items()]))).where(F.size("codes") > 0)
+
+
 def recorded(log: DataFrame, entry: DataFrame, decisions: tuple[str, ...]) -> DataFrame:
-    """log with entry appended; unknown decisions and empty references are left out."""
-    ok = F.col("decision").isin(*decisions) & (F.coalesce("reviewer_ref", F.lit("")) != "")
-    return log.unionByName(entry.where(ok))
+    """log with entry appended; an error where any of its rows can't be recorded."""
+    wrong = decision_errors(entry, decisions).agg(F.count("*").alias("n"), F.array_sort(F.collect_set(F.array_join("codes", ","))).alias("codes")).first()
+    if wrong.n:
+        raise ValueError(f"{wrong.n} decisions can't be recorded: {'; '.join(wrong.codes)}")
+    return log.unionByName(entry)

@@ -14,7 +14,7 @@ def snapshot_rows(resolved: DataFrame, claims: DataFrame, as_of: str) -> DataFra
     """resolved: resolutions of any times, with resolved_at and resolution_id. Entities show where lookups may use them."""
     now = latest(resolved, KEY, "resolved_at", "resolution_id", as_of)
     ids = now.select(*KEY, F.explode("candidate_claim_ids").alias("claim_id"))
-    named = claims.select("claim_id", F.coalesce("entity_id", "asserted_value").alias("entity")).dropDuplicates(["claim_id"])
+    named = claims.groupBy("claim_id").agg(F.min(F.coalesce("entity_id", "asserted_value")).alias("entity"))
     entities = ids.join(named, "claim_id").groupBy(*KEY).agg(F.transform(F.sort_array(F.collect_list(F.struct("claim_id", "entity"))), lambda x: x["entity"]).alias("candidate_entities"))
     usable = F.col("operational_tier") == "lookup_usable"
     none = F.array().cast("array<string>")

@@ -7,7 +7,7 @@ import os
 import duckdb
 import pytest
 
-from lodestrata.plans.catalog import ORACLE_SQL, QUERIES
+from lodestrata.plans.registry import ORACLE_SQL, QUERIES
 
 DATA = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(DATA), reason="needs the test tables")
