@@ -7,6 +7,18 @@ import json
 import sys
 
 
+#: groups of commands: an action, and the query whose rows it prints
+GROUPS = {
+    "evidence": {"check": "evidence_contract", "import": "appended_evidence", "payloads": "payload_evidence"},
+    "resolve": {"rebuild": "resolutions", "claims": "claims", "conflicts": "conflicts", "show": "resolution_lookup", "errors": "decision_errors"},
+    "audit": {"coverage": "outcome_counts", "panel": "provider_panel", "strata": "panel_by_stratum", "seeds": "calibration_seeds", "points": "point_totals"},
+    "replay": {"impact": "replay_impact", "policies": "replay_policy_counts", "changes": "replay_changed_fields", "bilateral": "bilateral_impact"},
+    "coverage-sync": {"plan": "sync_plan", "entities": "due_entities", "addresses": "due_addresses", "profile": "fetch_profile"},
+    "universe": {"campaign": "materialized_campaign", "candidates": "first_wave_statistics", "census-v1": "census_v1_row", "census-v2": "census_v2_row", "population": "population_contract"},
+    "enrichment": {"queue": "queue_artifact", "plan": "enrichment_plan", "fanout": "fanout_plan", "accounting": "fanout_accounting", "due": "queue_due"},
+}
+
+
 def main(argv: list[str] | None = None) -> int:
     parser = argparse.ArgumentParser(prog="lodestrata")
     parser.add_argument("--master", help="Spark master; the deployment's own if not given")
@@ -26,6 +38,10 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("path")
     p = sub.add_parser("validate", help="check an artifact against its manifest")
     p.add_argument("root")
+    for group, actions in GROUPS.items():
+        p = sub.add_parser(group, help=", ".join(actions))
+        p.add_argument("action", choices=sorted(actions))
+        p.add_argument("data")
     args = parser.parse_args(argv)
     try:
         _run(args)
@@ -45,9 +61,11 @@ def _run(args: argparse.Namespace) -> None:
         print(json.dumps(sorted(QUERIES)))
         return
     if args.command == "validate":
-        print(json.dumps(sinks.verified(args.root)))
+        print(json.dumps(sinks.verified(session(master=args.master), args.root)))
         return
     spark = session(master=args.master)
+    if args.command in GROUPS:
+        args.query, args.command, args.output = GROUPS[args.command][args.action], "run", None
     if args.command == "publish":
         print(json.dumps(sinks.publish_candidates(QUERIES["candidates_v2_s"](spark, args.data), args.root, {"source": args.data})))
     elif args.command == "export":

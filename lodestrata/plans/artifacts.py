@@ -245,11 +245,11 @@ def payload_evidence(s, d):
     return O.payload_evidence(rows)
 
 
-@query("""select 'e' || user_id as entity_id, count(*) as attempt_count from events where event_type in ('error', 'purchase') group by 1 having count(*) >= 3 and count(*) filter (event_type <> 'error') = 0""")
+@query("""select 'e' || event_id // 7 as entity_id, count(*) as attempt_count from events where event_type in ('error', 'purchase') group by 1 having count(*) >= 3 and count(*) filter (event_type <> 'error') = 0""")
 def retry_exhausted(s, d):
     status = F.when(F.col("event_type") == "error", 502).when(F.col("event_id") % 2 == 0, 200)
     rows = J.table(s, d, "events").where("event_type in ('error', 'purchase')")
-    return V.retry_exhausted(rows.select(F.concat(F.lit("e"), F.col("user_id")).alias("entity_id"), status.alias("http_status")))
+    return V.retry_exhausted(rows.select(F.concat(F.lit("e"), F.expr("event_id div 7")).alias("entity_id"), status.alias("http_status")))
 
 
 @query(f"with {RESOLVE} select address, assertion_type, identity_state, operational_tier from resolved where address = 'acct:7' and assertion_type = 'entity_control'")

@@ -26,5 +26,14 @@ def test_publish(spark, capsys, tmp_path):
     capsys.readouterr()
     assert main(["run", "address_scale", DATA]) == 0
     assert json.loads(capsys.readouterr().out)["address_count"] > 0
+    assert main(["audit", "points", DATA]) == 0
+    assert json.loads(capsys.readouterr().out)["points"] > 0
     assert main(["probe", "address_scale", DATA]) == 0
     assert json.loads(capsys.readouterr().out)["bytes"] > 0
+
+
+def test_groups_name_queries():
+    from lodestrata.__main__ import GROUPS
+    from lodestrata.plans.registry import QUERIES
+
+    assert {q for actions in GROUPS.values() for q in actions.values()} <= set(QUERIES)

@@ -93,7 +93,8 @@ def test_readers_and_sinks(spark, tmp_path):
     rows = spark.createDataFrame([(f"a{i}", "p0" if i % 2 else "edge", i % 3) for i in range(20)], "normalized_address string, candidate_tier string, address_bucket long")
     root = str(tmp_path / "pub")
     manifest = K.publish_candidates(rows, root, {"kind": "candidates"})
-    assert len(manifest["files"]) == 6 and K.verified(root)["kind"] == "candidates"
+    assert len(manifest["files"]) == 6 and K.verified(spark, root)["kind"] == "candidates"
+    assert K.candidates_by_tier(spark, root, ("edge",)).count() == 10
     assert R.partitioned(spark, f"{root}/candidates").count() == 20
     with pytest.raises(FileExistsError):
         K.publish_candidates(rows, root, {})
@@ -101,12 +102,12 @@ def test_readers_and_sinks(spark, tmp_path):
         K.publish_candidates(rows.union(rows), str(tmp_path / "twice"), {})
     (tmp_path / "pub" / "candidates" / "extra.parquet").write_bytes(b"x")
     with pytest.raises(ValueError):
-        K.verified(root)
-    first = K.export_ndjson(rows, str(tmp_path / "s.ndjson"), "normalized_address")
-    assert K.export_ndjson(rows.repartition(3), str(tmp_path / "s.ndjson"), "normalized_address") == first
+        K.verified(spark, root)
+    first = K.export_ndjson(rows, str(tmp_path / "s"), "normalized_address")
+    assert K.export_ndjson(rows.repartition(3), str(tmp_path / "s"), "normalized_address") == first
     with pytest.raises(FileExistsError):
-        K.export_ndjson(rows.limit(3), str(tmp_path / "s.ndjson"), "normalized_address")
-    run = K.RunReceipt(str(tmp_path / "run.json"))
+        K.export_ndjson(rows.limit(3), str(tmp_path / "s"), "normalized_address")
+    run = K.RunReceipt(spark, str(tmp_path / "run.json"))
     run.start({"query": "q"})
     assert run.end("done", rows=3)["status"] == "done"
     with pytest.raises(ValueError):
