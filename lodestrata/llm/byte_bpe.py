@@ -42,7 +42,7 @@ from pyspark.sql import functions as F
 
 from .common import ship, tidy
 
-SAMPLE, PARTS, HOT, LONG = 20_000, 16, 1 << 17, 256
+SAMPLE, PARTS, HOT, LONG = 6_000, 16, 1 << 17, 256
 #: characters of a batch of documents; pieces that a task remembers
 BATCH, KEPT = 2_000_000, 400_000
 #: bits of an id
@@ -111,7 +111,7 @@ def fold_merges(piece: str) -> str:
     after = f"flatten(array(slice(u, 1, greatest(a - 2, 0)), if(a > 1, array({left}, {right}), array({right})), slice(u, a + 2, size(u))))"
     # aggregate over one value binds it without the copy that transform makes of a result
     step = f"aggregate(array(cast(array_position(t, array_min(t)) as int)), t, (u, a) -> if(get(u, a - 1) >= {1 << 2 * BITS}L, u, {after}))"
-    fold = f"aggregate(sequence(2, greatest(2, size({piece}))), {start}, (t, i) -> {step}, t -> transform(t, x -> cast(x & {_ID}L as int)))"
+    fold = f"aggregate(sequence(2, greatest(2, size({piece}) - 1)), {start}, (t, i) -> {step}, t -> transform(t, x -> cast(x & {_ID}L as int)))"
     return f"if(size({piece}) = 0, cast(array() as array<int>), {fold})"
 
 
@@ -201,13 +201,13 @@ def _hot(docs: DataFrame, text_col: str, pattern: str, ranks: dict[bytes, int],
             if n < most:
                 c.update(p for t in b.column(0).slice(0, most - n) for p in cut(_utf8(t.as_py())))
                 n += b.num_rows
-        rare = [(p.encode(), k) for p, k in c.items() if k > 1]
+        rare = [(p.encode(), k) for p, k in c.items()]
         rare = [x for x in rare if x[0] not in known.value and len(x[0]) <= LONG]
         own = [p for p, _ in rare]
         yield pa.RecordBatch.from_arrays([pa.array(own, pa.binary()), pieces.lists(own), pa.array([k for _, k in rare], pa.int64())], ["piece", "b", "n"])
 
     top = texts.mapInArrow(tidy(counts), "piece binary, b array<int>, n long").groupBy("piece").agg(F.first("b").alias("b"), F.sum("n").alias("n"))
-    top = top.orderBy(F.desc("n"), "piece").limit(HOT).select("piece", "b").repartition(max(1, HOT >> 13))
+    top = top.where("n > 1").orderBy(F.desc("n"), "piece").limit(HOT).select("piece", "b").repartition(max(1, HOT >> 13))
     ids = f"element_at(transform(array({literal}), m -> {fold_merges('b')}), 1)"
     rows = top.select("piece", F.expr(ids).alias("ids")).toArrow()  # at most HOT, in packed form
     lists = rows.column("ids").combine_chunks()

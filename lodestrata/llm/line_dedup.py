@@ -1,11 +1,11 @@
 """Line dedup across documents, with DataFrame functions alone.
 
 Lines are exploded with their positions, long ones are normalised and hashed,
-once. Rows go to the parts (hash, salt), where the salt is a hash of the
+once: the hashes are kept in a table in the shared folder (so calling this runs
+a job). Rows go to the parts (hash, salt), where the salt is a hash of the
 document, so a line that a third of all documents share is SALTS parts, and no
 document is in two parts of a hash. Documents are counted in each part and the
-parts' counts summed by hash; a common hash goes back to its own parts only,
-and the join there reads the same exchange. What is to be dropped returns to
+parts' counts summed by hash; a common hash goes back to its own parts only. What is to be dropped returns to
 its document as positions, and the text is put together again by position from
 the lines that stay.
 
@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACE, ascii_lower
+from .common import SPACE, ascii_lower, written
 
 #: parts of a hash at most; a part is made only where it has documents
 SALTS = 256
@@ -59,7 +59,8 @@ def line_dedup(
     held = keys.select(
         F.xxhash64("_line").alias("_a"), F.xxhash64(F.lit(1), "_line").alias("_b"), F.pmod(F.xxhash64("_id"), F.lit(SALTS)).cast("int").alias("_salt"),
         "_id", "_tag", "_pos",
-    ).repartition("_a", "_b", "_salt")
+    )
+    held = written(held, "lines")
     parts = held.groupBy("_a", "_b", "_salt").agg(F.count_distinct("_id").alias("_n"), F.max("_id").alias("_last"))
     sums = parts.groupBy("_a", "_b").agg(F.sum("_n").alias("_n"), F.max("_last").alias("_last"), F.collect_list("_salt").alias("_salts"))
     common = sums.where(F.col("_n") >= min_docs).select("_a", "_b", "_last", F.explode("_salts").alias("_salt"))
