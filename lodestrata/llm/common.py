@@ -19,6 +19,7 @@ SPACE = " \t\n\x0b\x0c\r"
 LAST_ID = 2**63 - 1
 
 
+_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 _CACHES: list[dict] = []
 _SCRATCH: list[list[DataFrame]] = []
 
@@ -78,6 +79,9 @@ def ship(spark: SparkSession) -> None:
     paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
     if root not in paths:
         env["PYTHONPATH"] = os.pathsep.join([*paths, root])
+    # rows hold whole texts, so fewer go to a worker at a time than Spark's 10,000, unless the session says otherwise
+    if spark.conf.get(_ROWS, "10000") == "10000":
+        spark.conf.set(_ROWS, "1000")
     # one allocator, with few arenas, that gives memory back
     env.setdefault("ARROW_DEFAULT_MEMORY_POOL", "system")
     env.setdefault("MALLOC_ARENA_MAX", "2")

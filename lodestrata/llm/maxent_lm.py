@@ -87,28 +87,35 @@ def _kinds(words: list[bytes]) -> np.ndarray:
 
 
 def _coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(id, round, text) as one row for each batch of documents."""
+    """(id, round, text) as one row for some BATCH characters of documents."""
+    numbers, codes, ids, rounds, size = _Numbers(), [], [], [], 0
+    for b in batches:
+        begin = 0
+        for at in range(b.num_rows):
+            words = tokens(b.column(2)[at].as_py())
+            codes.append(np.fromiter(map(numbers.__getitem__, words), np.uint32, len(words)))
+            size += 6 * len(words)
+            if size >= BATCH or at + 1 == b.num_rows:
+                ids.append(b.column(0).slice(begin, at + 1 - begin))
+                rounds.append(b.column(1).slice(begin, at + 1 - begin))
+                begin = at + 1
+            if size >= BATCH:
+                yield _row(numbers, codes, ids, rounds)
+                numbers, codes, ids, rounds, size = _Numbers(), [], [], [], 0
+    if codes:
+        yield _row(numbers, codes, ids, rounds)
+
+
+def _row(numbers: _Numbers, codes: list[np.ndarray], ids: list[pa.Array], rounds: list[pa.Array]) -> pa.RecordBatch:
     import xxhash
 
-    digest = xxhash.xxh3_64_intdigest
-    for b in batches:
-        at = 0
-        while at < b.num_rows:
-            numbers, codes, size, begin = _Numbers(), [], 0, at
-            while at < b.num_rows and size < BATCH:
-                words = tokens(b.column(2)[at].as_py())
-                codes.append(np.fromiter(map(numbers.__getitem__, words), np.uint32, len(words)))
-                size += 6 * len(words)
-                at += 1
-            rounds = b.column(1).slice(begin, at - begin).to_numpy(zero_copy_only=False).astype(np.int8)
-            sizes = np.fromiter(map(len, codes), np.uint32, len(codes))
-            flat = np.concatenate(codes)
-            train = np.bincount(flat[np.repeat(rounds >= 0, sizes)], minlength=len(numbers))
-            words = np.fromiter(map(digest, numbers), np.uint64, len(numbers))
-            kinds = _kinds(list(numbers))
-            ids = pa.ListArray.from_arrays(pa.array([0, at - begin], pa.int32()), b.column(0).slice(begin, at - begin))
-            packed = [pa.array([x.tobytes()], pa.binary()) for x in (rounds, sizes, words, kinds, flat, train.astype(np.uint32))]
-            yield pa.RecordBatch.from_arrays([ids, *packed], ["ids", "rounds", "sizes", "words", "kinds", "codes", "train"])
+    whole, round_of = pa.concat_arrays(ids), pa.concat_arrays(rounds).to_numpy(zero_copy_only=False).astype(np.int8)
+    sizes, flat = np.fromiter(map(len, codes), np.uint32, len(codes)), np.concatenate(codes)
+    train = np.bincount(flat[np.repeat(round_of >= 0, sizes)], minlength=len(numbers)).astype(np.uint32)
+    words = np.fromiter(map(xxhash.xxh3_64_intdigest, numbers), np.uint64, len(numbers))
+    packed = [pa.array([x.tobytes()], pa.binary()) for x in (round_of, sizes, words, _kinds(list(numbers)), flat, train)]
+    own = pa.ListArray.from_arrays(pa.array([0, len(whole)], pa.int32()), whole)
+    return pa.RecordBatch.from_arrays([own, *packed], ["ids", "rounds", "sizes", "words", "kinds", "codes", "train"])
 
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
