@@ -40,7 +40,7 @@ def query(sql: str) -> Callable:
 
 
 def _candidates(s: SparkSession, d: str) -> tuple[DataFrame, str, dict]:
-    rows, root = kept(C._candidates(s, d), "candidates"), path_for(s, "artifact")
+    rows, root = C._candidates(s, d), path_for(s, "artifact")
     return rows, root, Z.publish_candidates(rows, root, {"source": d})
 
 
@@ -52,7 +52,7 @@ def published_tiers(s, d):
 
 @query(f"with {CAND} select normalized_address, candidate_tier from cand where address_bucket <> 7")
 def published_excluding(s, d):
-    rows, root = kept(C._candidates(s, d), "candidates"), path_for(s, "artifact")
+    rows, root = C._candidates(s, d), path_for(s, "artifact")
     out = rows.where("address_bucket = 7").select(F.sha2(F.col("normalized_address").cast("binary"), 256).alias("address_sha256"))
     Z.publish_candidates(rows, root, {"source": d}, out)
     return R.partitioned(s, f"{root}/candidates").select("normalized_address", "candidate_tier")
@@ -60,9 +60,9 @@ def published_excluding(s, d):
 
 @query(ORACLE_SQL["coverage_state"])
 def coverage_artifact(s, d):
-    _, _, manifest = _candidates(s, d)
+    own, _, manifest = _candidates(s, d)
     root = path_for(s, "coverage")
-    Z.publish_coverage(C._coverage(s, d), root, manifest, D.AS_OF)
+    Z.publish_coverage(C._coverage(s, d, own), root, manifest, D.AS_OF)
     assert Z.verified(s, root)["candidates_sha256"] == Z.source_digest(manifest)
     return s.read.parquet(f"{root}/coverage").withColumns({x: F.array_join(x, ",") for x in ("provider_entity_ids", "coverage_reason_codes")})
 
@@ -71,7 +71,7 @@ def coverage_artifact(s, d):
 def queue_artifact(s, d):
     """A queue bound to the manifests of its candidates and their coverage, read back with its checks."""
     rows, _, manifest = _candidates(s, d)
-    coverage, states, root = path_for(s, "coverage"), C._coverage(s, d), path_for(s, "queue")
+    coverage, states, root = path_for(s, "coverage"), C._coverage(s, d, rows), path_for(s, "queue")
     about = Z.publish_coverage(states, coverage, manifest, D.AS_OF)
     Z.publish_queue(Q.priority_queue(rows, s.read.parquet(f"{coverage}/coverage")), root, manifest, about)
     return Z.read_queue(s, root)
@@ -162,8 +162,9 @@ def coverage_mismatches(s, d):
 @query(f"with {COVER} select normalized_address, v2_chain_score from need where candidate_tier in ('p0', 'p1')")
 def matched_candidates(s, d):
     """Candidates of the selected coverage; a row that doesn't fit would be an error."""
-    need = C._coverage(s, d).where("coverage_state = 'needs_direct_enrichment' and candidate_tier in ('p0', 'p1')")
-    return M.matched(need, C._candidates(s, d), "normalized_address", _FIELDS).select("normalized_address", "v2_chain_score")
+    own = C._candidates(s, d)
+    need = C._coverage(s, d, own).where("coverage_state = 'needs_direct_enrichment' and candidate_tier in ('p0', 'p1')")
+    return M.matched(need, own, "normalized_address", _FIELDS).select("normalized_address", "v2_chain_score")
 
 
 @query(f"""with {EV} select (select count(*) from (select address from pred except all select address from req)) as unexpected_count, (select count(*) from (select address from req except all select address from pred)) as missing_count, false as equal""")

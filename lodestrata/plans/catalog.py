@@ -68,7 +68,7 @@ def _anchors(s: SparkSession, d: str) -> DataFrame:
 
 
 def _decisions(s: SparkSession, d: str) -> DataFrame:
-    return P.importance_v1(A.with_reasons(_features(s, d), _anchors(s, d)).persist(), J.CUTOFF_TIME, J.CAMPAIGN)
+    return P.importance_v1(A.with_reasons(_features(s, d), _anchors(s, d)), J.CUTOFF_TIME, J.CAMPAIGN)
 
 
 def _named(df: DataFrame) -> DataFrame:
@@ -76,24 +76,27 @@ def _named(df: DataFrame) -> DataFrame:
 
 
 def _candidates(s: SparkSession, d: str) -> DataFrame:
-    """Kept, as queues and coverage both read it; in production it is the published artifact (sources.sinks.tier_buckets)."""
-    return C.strict_candidates(_variants(s, d).persist()).persist()
+    """Kept, as queues and coverage both read it; in production it is the published artifact (sources.sinks.publish_candidates)."""
+    return kept(C.strict_candidates(_variants(s, d)), "candidates")
 
 
-def _coverage(s: SparkSession, d: str) -> DataFrame:
+def _coverage(s: SparkSession, d: str, candidates: DataFrame | None = None) -> DataFrame:
+    """Kept too: its counts, queues and reconciliation read it several times."""
     direct = D.parses(s, d).where("parse_outcome = 'parsed_success'")
     members = D.predictions(s, d).withColumnRenamed("address", "normalized_address")
     proven = D.evidence(s, d).where("evidence_tier in ('A', 'B')")
     explicit = D.requests(s, d).where("reason = 'known_watchlist' and priority > 90")
-    return V.coverage_state(_candidates(s, d), _named(direct), members, _named(proven), _named(D.conflicts(s, d).where("status = 'active'")), _named(explicit)).persist()
+    own = _candidates(s, d) if candidates is None else candidates
+    conflicts = _named(D.conflicts(s, d).where("status = 'active'"))
+    return kept(V.coverage_state(own, _named(direct), members, _named(proven), conflicts, _named(explicit)), "coverage")
 
 
 def _claims(s: SparkSession, d: str) -> DataFrame:
-    return S.claims(D.evidence(s, d), D.reviews(s, d), D.overrides(s, d), D.AS_OF).persist()
+    return kept(S.claims(D.evidence(s, d), D.reviews(s, d), D.overrides(s, d), D.AS_OF), "claims")
 
 
 def _resolutions(s: SparkSession, d: str) -> DataFrame:
-    return S.resolutions(D.evidence(s, d), _claims(s, d), D.overrides(s, d), D.AS_OF).persist()
+    return S.resolutions(D.evidence(s, d), _claims(s, d), D.overrides(s, d), D.AS_OF)
 
 
 @query
@@ -351,22 +354,25 @@ def set_overlap(s, d):
 
 @query
 def queue_reconciliation(s, d):
-    return Q.reconciliation(_candidates(s, d), _coverage(s, d), ("edge", "coarse_other"))
+    own = _candidates(s, d)
+    return Q.reconciliation(own, _coverage(s, d, own), ("edge", "coarse_other"))
 
 
 @query
 def p2_queue(s, d):
-    return Q.leaders(_candidates(s, d), _coverage(s, d), 100)
+    own = _candidates(s, d)
+    return Q.leaders(own, _coverage(s, d, own), 100)
 
 
 @query
 def p0p1_queue(s, d):
-    return Q.priority_queue(_candidates(s, d), _coverage(s, d))
+    own = _candidates(s, d)
+    return Q.priority_queue(own, _coverage(s, d, own))
 
 
 @query
 def queue_due(s, d):
-    queue, ids = Q.priority_queue(_candidates(s, d), _coverage(s, d)), lambda df: df.select(Q.address_id(F.col("address")).alias("address_id")).distinct()
+    queue, ids = p0p1_queue(s, d), lambda df: df.select(Q.address_id(F.col("address")).alias("address_id")).distinct()
     done = Q.due_rows(queue, ids(D.observations(s, d).where("observation_id % 30 = 0")), ids(D.parses(s, d).where("parse_outcome = 'parsed_success'")), ids(D.predictions(s, d)), ids(D.evidence(s, d).where("evidence_tier = 'A'")))
     return done.select("queue_rank", "normalized_address")
 
