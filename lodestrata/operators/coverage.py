@@ -55,6 +55,11 @@ def due_addresses(requests: DataFrame, conflicts: DataFrame, parsed: DataFrame,
     return due.select("address", "priority", kind.alias("source_kind"), "due_at").orderBy(F.desc("priority"), "due_at", "address").limit(limit)
 
 
+def with_subjects(rows: DataFrame, subjects: DataFrame) -> DataFrame:
+    """rows whose address is a known subject, with its subject_id and chain_key."""
+    return rows.join(subjects.select("address", "subject_id", "chain_key"), "address")
+
+
 def discovery_priority(rank: Column) -> Column:
     return F.when(rank.isNull(), 50).otherwise(F.greatest(F.lit(20), F.lit(70) - F.least(rank - 1, F.lit(50))))
 

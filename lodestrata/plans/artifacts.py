@@ -365,3 +365,62 @@ def one_shot_run(s, d):
     raise AssertionError("started twice")
 
 
+
+
+_WALLETS = "'w' || n_nationkey"
+
+
+@query(f"select n_nationkey::bigint as page_id, '2024-01-0' || (n_nationkey % 9 + 1) as updated_at, {_WALLETS} as address from nation where n_nationkey % 3 <> 1 union all select n_nationkey, '2024-01-0' || (n_nationkey % 9 + 1), 'shared' from nation where n_nationkey % 3 <> 1")
+def embedded_wallets(s, d):
+    """Pages that embed their data: active wallets at some depth; every third page has two such objects, which is refused."""
+    k = F.col("n_nationkey")
+    own = F.concat(F.lit("w"), k)
+    wallet = lambda a, on: F.struct(a.alias("address"), F.lit(on).alias("active"))
+    inner = F.struct(F.concat(F.lit("2024-01-0"), k % 9 + 1).alias("updatedAt"), F.array(wallet(own, True), wallet(F.lit("off"), False), wallet(F.lit("shared"), True)).alias("walletBalances"))
+    data = F.to_json(F.struct(F.struct(F.array(inner).alias("list")).alias("props"), F.when(k % 3 == 1, inner).alias("again")))
+    html = F.concat(F.lit('<html><script id="__NEXT_DATA__" type="application/json">'), data, F.lit("</script></html>"))
+    return R.wallets(J.table(s, d, "nation").select(k.cast("bigint").alias("page_id"), html.alias("html")))
+
+
+@query("select sha256('region ' || r_name) as payload_sha256, length('region ' || r_name)::int as byte_count from region")
+def stored_payloads(s, d):
+    """Payloads stored by digest, some twice, and read back by a ledger; one whose digest differs is left out."""
+    root, rows = path_for(s, "payloads"), [f"region {r.r_name}".encode() for r in J.table(s, d, "region").collect()]
+    ledger = [Z.stored_payload(s, root, x) for x in [*rows, rows[0]]][: len(rows)]
+    names = [(x["payload_name"], x["payload_sha256"]) for x in ledger] + [(ledger[0]["payload_name"], "0" * 64)]
+    found = R.payloads(s, root, s.createDataFrame(names, "payload_name string, payload_sha256 string"))
+    return found.select("payload_sha256", F.octet_length("payload").alias("byte_count"))
+
+
+@query("""with u as (select coalesce(sum(length(props)) filter (ts >= timestamp '2024-01-01' and ts < timestamp '2024-01-20'), 0)::bigint as used_bytes from events)
+    select used_bytes, 9000000000 - used_bytes as left_bytes, 9000000000 - used_bytes >= 1000 as admitted from u""")
+def monthly_budget(s, d):
+    runs = J.table(s, d, "events").select(F.col("ts").alias("run_at"), F.length("props").cast("bigint").alias("byte_count"))
+    return H.monthly_budget(runs, "2024-01-20 00:00:00", 10_000_000_000, 1_000_000_000, 1_000)
+
+
+@query(f"with {CAND} select normalized_address from cand where candidate_tier = 'p0'")
+def repeated_addresses(s, d):
+    """What publication refuses: here the first tier comes twice."""
+    from ..operators.candidates import duplicates
+
+    rows = C._candidates(s, d)
+    return duplicates(rows.union(rows.where("candidate_tier = 'p0'"))).select("normalized_address").distinct()
+
+
+_SUBJECTS = "subjects as (select 'acct:' || c_custkey as address, 'sub' || c_custkey as subject_id, 'bitcoin' as chain_key from customer)"
+
+
+def _subjects(s: SparkSession, d: str) -> DataFrame:
+    key = F.col("c_custkey")
+    return J.table(s, d, "customer").select(F.concat(F.lit("acct:"), key).alias("address"), F.concat(F.lit("sub"), key).alias("subject_id"), F.lit("bitcoin").alias("chain_key"))
+
+
+@query(f"with due as ({ORACLE_SQL['due_addresses']}), {_SUBJECTS} select subject_id, chain_key, address, priority, source_kind from due join subjects using (address)")
+def due_subjects(s, d):
+    return V.with_subjects(C.QUERIES["due_addresses"](s, d), _subjects(s, d)).select("subject_id", "chain_key", "address", "priority", "source_kind")
+
+
+@query(f"with work as ({ORACLE_SQL['work_queue']}), {_SUBJECTS} select subject_id, address, request_id, priority from work join subjects using (address)")
+def work_subjects(s, d):
+    return V.with_subjects(C.QUERIES["work_queue"](s, d), _subjects(s, d)).select("subject_id", "address", "request_id", "priority")

@@ -148,7 +148,7 @@ def address_features(s, d):
 
 @query
 def script_subjects(s, d):
-    return E.script_subjects(_io(s, d, SCRIPTED)).select("script_id", "script_hex")
+    return E.script_subjects(_io(s, d, SCRIPTED))
 
 
 @query
@@ -422,7 +422,7 @@ def evidence_contract(s, d):
 
 @query
 def claims(s, d):
-    return _claims(s, d).drop("claim_id")
+    return _claims(s, d)
 
 
 @query
@@ -432,7 +432,7 @@ def resolutions(s, d):
 
 @query
 def conflicts(s, d):
-    return S.conflicts(_claims(s, d), None, D.AS_OF).select("address", "assertion_type", "status", F.size("claim_ids").alias("claim_count"))
+    return S.conflicts(_claims(s, d), None, D.AS_OF).select("address", "assertion_type", "status", "conflict_set_id", F.array_join("claim_ids", ",").alias("claim_ids"))
 
 
 @query

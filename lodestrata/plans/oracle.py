@@ -364,6 +364,7 @@ P01 = COVER + f""", q as (
     select row_number() over (order by candidate_tier, v2_chain_score desc, current_utxo_sats desc, lifetime_received_sats desc, normalized_address) as queue_rank, sha256('bitcoin:' || normalized_address) as address_id, {QUEUE_COLS.format('candidate_tier')}
     from need where candidate_tier in ('p0', 'p1')
 )"""
+_CLAIM_ID = """sha256('{"address":"' || address || '","assertion_type":"' || assertion_type || '","asserted_value":"' || value || '","status":"' || claim_status || '"}')"""
 WEEK = "ts::date >= date '2001-07-18' and ts::date < date '2001-07-25'"
 
 ORACLE_SQL = {
@@ -376,7 +377,9 @@ ORACLE_SQL = {
     "received_by_transaction": f"with {IO}, {RECV} select sha256('block:' || height) as block_hash, sha256('tx:' || k) as transaction_hash, a as normalized_address, r as same_tx_received_sats from recv join tx using (k)",
     "large_counterparties": f"with {IO}, {PEERS} select a as normalized_address, n as direct_large_counterparty_count from peers",
     "address_features": f"with {FEATURES} select * from feat",
-    "script_subjects": f"with {IO} select distinct sha256('bitcoin:mainnet'::blob || '\\x00'::blob || unhex(coalesce(script, ''))) as script_id, coalesce(script, '') as script_hex from io where kind = 'output'",
+    "script_subjects": f"""with {IO}, firsts as (select coalesce(script, '') as script_hex, min({{'n': len(addresses), 'a': addresses[1], 't': script_type}}) as r from io where kind = 'output' group by 1)
+        select sha256('bitcoin:mainnet'::blob || '\\x00'::blob || unhex(script_hex)) as script_id, script_hex, r.t as script_type, case when r.n = 1 then r.a end as normalized_address,
+               case when r.n = 1 then sha256('bitcoin:' || r.a) end as address_id, r.n = 1 as provider_enrichable from firsts""",
     "source_accounting": f"""with {IO} select count(*) filter (kind = 'output') as total_output_rows, count(*) filter (kind = 'input') as total_input_rows, count(distinct coalesce(script, '')) filter (kind = 'output') as distinct_script_subjects,
         count(*) filter (kind = 'output' and len(addresses) = 1) as standard_single_address_rows, count(*) filter (kind = 'output' and len(addresses) = 0) as empty_address_rows, count(*) filter (kind = 'output' and len(addresses) > 1) as multi_address_rows,
         count(*) filter (kind = 'output' and script_type = 'nonstandard') as nonstandard_rows, count(*) filter (kind = 'output' and coalesce(script, '') = '') as missing_script_hex_rows, count(*) filter (kind = 'input' and v is null) as unmatched_input_rows from io""",
@@ -426,9 +429,10 @@ ORACLE_SQL = {
     "entity_frequency": f"with {EV} select entity_id, count(*) as mention_count from pred group by 1",
     "work_queue": f"with {EV} select event_id as request_id, address, priority, ref as source_reference from req where starts_with(ref, 'panel:') and address not in (select address from obs where ts > timestamp '2024-01-29 12:00:00') order by priority desc, ts, event_id limit 30",
     "evidence_contract": f"with {EV} select 'verification_missing' as codes, count(*) as row_count from ev where tier = 'A' and not proven group by 1",
-    "claims": f"with {RESOLVE} select address, assertion_type, value as asserted_value, evidence_strength, corroboration_count, independence_count, effective_from, effective_to, reviewed_at, override_decision, claim_status, entity as entity_id, display as entity_display, provider_default from claim",
+    "claims": f"with {RESOLVE} select {_CLAIM_ID} as claim_id, address, assertion_type, value as asserted_value, evidence_strength, corroboration_count, independence_count, effective_from, effective_to, reviewed_at, override_decision, claim_status, entity as entity_id, display as entity_display, provider_default from claim",
     "resolutions": f"with {RESOLVE} select address, assertion_type, active_claims, selected_claims, identity_state, operational_tier, resolution_policy, freshness_status, display as primary_entity_display, value as resolved_asserted_value from resolved",
-    "conflicts": f"with {RESOLVE} select address, assertion_type, 'active' as status, active_claims::int as claim_count from resolved where active_claims > 1",
+    "conflicts": f"""with {RESOLVE}, open_ids as (select address, assertion_type, string_agg({_CLAIM_ID}, ',' order by {_CLAIM_ID}) as claim_ids from claim where claim_status <> 'rejected' group by all having count(*) > 1)
+        select address, assertion_type, 'active' as status, claim_ids, sha256('{{"address":"' || address || '","assertion_type":"' || assertion_type || '","opened":"2024-01-25 00:00:00"}}') as conflict_set_id from open_ids""",
     "snapshot_rows": f"with {RESOLVE} select address, assertion_type, operational_tier, case operational_tier when 'lookup_usable' then display end as primary_entity_display, n::int as candidates from resolved",
     "latest_message": "select conv_id, turn, role from (select *, row_number() over (partition by conv_id order by turn desc, role desc) as n from conversations) where n = 1",
     "replay_impact": f"""with {REPLAY} select {_W.format('true')} as events, {_W.format('found')} as found, {_W.format('inside')} as internal_candidate_events, {_W.format('inside and found')} as internal_candidate_identity_coverage,
@@ -571,3 +575,47 @@ ORACLE_SQL |= {
         select 'total' as metric, unnest(['anchor_only', 'reason_memberships', 'duplicate_slots_prevented', 'first_wave_unique', 'unique_selected', 'rate_limited_capacity', 'point_limited_capacity', 'remaining_p0', 'projected_minimum_minutes']),
             unnest([a, r, r - u, least(u, 20), u, 20, 40, p0 - least(p0, u, 20), ceil(u / 5.0)])::bigint from n""",
 }
+
+
+_WAVE = {"calibration_control": (5, 5), "current_capital": (0, 30), "dormant_holder": (3, 10), "high_turnover": (2, 20), "high_value_connector": (4, 10), "historical_large_receipt": (1, 25)}
+
+
+def _first_wave() -> str:
+    """The selection as a recursion over the rows that quotas leave; groups are numbered by name, their quotas by their own order."""
+    names = list(_WAVE)
+    member = ["list_contains(cohorts, 'calibration') or list_contains(cohorts, 'control')", *[f"list_contains(cohorts, '{g}')" for g in names[1:]]]
+    steps, before = [], []
+    for k, (o, _) in sorted(enumerate(_WAVE.values()), key=lambda x: x[1][0]):
+        gone = " and ".join(f"address_id not in (select address_id from t{b})" for b in before) or "true"
+        steps.append(f"t{k} as (select address_id, k from lists where k = {k} and {gone} order by r limit (select m from quota where k = {k}))")
+        before.append(k)
+    count = lambda t, cond: "[" + ", ".join(f"(select count(*) from {t} where {cond.format(k)})" for k in range(len(names))) + "]"
+    return f"""with recursive {ALONE}, mine as (
+        select address_id, importance_score as sc, greatest(current_utxo_sats, max_same_tx_received_sats, gross_flow_90d_sats, lifetime_received_sats) as big,
+               list_filter([{', '.join(f'case when {m} then {k} end' for k, m in enumerate(member))}], lambda x: x is not null) as g
+        from decided where priority_class in ('P1', 'CONTROL')
+    ), total as (
+        select p0, p0 + o // 3 as slots, o // 3 as free, (o // 3 * 40 + 99) // 100 as cap
+        from (select (select count(*) from decided where priority_class = 'P0') + (select count(*) from alone) as p0, (select count(*) from mine) as o)
+    ), quota as (
+        select k, free * p // 100 + case when row_number() over (order by free * p % 100 desc, o) <= free - sum(free * p // 100) over () then 1 else 0 end as m
+        from (values {', '.join(f'({k}, {o}, {p})' for k, (o, p) in enumerate(_WAVE.values()))}) t(k, o, p), total
+    ), lists as (
+        select address_id, k, row_number() over (partition by k order by sc desc, big desc, address_id) as r from (select *, unnest(g) as k from mine) qualify r <= (select slots from total)
+    ), {', '.join(steps)}, taken as ({' union all '.join(f'select * from t{k}' for k in before)}), rest as (
+        select address_id, g, list(k) as listed, row_number() over (order by sc desc, big desc, address_id) as pos
+        from mine join lists using (address_id) where address_id not in (select address_id from taken) group by address_id, g, sc, big
+    ), fold(pos, n, more, free, cap) as (
+        select 0::bigint, {count('taken', 'k = {}')}, {count('rest', 'list_contains(listed, {})')}, free - (select count(*) from taken), cap from total
+        union all
+        select pos + 1, case when c is null then n else list_transform(n, lambda v, i: case when i = c + 1 then v + 1 else v end) end,
+               case when c is null then more else list_transform(more, lambda v, i: case when list_contains(listed, i - 1) then v - 1 else v end) end, free - (c is not null)::int, cap
+        from (
+            select f.*, r.listed, case when f.free > 0 then list_min(list_transform(list_filter(r.g, lambda x: f.n[x + 1] < f.cap or len(list_filter(f.more, lambda v: v > 0)) < 3), lambda x: f.n[x + 1] * 10 + x)) % 10 end as c
+            from fold f join rest r on r.pos = f.pos + 1
+        )
+    ), last as (select n from fold order by pos desc limit 1), named as (select unnest({names}) as quota_group, unnest(n) as address_count from last)
+    select 'P0' as quota_group, p0 as address_count from total where p0 > 0 union all select * from named where address_count > 0"""
+
+
+ORACLE_SQL["first_wave"] = _first_wave()

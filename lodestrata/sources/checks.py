@@ -65,6 +65,15 @@ def source_probe(df: DataFrame, contract: T.StructType, ts: str, now: str, withi
     return {"rows": r.row_count, "newest": str(r.newest), "age_hours": r.age_hours, "reasons": sorted([*r.reasons, *(["schema"] if missing else [])]), "schema": missing}
 
 
+def monthly_budget(runs: DataFrame, now: str, limit_bytes: int, reserve_bytes: int, planned_bytes: int) -> DataFrame:
+    """One row: bytes of this month's runs (run_at, byte_count), what is left beside the reserve, and whether the planned bytes are admitted."""
+    at = F.lit(now).cast(runs.schema["run_at"].dataType)
+    own = (F.col("run_at") >= F.date_trunc("month", at)) & (F.col("run_at") < at)
+    used = runs.agg(F.coalesce(F.sum(F.when(own, F.col("byte_count"))), F.lit(0)).cast("bigint").alias("used_bytes"))
+    left = F.lit(limit_bytes - reserve_bytes).cast("bigint") - F.col("used_bytes")
+    return used.select("used_bytes", left.alias("left_bytes"), (left >= planned_bytes).alias("admitted"))
+
+
 def query_template(spark: SparkSession, sql: str, tables: dict[str, str], pinned_sha256: str | None = None, **values: object) -> DataFrame:
     """SQL with IDENTIFIER(:name) markers for tables and :name for values; names are checked, and the text against its pin."""
     if pinned_sha256 is not None and hashlib.sha256(sql.encode()).hexdigest() != pinned_sha256:

@@ -10,7 +10,6 @@ import gzip
 import hashlib
 import json
 from collections.abc import Callable
-from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -159,14 +158,13 @@ def load_snapshot(spark: SparkSession, path: str, schema) -> DataFrame:
     return rows
 
 
-def stored_payload(root: str, content: bytes) -> dict:
+def stored_payload(spark: SparkSession, root: str, content: bytes) -> dict:
     """Gzip under the content's digest; written once."""
     digest = hashlib.sha256(content).hexdigest()
-    path = Path(root, digest[:2], f"{digest}.gz")
-    path.parent.mkdir(parents=True, exist_ok=True)
-    if not path.exists():
-        path.write_bytes(gzip.compress(content, mtime=0))
-    return {"payload_sha256": digest, "payload_name": path.name, "byte_count": len(content)}
+    name, store = f"{digest}.gz", Store(spark)
+    if not store.exists(path := f"{root}/{digest[:2]}/{name}"):
+        store.write(path, gzip.compress(content, mtime=0))
+    return {"payload_sha256": digest, "payload_name": name, "byte_count": len(content)}
 
 
 class RunReceipt:

@@ -86,7 +86,7 @@ def test_embedded_wallets(spark):
 def test_readers_and_sinks(spark, tmp_path):
     (tmp_path / "e.ndjson").write_text('{"event_id":"1","replay_weight":2}\n{"event_id":"2"}\n')
     assert R.ndjson(spark, str(tmp_path / "e.ndjson"), REPLAY_EVENT).count() == 2
-    stored = K.stored_payload(str(tmp_path / "blobs"), b"hello")
+    stored = K.stored_payload(spark, str(tmp_path / "blobs"), b"hello")
     assert gzip.decompress(next((tmp_path / "blobs").rglob("*.gz")).read_bytes()) == b"hello"
     ledger = spark.createDataFrame([(stored["payload_name"], stored["payload_sha256"]), (stored["payload_name"], "bad")], "payload_name string, payload_sha256 string")
     assert R.payloads(spark, str(tmp_path / "blobs"), ledger).count() == 1
