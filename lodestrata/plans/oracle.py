@@ -364,7 +364,7 @@ P01 = COVER + f""", q as (
     select row_number() over (order by candidate_tier, v2_chain_score desc, current_utxo_sats desc, lifetime_received_sats desc, normalized_address) as queue_rank, sha256('bitcoin:' || normalized_address) as address_id, {QUEUE_COLS.format('candidate_tier')}
     from need where candidate_tier in ('p0', 'p1')
 )"""
-_CLAIM_ID = """sha256('{"address":"' || address || '","assertion_type":"' || assertion_type || '","asserted_value":"' || value || '","status":"' || claim_status || '"}')"""
+_CLAIM_ID = """sha256('{"address":"' || address || '","asserted_value":"' || value || '","assertion_type":"' || assertion_type || '","status":"' || claim_status || '"}')"""
 WEEK = "ts::date >= date '2001-07-18' and ts::date < date '2001-07-25'"
 
 ORACLE_SQL = {
