@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import ascii_lower, partitions
+from .common import ascii_lower, free_name, partitions
 
 RULES = (
     ("com", "/", "allow"),
@@ -75,8 +75,12 @@ def _fields(pages: DataFrame) -> list[Column]:
     return [F.col("_row").getField(c).alias(c) for c in pages.columns]
 
 
+def _named(pages: DataFrame, *values: Column) -> list[Column]:
+    return [v.alias(free_name(n, pages.columns)) for n, v in zip(("_host", "_path", "_rule", "_verdict"), values, strict=True)]
+
+
 def url_filter(pages: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES, default: str = "allow", url_col: str = "url", slices: int | None = None) -> DataFrame:
-    """pages' columns with host, path, rule and verdict added (_host, _path, _rule, _verdict).
+    """pages' columns with host, path, rule and verdict added (_host, _path, _rule, _verdict; one more underscore where pages has such a column).
 
     A rule (host, path, verdict) fits its host and subdomains where the url's
     path starts with its own; the longest host and path together wins, then the
@@ -90,7 +94,7 @@ def url_filter(pages: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES,
     urls = pages.select(F.struct("*").alias("_row"), host.alias("_host"), path.alias("_path"))
     if not rules:
         none = F.lit(None).cast("string")
-        return urls.select(*_fields(pages), "_host", "_path", none.alias("_rule"), F.lit(default).alias("_verdict"))
+        return urls.select(*_fields(pages), *_named(pages, F.col("_host"), F.col("_path"), none, F.lit(default)))
     n = slices or partitions(spark)
     urls = urls.select("_row", "_host", "_path", reversed_key(F.col("_host")).alias("_key"), F.lit(None).alias("_stack"), F.lit(1).alias("_kind"))
     urls = urls.withColumn("_slice", F.pmod(F.xxhash64(F.col(f"_row.{url_col}"), F.struct("_row")), F.lit(n)).cast("int"))
@@ -102,7 +106,5 @@ def url_filter(pages: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES,
     seen = urls.unionByName(ends).select("*", F.last("_stack", True).over(w).alias("_active")).where("_kind = 1")
     fits = F.filter("_active", lambda r: F.startswith(F.col("_path"), r["path"]))
     best = F.array_max(fits)
-    return seen.select("_row", "_host", "_path", best.alias("_best")).select(
-        *_fields(pages), "_host", "_path",
-        F.concat("_best.host", "_best.path").alias("_rule"), F.coalesce("_best.verdict", F.lit(default)).alias("_verdict"),
-    )
+    rule, verdict = F.concat("_best.host", "_best.path"), F.coalesce("_best.verdict", F.lit(default))
+    return seen.select("_row", "_host", "_path", best.alias("_best")).select(*_fields(pages), *_named(pages, F.col("_host"), F.col("_path"), rule, verdict))
