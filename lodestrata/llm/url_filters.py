@@ -31,6 +31,8 @@ RULES = (
     ("net", "/fr/", "block"),
 )
 MAX_RULES = 100_000
+#: ends in a block of the sweep
+SWEEP = 512
 
 
 def host_and_path(url: Column) -> tuple[Column, Column]:
@@ -62,11 +64,17 @@ def _ends(spark, rules: Sequence[tuple[str, str, str]]) -> DataFrame:
         F.struct(F.col("hi").alias("key"), F.lit(0).alias("opens"), F.expr("filter(rules, x -> false)").alias("rules")),
     )).alias("e"))
     ordered = events.agg(F.sort_array(F.collect_list("e")).alias("events"))
-    # the sweep: what ended at this key leaves the stack, then what opens here joins it
-    step = "named_struct('key', e.key, 'stack', concat(filter(element_at(acc, -1).stack, r -> r.hi > e.key), e.rules))"
-    swept = ordered.select(F.expr(
-        f"aggregate(events, array(named_struct('key', '', 'stack', filter(events[0].rules, r -> false))), (acc, e) -> concat(acc, array({step})))"
-    ).alias("ends"))
+    # the sweep: what ended at this key leaves the stack, then what opens here joins it. First over blocks of ends, for
+    # the stack that each block starts with, then within each, so no list of all stacks is copied at every end
+    after = "concat(filter({}, r -> r.hi > e.key), e.rules)"
+    block, count = f"slice(events, k * {SWEEP} + 1, {SWEEP})", f"cast(ceil(size(events) / {SWEEP}D) as int)"
+    nothing = "filter(events[0].rules, r -> false)"
+    begin = f"aggregate(sequence(0, {count} - 1), array({nothing}), (acc, k) -> concat(acc, array(aggregate({block}, element_at(acc, -1), (st, e) -> {after.format('st')}))))"
+    step = f"named_struct('key', e.key, 'stack', {after.format('element_at(acc, -1).stack')})"
+    within = f"aggregate({block}, array(named_struct('key', '', 'stack', get(begin, k))), (acc, e) -> concat(acc, array({step})), acc -> slice(acc, 2, size(acc)))"
+    swept = ordered.withColumn("begin", F.expr(begin)).select(
+        F.expr(f"concat(array(named_struct('key', '', 'stack', {nothing})), flatten(transform(sequence(0, {count} - 1), k -> {within})))").alias("ends")
+    )
     ends = swept.select(F.posexplode("ends").alias("n", "e")).select("n", "e.key", "e.stack")
     return ends.groupBy("key").agg(F.max_by("stack", "n").alias("stack"))
 
