@@ -244,7 +244,7 @@ def test_one_address_in_half_the_rows(spark):
     assert got["hot"].lifetime_received_sats == sum(10 ** 10 + i for i in range(300)) and got["hot"].active_tx_90d_count == 300
     plan = E.address_economics(X.flatten_io(tx), CUT)._jdf.queryExecution().optimizedPlan().toString()
     assert "Repartition" not in plan  # both levels sum in part before their shuffles
-    feats = {r.normalized_address: r.direct_large_counterparty_count for r in E.address_features(X.flatten_io(tx), CUT).collect()}
+    feats = {r.normalized_address: r.direct_large_counterparty_count for r in E.address_features(X.flatten_io(tx, True), CUT).collect()}
     assert feats["hot"] == sum(i % 3 > 0 for i in range(300)) and feats["a1"] == 1 and feats["a3"] == 0
 
 
