@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from .common import dropped, ship, tidy, written
-from .simhash import _LOWER, components
+from .simhash import _LOWER, components, grouped
 from .simhash import links as covering_links
 
 BANDS, ROWS, RADIUS = 40, 5, 3
@@ -210,11 +210,7 @@ def resemblance_dedup(docs: DataFrame, similarity: float = 0.8, words: int = 5,
     Rows that repeat an id stay or go together; rows without an id stay.
     """
     marks = written(sets(docs, id_col, text_col, words), "shingles")
-    roots = components(links(marks, similarity))
-    nodes = marks.groupBy("_fp").agg(F.min("_id").alias("_first"))
-    led = nodes.join(roots, nodes["_fp"] == roots["_node"], "left").select("_fp", "_first", F.coalesce("_root", "_fp").alias("_root"))
-    names = led.groupBy("_root").agg(F.min("_first").alias("_component"))
-    groups = marks.select("_id", "_fp").join(led.join(names, "_root"), "_fp").where(F.col("_id").isNotNull())
+    groups = grouped(marks, lambda nodes: links(marks, similarity)).where(F.col("_id").isNotNull())
     lost = written(groups.groupBy("_id").agg(F.max(F.col("_id") == F.col("_component")).alias("_led")).where("not _led").select("_id"), "lost")
     dropped(marks)
     return docs.join(lost, docs[id_col] == lost["_id"], "left_anti")

@@ -20,12 +20,14 @@ in the shared folder, so nothing is collected.
 Defined results: null and empty texts have fingerprint zero, as texts of white
 space do, and are linked like any other. A row without an id belongs to its
 fingerprint's component and never names it, unless no row of it has one (null).
-Repeated rows get the same component. An empty table gives an empty one.
+Repeated rows get the same component. Texts may be of any length. An empty table
+gives an empty one. Other columns of the input, whatever their names, aren't
+returned by simhash_components and pass through near_dedup.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import combinations
 
 import numpy as np
@@ -35,7 +37,7 @@ from pyspark.sql import functions as F
 
 from .common import dropped, ship, tidy, written
 
-HEAVY = 20_000
+HEAVY, SALTS = 20_000, 256
 
 
 def masks(radius: int = 3, bits: int = 64) -> list[int]:
@@ -191,12 +193,23 @@ def components(edges: DataFrame) -> DataFrame:
 def simhash_components(docs: DataFrame, radius: int = 3, shingle: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """_id, _fp and _component (smallest id reachable over links of at most radius bits) of each row."""
     marks = written(fingerprints(docs, id_col, text_col, shingle), "fingerprints")
-    nodes = marks.groupBy("_fp").agg(F.min("_id").alias("_first"))
-    roots = components(links(nodes.select("_fp"), radius))
+    return grouped(marks, lambda nodes: links(nodes.select("_fp"), radius)).select("_id", "_fp", "_component")
+
+
+def grouped(marks: DataFrame, linked: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """marks (_id, _fp) with _component: the smallest id that linked's links between distinct _fp reach.
+
+    Copies share an _fp, so rows are grouped and joined by (_fp, _salt), a part of
+    them; a name goes only to the parts that its _fp has, SALTS at most.
+    """
+    salted = marks.select("_id", "_fp", F.pmod(F.xxhash64("_id"), F.lit(SALTS)).cast("int").alias("_salt"))
+    parts = salted.groupBy("_fp", "_salt").agg(F.min("_id").alias("_first"))
+    nodes = parts.groupBy("_fp").agg(F.min("_first").alias("_first"))
+    roots = components(linked(nodes))
     led = nodes.join(roots, nodes["_fp"] == roots["_node"], "left").select("_fp", "_first", F.coalesce("_root", "_fp").alias("_root"))
     names = led.groupBy("_root").agg(F.min("_first").alias("_component"))
-    named = led.join(names, "_root").select("_fp", "_component")
-    return marks.join(named, "_fp").select("_id", "_fp", "_component")
+    spread = parts.select("_fp", "_salt").join(led.join(names, "_root").select("_fp", "_component"), "_fp")
+    return salted.join(spread, ["_fp", "_salt"])
 
 
 def near_dedup(docs: DataFrame, radius: int = 3, shingle: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
