@@ -27,6 +27,7 @@ from __future__ import annotations
 
 import json
 import random
+import struct
 import unicodedata
 import zlib
 from collections import defaultdict
@@ -85,10 +86,11 @@ class WordEncoder(dict):
     """Ids (little-endian unsigned 32 bits) of words between ASCII white space, for files whose settings are by_words.
 
     A word is first cut into the pattern's units, which repeat far more often
-    than words do. Both tables are emptied when full.
+    than words do. A full table becomes the old one, from which what is still used
+    comes back; the one before goes.
     """
 
-    MOST = 200_000
+    MOST = 300_000
 
     def __init__(self, path: str):
         import regex
@@ -98,20 +100,29 @@ class WordEncoder(dict):
         self.tokenizer.encode_special_tokens = True
         self.merge = self.tokenizer.model.tokenize
         self.units: dict[str, bytes] = {}
+        self.old: dict[bytes, bytes] = {}
+        self.old_units: dict[str, bytes] = {}
         self.cut = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\p{White_Space}\p{L}\p{N}]+").findall
 
     def unit(self, unit: str) -> bytes:
         """One match of the pattern, in lower case and normal form."""
         if (ids := self.units.get(unit)) is None:
             if len(self.units) >= self.MOST:
-                self.units.clear()
-            written = unit if unit.isascii() and unit.isprintable() else unit.encode().decode("latin-1").translate(_BYTE_LETTERS)
-            ids = self.units[unit] = np.array([t.id for t in self.merge(written)], "<u4").tobytes()
+                self.units, self.old_units = {}, self.units
+            if (ids := self.old_units.get(unit)) is None:
+                written = unit if unit.isascii() and unit.isprintable() else unit.encode().decode("latin-1").translate(_BYTE_LETTERS)
+                found = [t.id for t in self.merge(written)]
+                ids = struct.pack(f"<{len(found)}I", *found)
+            self.units[unit] = ids
         return ids
 
     def __missing__(self, word: bytes) -> bytes:
         if len(self) >= self.MOST:
-            self.clear()
+            self.old = dict(self)
+            super().clear()
+        if (ids := self.old.get(word)) is not None:
+            self[word] = ids
+            return ids
         text = word.decode("utf-8", "surrogatepass")
         if not text.isascii():
             if "\u03a3" in text or not unicodedata.is_normalized("NFC", text):  # the tokenizer's own business
@@ -123,7 +134,8 @@ class WordEncoder(dict):
 
     def clear(self) -> None:
         super().clear()
-        self.units.clear()
+        for other in (self.units, self.old, self.old_units):
+            other.clear()
 
     def document(self, text: str | None) -> bytes:
         return b"".join(map(self.__getitem__, (text or "").encode("utf-8", "surrogatepass").lower().split()))
@@ -293,10 +305,12 @@ def _round(rest: DataFrame, capacity: int, groups: int, number: int, last: bool)
     dealt = rest.select("*", group, F.explode(F.array(*map(F.lit, range(ISLANDS)))).alias("_island"))
     schema = rest.schema.simpleString()[7:-1]
     keep = GROUP_SIZE // MERGE
+    # what a round leaves badly filled goes on to the next one, so only the last has to try everything
+    effort = {} if last else {"population": max(ISLANDS + 1, POPULATION // 2), "stale": STALE // 5}
 
     def island(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(_ORDER, ignore_index=True)
-        bins = evolved(pdf["length"].tolist(), capacity, int(key[0]) * ISLANDS + int(key[1]) + number)
+        bins = evolved(pdf["length"].tolist(), capacity, int(key[0]) * ISLANDS + int(key[1]) + number, **effort)
         at = np.empty(len(pdf), np.int64)
         for k, b in enumerate(bins):
             at[b] = k
@@ -313,7 +327,7 @@ def _round(rest: DataFrame, capacity: int, groups: int, number: int, last: bool)
             elites.append(list(bins.values()))
         pdf = pdf.iloc[:n].drop(columns=["_bin", "_island", "_group"])
         sizes = pdf["length"].tolist()
-        bins = evolved(sizes, capacity, int(key[0]) + number, elites)
+        bins = evolved(sizes, capacity, int(key[0]) + number, elites, **effort)
         bins.sort(key=lambda b: sum(sizes[i] for i in b))
         at, offset, final, left = np.empty(n, np.int64), np.empty(n, np.int64), np.ones(n, bool), 0
         for k, b in enumerate(bins):
