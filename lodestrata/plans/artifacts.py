@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import io
+import zipfile
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.addresses import normalize_address
+from ..functions.proofs import verify_2of3_proof
 from ..functions.text import is_sha256, json_shape, parsed_utc
 from ..operators import anchors as A
 from ..operators import coverage as V
@@ -23,6 +27,7 @@ from ..sources import projection as J
 from ..sources import readers as R
 from ..sources import sinks as Z
 from ..sources.shared import kept, path_for
+from ..sources.store import Store
 from . import catalog as C
 from .oracle import CAND, COVER, DECIDE, EV, FEATURES, ORACLE_SQL, RESOLVE
 
@@ -424,3 +429,58 @@ def due_subjects(s, d):
 @query(f"with work as ({ORACLE_SQL['work_queue']}), {_SUBJECTS} select subject_id, address, request_id, priority from work join subjects using (address)")
 def work_subjects(s, d):
     return V.with_subjects(C.QUERIES["work_queue"](s, d), _subjects(s, d)).select("subject_id", "address", "request_id", "priority")
+
+
+# Public examples of addresses, and a 2-of-3 script of three small keys with signatures of two of them and of another key.
+_ADDRESSES = ("1A1zP1eP5QGefi2DMPTfTL5SLmv7DivfNa", "3J98t1WpEZ73CNmQviecrnyiWrnqRhWNLy", "BC1QW508D6QEJXTDG4Y5R3ZARVARY0C5XW7KV8F3T4", "1A1zP1eP5QGefi2DMPTfTL5SLmv7DivfNb", "tb1qw508d6qejxtdg4y5r3zarvary0c5xw7kxpjzsx")
+_KINDS = ("p2pkh", "p2sh", "p2wpkh", None, None)
+_MULTISIG = "3H1z4tjmjnnU6Zcq8jWX3sPdEYmbzDCPDD"
+_SCRIPT = (
+    "522102311091dd9860e8e20ee13473c1155f5f69635e394704eaa74009452246cfa9b321036c0d1f1784e47ff04108c1d9049df6b"
+    "3658aa6490ef4ef1ac1e4dbfd90ac042721036ff180fcdaa3061808e8b306d6f0acff27968c22484ff45e56aeaa7b2b60732f53ae"
+)
+_MESSAGE = "I am an audited address"
+_SIGNED = (
+    "IOH+Q000W/Mwg6u2KA9PRKxfsik0l3gTwgwBXytD0/q4U8uJP3VS7tPKYx6fWBfA23TMTVmnWCjxYuPRTSXlO7E=",
+    "IMjt9yW1nZ83CHCl3NXnCwuupJOluFyyJ8Hvao6M2tj7bdWmySlXD/cCZeOSgr3GcCXiLjU+EcfydAaxNrC+aVw=",
+    "INgR2MQyO0NwJgfCWt6TbArC5KRLK6UfgyDFF550Wn4pvUcTy0+MjETgDRbXJcdRITqsxiw1DkNpu13tjzi1Dl4=",
+)
+
+
+def _case(values: tuple) -> str:
+    return "case n_nationkey % 5 " + " ".join(f"when {k} then '{v}'" for k, v in enumerate(values) if v) + " end"
+
+
+@query(f"""with a as (select n_nationkey, {_case(_ADDRESSES)} as a, {_case(_KINDS)} as address_type from nation), n as (select *, case when address_type is not null then case when lower(a) like 'bc1%' then lower(a) else a end end as normalized_address from a)
+    select n_nationkey::int as place, normalized_address, address_type, sha256('bitcoin:' || normalized_address) as address_id from n""")
+def normalized_addresses(s, d):
+    """Addresses of every kind, in mixed case, with a wrong checksum, and of another network."""
+    texts = F.element_at(F.array(*map(F.lit, _ADDRESSES)), (F.col("n_nationkey") % 5 + 1).cast("int"))
+    rows = J.table(s, d, "nation").select(F.col("n_nationkey").cast("int").alias("place"), normalize_address(texts).alias("a"))
+    return rows.select("place", "a.normalized_address", "a.address_type", "a.address_id")
+
+
+@query("select r_regionkey::int + 2 as row_number, r_regionkey % 3 = 0 as verified from region")
+def verified_proofs(s, d):
+    """An archive with a row for each region: two good signatures, one twice, or one of another key; rows of other coins are left out."""
+    first, second, other = _SIGNED
+    lines = ["coin,total"]
+    for r in sorted(x.r_regionkey for x in J.table(s, d, "region").collect()):
+        lines.append(f"BTC,x,y,{_MULTISIG},1,{_MESSAGE},{first},{(second, first, other)[r % 3]},{_SCRIPT}")
+    lines.append(f"ETH,x,y,{_MULTISIG},1,{_MESSAGE},{first},{second},{_SCRIPT}")
+    blob, path = io.BytesIO(), f"{path_for(s, 'proofs')}/proofs.zip"
+    with zipfile.ZipFile(blob, "w") as z:
+        z.writestr("rows.csv", "\n".join(lines))
+    Store(s).write(path, blob.getvalue())
+    rows = R.multisig_rows(R.zipped_rows(s, path), _MESSAGE)
+    return rows.select("row_number", verify_2of3_proof(*[F.col(c) for c in ("address", "message", "first_signature", "second_signature", "redeem_script_hex")]).alias("verified"))
+
+
+@query("select count(*) filter (r_regionkey % 3 = 0) as proof_count, count(*) as issuer_count, timestamp '2024-02-01' as expires_at from region")
+def issued_evidence(s, d):
+    """Tier A evidence of the verified proofs, tier B of an issuer's list that expires."""
+    proofs = R.proof_evidence(QUERIES["verified_proofs"](s, d), "id", "Issuer", D.AS_OF, "0" * 64)
+    listed = J.table(s, d, "region").select(F.lit("2024-01-01").alias("updated_at"), F.col("r_name").alias("address"))
+    issued = R.issuer_evidence(listed, "id", "Issuer", D.AS_OF, "0" * 64)
+    tiers = proofs.select("evidence_tier", F.lit(None).cast("timestamp").alias("expires_at")).union(issued.select("evidence_tier", "expires_at"))
+    return tiers.agg(F.count_if(F.col("evidence_tier") == "A").alias("proof_count"), F.count_if(F.col("evidence_tier") == "B").alias("issuer_count"), F.max("expires_at").alias("expires_at"))
