@@ -28,6 +28,7 @@ from ..sources import readers as R
 from ..sources import sinks as Z
 from ..sources.shared import kept, path_for
 from ..sources.store import Store
+from ..streaming import ingest as T
 from . import catalog as C
 from .oracle import CAND, COVER, DECIDE, EV, FEATURES, ORACLE_SQL, RESOLVE
 
@@ -484,3 +485,25 @@ def issued_evidence(s, d):
     issued = R.issuer_evidence(listed, "id", "Issuer", D.AS_OF, "0" * 64)
     tiers = proofs.select("evidence_tier", F.lit(None).cast("timestamp").alias("expires_at")).union(issued.select("evidence_tier", "expires_at"))
     return tiers.agg(F.count_if(F.col("evidence_tier") == "A").alias("proof_count"), F.count_if(F.col("evidence_tier") == "B").alias("issuer_count"), F.max("expires_at").alias("expires_at"))
+
+
+def _stream(s: SparkSession, rows: DataFrame) -> DataFrame:
+    path = path_for(s, "arrivals")
+    rows.write.parquet(path)
+    return s.readStream.schema(rows.schema).parquet(path)
+
+
+@query("select distinct sha256((event_id // 3)::varchar) as evidence_fingerprint from events")
+def streamed_evidence(s, d):
+    """Evidence that arrives three times is taken once."""
+    key = F.sha2(F.expr("event_id div 3").cast("string").cast("binary"), 256)
+    rows = J.table(s, d, "events").select(key.alias("evidence_fingerprint"), F.col("ts").cast("timestamp").alias("observed_at"))
+    return T.drained(T.new_evidence(_stream(s, rows), late="60 days"), "evidence").select("evidence_fingerprint")
+
+
+@query("""select date_trunc('minute', ts) as minute, count(*) as requests, sum(case when event_id % 2 = 0 then event_id else 1000 end)::bigint as bytes from events
+    group by 1 having date_trunc('minute', ts) + interval 1 minute <= (select max(ts) - interval 5 minute from events)""")
+def streamed_minutes(s, d):
+    """Requests and bytes of each minute that the watermark has closed."""
+    rows = J.table(s, d, "events").select(F.col("ts").cast("timestamp").alias("reserved_at"), F.when(F.col("event_id") % 2 == 0, F.col("event_id")).alias("actual_bytes"), F.lit(1000).cast("bigint").alias("estimated_bytes"))
+    return T.drained(T.admission_counts(_stream(s, rows)), "minutes").select(F.col("window.start").cast("timestamp_ntz").alias("minute"), "requests", "bytes")
