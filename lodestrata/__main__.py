@@ -11,11 +11,20 @@ import sys
 GROUPS = {
     "evidence": {"check": "evidence_contract", "import": "appended_evidence", "payloads": "payload_evidence"},
     "resolve": {"rebuild": "resolutions", "claims": "claims", "conflicts": "conflicts", "show": "resolution_lookup", "errors": "decision_errors"},
-    "audit": {"coverage": "outcome_counts", "panel": "provider_panel", "strata": "panel_by_stratum", "seeds": "calibration_seeds", "points": "point_totals"},
+    "audit": {
+        "coverage": "outcome_counts", "panel": "provider_panel", "strata": "panel_by_stratum", "seeds": "calibration_seeds",
+        "points": "point_totals"
+    },
     "replay": {"impact": "replay_impact", "policies": "replay_policy_counts", "changes": "replay_changed_fields", "bilateral": "bilateral_impact"},
     "coverage-sync": {"plan": "sync_plan", "entities": "due_entities", "addresses": "due_addresses", "profile": "fetch_profile"},
-    "universe": {"campaign": "materialized_campaign", "candidates": "first_wave_statistics", "census-v1": "census_v1_row", "census-v2": "census_v2_row", "population": "population_contract"},
-    "enrichment": {"queue": "queue_artifact", "plan": "enrichment_plan", "fanout": "fanout_plan", "accounting": "fanout_accounting", "due": "queue_due"},
+    "universe": {
+        "campaign": "materialized_campaign", "candidates": "first_wave_statistics", "census-v1": "census_v1_row",
+        "census-v2": "census_v2_row", "population": "population_contract"
+    },
+    "enrichment": {
+        "queue": "queue_artifact", "plan": "enrichment_plan", "fanout": "fanout_plan", "accounting": "fanout_accounting",
+        "due": "queue_due"
+    },
 }
 
 

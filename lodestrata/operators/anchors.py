@@ -11,7 +11,9 @@ from pyspark.sql import functions as F
 def active(as_of: Column) -> Column:
     """Whether an evidence row holds at a time."""
     c = F.col
-    return (c("evidence_status") == "valid") & (c("effective_from").isNull() | (c("effective_from") <= as_of)) & (c("effective_to").isNull() | (c("effective_to") >= as_of)) & (c("expires_at").isNull() | (c("expires_at") >= as_of))
+    return (c("evidence_status") == "valid") & (
+        c("effective_from").isNull() | (c("effective_from") <= as_of)
+    ) & (c("effective_to").isNull() | (c("effective_to") >= as_of)) & (c("expires_at").isNull() | (c("expires_at") >= as_of))
 
 
 def anchors_as_of(evidence: DataFrame, conflicts: DataFrame, predictions: DataFrame, requests: DataFrame, as_of: str) -> DataFrame:
@@ -27,11 +29,25 @@ def anchors_as_of(evidence: DataFrame, conflicts: DataFrame, predictions: DataFr
     def named(df: DataFrame, reason: str) -> DataFrame:
         return df.select("address", F.lit(reason).alias("reason_code"))
 
-    official = evidence.where((F.col("observed_at") <= at(evidence, "observed_at")) & active(at(evidence, "observed_at")) & ((F.col("evidence_tier") == "B") | ((F.col("evidence_tier") == "A") & (F.col("verification_result") == "valid"))))
+    official = evidence.where(
+        (F.col("observed_at") <= at(evidence, "observed_at")) & active(at(evidence, "observed_at")) & (
+            (F.col("evidence_tier") == "B") | ((F.col("evidence_tier") == "A") & (F.col("verification_result") == "valid"))
+        )
+    )
     parts = [
-        named(official, "official_or_signed_evidence"), named(conflicts.where((F.col("created_at") <= at(conflicts, "created_at")) & (F.col("status") == "active") & (F.col("resolved_at").isNull() | (F.col("resolved_at") > at(conflicts, "resolved_at")))), "existing_provider_conflict"),
+        named(official, "official_or_signed_evidence"), named(
+            conflicts.where(
+                (F.col("created_at") <= at(conflicts, "created_at")) & (F.col("status") == "active") & (
+                    F.col("resolved_at").isNull() | (F.col("resolved_at") > at(conflicts, "resolved_at"))
+                )
+            ),
+            "existing_provider_conflict"
+        ),
         named(predictions.where(F.col("observed_at") <= at(predictions, "observed_at")), "provider_entity_prediction"),
-        named(requests.where((F.col("requested_at") <= at(requests, "requested_at")) & (F.col("reason") == "known_watchlist")), "existing_system_watchlist"),
+        named(
+            requests.where((F.col("requested_at") <= at(requests, "requested_at")) & (F.col("reason") == "known_watchlist")),
+            "existing_system_watchlist"
+        ),
     ]
     return reduce(DataFrame.unionByName, parts).distinct()
 
@@ -54,5 +70,7 @@ def anchor_only(anchors: DataFrame, features: DataFrame) -> DataFrame:
 
 def cohort_overlap(rows: DataFrame, names: str = "cohort_names") -> DataFrame:
     """How many rows each pair of cohorts shares; a cohort with itself gives its size."""
-    pairs = F.flatten(F.transform(names, lambda a: F.transform(F.filter(names, lambda b: b >= a), lambda b: F.struct(a.alias("cohort_a"), b.alias("cohort_b")))))
+    pairs = F.flatten(
+        F.transform(names, lambda a: F.transform(F.filter(names, lambda b: b >= a), lambda b: F.struct(a.alias("cohort_a"), b.alias("cohort_b"))))
+    )
     return rows.select(F.explode(pairs).alias("p")).groupBy("p.cohort_a", "p.cohort_b").agg(F.count("*").alias("address_count"))

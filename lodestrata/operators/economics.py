@@ -49,7 +49,8 @@ def address_economics(io: DataFrame, cutoff_time: str) -> DataFrame:
         _long(F.sum(received)).alias("lifetime_received_sats"), _long(F.sum("tx_spent_sats")).alias("lifetime_spent_sats"),
         _long(F.sum(received) - F.sum("tx_spent_sats")).alias("current_utxo_sats"), _long(F.sum(_if(d90, gross))).alias("gross_flow_90d_sats"),
         F.max(ts).alias("last_seen_time"), _long(F.max(received)).alias("max_same_tx_received_lifetime_sats"),
-        _long(F.max(_if(d90, received))).alias("max_same_tx_received_90d_sats"), _long(F.max(_if(d365, received))).alias("max_same_tx_received_365d_sats"),
+        _long(F.max(_if(d90, received))).alias("max_same_tx_received_90d_sats"),
+        _long(F.max(_if(d365, received))).alias("max_same_tx_received_365d_sats"),
         F.count_if(large).alias("same_tx_receive_ge_500_btc_lifetime_count"), F.count_if(d90 & large).alias("same_tx_receive_ge_500_btc_90d_count"),
         F.count_if(d365 & large).alias("same_tx_receive_ge_500_btc_365d_count"), F.count_if(d90).alias("active_tx_90d_count"),
         F.count_if(d365).alias("active_tx_365d_count"),
@@ -64,7 +65,9 @@ def address_economics(io: DataFrame, cutoff_time: str) -> DataFrame:
 def economics_v1(io: DataFrame, cutoff_time: str) -> DataFrame:
     """The first policy's economics: an address is a receiver by any output row, also of value zero."""
     rows = single_address(io).where(F.col("value_sats").isNotNull())
-    tx = rows.groupBy("normalized_address", "block_hash", "transaction_hash", "row_kind").agg(F.max("block_timestamp").alias("block_timestamp"), F.sum("value_sats").alias("v"))
+    tx = rows.groupBy("normalized_address", "block_hash", "transaction_hash", "row_kind").agg(
+        F.max("block_timestamp").alias("block_timestamp"), F.sum("value_sats").alias("v")
+    )
     ts, v, out = F.col("block_timestamp"), F.col("v"), F.col("row_kind") == "output"
     return tx.groupBy("normalized_address").agg(
         _long(F.sum(_if(out, v))).alias("lifetime_received_sats"), _long(F.sum(_if(~out, v))).alias("lifetime_spent_sats"),
@@ -115,14 +118,19 @@ def address_features(io: DataFrame, cutoff_time: str, large_sats: int = 100 * BT
     cut, out, v, ts, h = _cut(rows, cutoff_time), F.col("row_kind") == "output", F.col("value_sats"), F.col("block_timestamp"), F.col("block_number")
     sums = [c for kind in ("output", "input") for c in _windowed(kind, cut)]
     tx = rows.groupBy("normalized_address", "block_hash", "transaction_hash").agg(
-        F.min(h).alias("h0"), F.max(h).alias("h1"), F.min(ts).alias("t0"), F.max(ts).alias("t1"), F.count_if(out).alias("n_out"), F.count_if(~out).alias("n_in"),
-        F.sum(_if(out, v)).alias("received"), F.sum(_if(~out, v)).alias("spent"), F.max(_if(out, v)).alias("largest"), F.min(F.when(out, F.col("script_type"))).alias("kind"), *sums,
+        F.min(h).alias("h0"), F.max(h).alias("h1"), F.min(ts).alias("t0"), F.max(ts).alias("t1"), F.count_if(out).alias("n_out"),
+        F.count_if(~out).alias("n_in"),
+        F.sum(_if(out, v)).alias("received"), F.sum(_if(~out, v)).alias("spent"), F.max(_if(out, v)).alias("largest"),
+        F.min(F.when(out, F.col("script_type"))).alias("kind"), *sums,
     )
     total = lambda c: _long(F.sum(c))
     by = tx.groupBy("normalized_address").agg(
-        F.min("kind").alias("address_type"), F.min("h0").alias("first_seen_height"), F.max("h1").alias("last_seen_height"), F.min("t0").alias("first_seen_time"),
-        F.max("t1").alias("last_seen_time"), total("n_out").alias("output_count"), total("n_in").alias("spent_output_count"), F.count("*").alias("transaction_count"),
-        _long(F.sum("received") - F.sum("spent")).alias("current_utxo_sats"), total("received").alias("lifetime_received_sats"), total("spent").alias("lifetime_spent_sats"),
+        F.min("kind").alias("address_type"), F.min("h0").alias("first_seen_height"), F.max("h1").alias("last_seen_height"),
+        F.min("t0").alias("first_seen_time"),
+        F.max("t1").alias("last_seen_time"), total("n_out").alias("output_count"), total("n_in").alias("spent_output_count"),
+        F.count("*").alias("transaction_count"),
+        _long(F.sum("received") - F.sum("spent")).alias("current_utxo_sats"), total("received").alias("lifetime_received_sats"),
+        total("spent").alias("lifetime_spent_sats"),
         _long(F.max("largest")).alias("max_single_output_sats"), _long(F.max("received")).alias("max_same_tx_received_sats"),
         *[total(f"_{kind}_{d}").alias(f"{name}_{d}d_sats") for kind, name in (("output", "inflow"), ("input", "outflow")) for d in (30, 90, 365)],
     ).where("output_count > 0")
@@ -145,7 +153,8 @@ def script_subjects(io: DataFrame) -> DataFrame:
     first = io.where("row_kind = 'output'").groupBy(hex_.alias("script_hex")).agg(F.min(row).alias("r"))
     one = F.col("r.n") == 1
     return first.select(
-        script_id(F.col("script_hex")).alias("script_id"), "script_hex", F.col("r.t").alias("script_type"), F.when(one, F.col("r.a")).alias("normalized_address"),
+        script_id(F.col("script_hex")).alias("script_id"), "script_hex", F.col("r.t").alias("script_type"),
+        F.when(one, F.col("r.a")).alias("normalized_address"),
         F.when(one, address_id(F.col("r.a"))).alias("address_id"), one.alias("provider_enrichable"),
     )
 
@@ -156,9 +165,11 @@ def source_accounting(io: DataFrame) -> DataFrame:
     return io.agg(
         F.count_if(out).alias("total_output_rows"), F.count_if(~out).alias("total_input_rows"),
         F.count_distinct(F.when(out, F.coalesce("script_hex", F.lit("")))).alias("distinct_script_subjects"),
-        F.count_if(out & (n == 1)).alias("standard_single_address_rows"), F.count_if(out & (n == 0)).alias("empty_address_rows"), F.count_if(out & (n > 1)).alias("multi_address_rows"),
+        F.count_if(out & (n == 1)).alias("standard_single_address_rows"), F.count_if(out & (n == 0)).alias("empty_address_rows"),
+        F.count_if(out & (n > 1)).alias("multi_address_rows"),
         F.count_if(out & (F.lower(F.coalesce("script_type", F.lit(""))) == "nonstandard")).alias("nonstandard_rows"),
-        F.count_if(out & (F.coalesce("script_hex", F.lit("")) == "")).alias("missing_script_hex_rows"), F.count_if(~out & F.col("value_sats").isNull()).alias("unmatched_input_rows"),
+        F.count_if(out & (F.coalesce("script_hex", F.lit("")) == "")).alias("missing_script_hex_rows"),
+        F.count_if(~out & F.col("value_sats").isNull()).alias("unmatched_input_rows"),
     )
 
 

@@ -11,7 +11,11 @@ from ..functions.hashing import fingerprint
 from ..functions.text import canonical
 from .ranking import first_by
 
-IDENTITY = ("address", "assertion_type", "candidate_entity_id", "candidate_entity_name", "candidate_label", "candidate_wallet_role", "provider_entity_id", "provider_tag_id", "source_authority", "evidence_tier", "independence_group", "artifact_sha256", "observed_at")
+IDENTITY = (
+    "address", "assertion_type", "candidate_entity_id", "candidate_entity_name", "candidate_label", "candidate_wallet_role",
+    "provider_entity_id", "provider_tag_id", "source_authority", "evidence_tier", "independence_group", "artifact_sha256",
+    "observed_at"
+)
 # The allowed words of each enumeration.
 ENUMS = {
     "assertion_type": ("entity_control", "address_label", "address_kind", "relationship", "wallet_role"),
@@ -28,9 +32,12 @@ def contract_codes() -> Column:
     c = F.col
     empty = lambda x: F.coalesce(c(x), F.lit("")) == ""
     rules = {
-        "address_missing": empty("address"), "entity_missing": (c("assertion_type") == "entity_control") & empty("candidate_entity_id") & empty("candidate_entity_name"),
-        "label_missing": c("assertion_type").isin("address_label", "address_kind", "relationship") & empty("candidate_label"), "role_missing": (c("assertion_type") == "wallet_role") & empty("candidate_wallet_role"),
-        "verification_missing": (c("evidence_tier") == "A") & c("verification_result").isNull(), "effective_order": c("effective_to") < c("effective_from"),
+        "address_missing": empty("address"),
+        "entity_missing": (c("assertion_type") == "entity_control") & empty("candidate_entity_id") & empty("candidate_entity_name"),
+        "label_missing": c("assertion_type").isin("address_label", "address_kind", "relationship") & empty("candidate_label"),
+        "role_missing": (c("assertion_type") == "wallet_role") & empty("candidate_wallet_role"),
+        "verification_missing": (c("evidence_tier") == "A") & c("verification_result").isNull(),
+        "effective_order": c("effective_to") < c("effective_from"),
     } | {f"{k}_unknown": ~F.coalesce(c(k), F.lit("")).isin(*v) for k, v in ENUMS.items()}
     return F.array_compact(F.array(*[F.when(v, F.lit(k)) for k, v in rules.items()]))
 
@@ -70,5 +77,7 @@ def canonical_value() -> Column:
     """Names come before ids, so ids of different sources can support one claim."""
     c = F.col
     first = lambda *x: F.coalesce(*[F.when(c(k) != "", c(k)) for k in x])
-    raw = F.when(c("assertion_type") == "entity_control", first("candidate_entity_name", "candidate_entity_id")).when(c("assertion_type") == "wallet_role", c("candidate_wallet_role")).otherwise(c("candidate_label"))
+    raw = F.when(
+        c("assertion_type") == "entity_control", first("candidate_entity_name", "candidate_entity_id")
+    ).when(c("assertion_type") == "wallet_role", c("candidate_wallet_role")).otherwise(c("candidate_label"))
     return canonical(raw)

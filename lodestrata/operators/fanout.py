@@ -40,7 +40,9 @@ def accounting(attempts: DataFrame, observations: DataFrame, profile: str) -> Da
     )
 
 
-def enrichment_plan(due: DataFrame, points_limit: int, points_used: int, points_each: int, runtime_minutes: int, requests_per_minute: int) -> DataFrame:
+def enrichment_plan(
+    due: DataFrame, points_limit: int, points_used: int, points_each: int, runtime_minutes: int, requests_per_minute: int
+) -> DataFrame:
     """Due queue rows, in rank order, that both budgets allow, with the points spent when each is done."""
     from .queues import budget
 
@@ -52,8 +54,16 @@ def enrichment_plan(due: DataFrame, points_limit: int, points_used: int, points_
 
 def sync_plan(entities: DataFrame, addresses: DataFrame, limit: int) -> DataFrame:
     """One cycle: due entities (discover, then detail), then due addresses (enrich), each by priority, limit in all."""
-    stages = entities.select(F.lit(0).alias("stage"), F.lit("entity").alias("kind"), F.col(KEY).alias("subject"), F.col("priority").cast("int").alias("priority"))
-    rows = stages.unionByName(addresses.select(F.lit(1).alias("stage"), F.lit("address").alias("kind"), F.col("address").alias("subject"), F.col("priority").cast("int").alias("priority")))
+    stages = entities.select(
+        F.lit(0).alias("stage"), F.lit("entity").alias("kind"), F.col(KEY).alias("subject"),
+        F.col("priority").cast("int").alias("priority")
+    )
+    rows = stages.unionByName(
+        addresses.select(
+            F.lit(1).alias("stage"), F.lit("address").alias("kind"), F.col("address").alias("subject"),
+            F.col("priority").cast("int").alias("priority")
+        )
+    )
     first = rows.orderBy("stage", F.desc("priority"), "subject").limit(limit)
     place = F.row_number().over(Window.orderBy("stage", F.desc("priority"), "subject"))
     return first.select(place.cast("bigint").alias("plan_rank"), "kind", "subject", "priority")
@@ -70,7 +80,10 @@ def predictions(observations: DataFrame, payload: str = "payload") -> DataFrame:
     """Addresses that a response lists, with their places from 1; an address counts where it is first listed."""
     item = "array<struct<address:string>>"
     p = F.from_json(payload, f"struct<addresses:array<string>,items:{item},data:{item}>")
-    listed = F.coalesce(p["addresses"], F.transform(p["items"], lambda x: x["address"]), F.transform(p["data"], lambda x: x["address"]), F.array().cast("array<string>"))
+    listed = F.coalesce(
+        p["addresses"], F.transform(p["items"], lambda x: x["address"]), F.transform(p["data"], lambda x: x["address"]),
+        F.array().cast("array<string>")
+    )
     rows = observations.select(KEY, "observation_id", F.posexplode(listed).alias("_place", "address")).where("address is not null and address <> ''")
     out = rows.withColumn("prediction_rank", F.col("_place") + 1).drop("_place")
     return first_seen(out, [KEY, "observation_id", "address"], F.asc("prediction_rank"))
@@ -82,12 +95,21 @@ def payload_evidence(observations: DataFrame, payload: str = "payload") -> DataF
     none = F.lit(None).cast("string")
 
     def row(kind: str, entity_id: Column = none, name: Column = none, label: Column = none, tag: Column = none) -> Column:
-        values = {"assertion_type": F.lit(kind), "candidate_entity_id": entity_id, "candidate_entity_name": name, "candidate_label": label, "provider_tag_id": tag}
+        values = {
+            "assertion_type": F.lit(kind), "candidate_entity_id": entity_id, "candidate_entity_name": name,
+            "candidate_label": label, "provider_tag_id": tag
+        }
         return F.struct(*[v.alias(k) for k, v in values.items()])
 
     entity = row("entity_control", p["entity"]["id"], p["entity"]["name"])
     named = F.coalesce(p["entity"]["id"], p["entity"]["name"]).isNotNull()
     own = F.array_compact(F.array(F.when(named, entity), F.when(F.coalesce(p["label"], F.lit("")) != "", row("address_label", label=p["label"]))))
-    tags = F.transform(F.filter(F.coalesce(p["tags"], F.array().cast("array<struct<id:string,name:string>>")), lambda t: t["id"].isNotNull()), lambda t: row("address_label", label=t["name"], tag=t["id"]))
+    tags = F.transform(
+        F.filter(F.coalesce(p["tags"], F.array().cast("array<struct<id:string,name:string>>")), lambda t: t["id"].isNotNull()),
+        lambda t: row("address_label", label=t["name"], tag=t["id"])
+    )
     rows = observations.select("address", "payload_sha256", F.col("completed_at").alias("observed_at"), F.explode(F.concat(own, tags)).alias("_e"))
-    return rows.select("address", "_e.*", F.lit("commercial_provider").alias("source_authority"), F.lit("C").alias("evidence_tier"), F.col("payload_sha256").alias("artifact_sha256"), "observed_at")
+    return rows.select(
+        "address", "_e.*", F.lit("commercial_provider").alias("source_authority"), F.lit("C").alias("evidence_tier"),
+        F.col("payload_sha256").alias("artifact_sha256"), "observed_at"
+    )

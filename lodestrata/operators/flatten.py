@@ -16,7 +16,9 @@ def at_cutoff(tx: DataFrame, height: int, time: str) -> DataFrame:
 def recent(frame: DataFrame, as_of: str, days: int = 7, ts: str = "block_timestamp", month: str = "block_timestamp_month") -> DataFrame:
     """Rows of the days before a date, that date itself not included."""
     end, start = F.lit(as_of).cast("date"), F.date_sub(F.lit(as_of).cast("date"), days)
-    return frame.where(F.col(month).between(F.trunc(start, "MM"), F.trunc(F.date_sub(end, 1), "MM")) & (F.to_date(ts) >= start) & (F.to_date(ts) < end))
+    return frame.where(
+        F.col(month).between(F.trunc(start, "MM"), F.trunc(F.date_sub(end, 1), "MM")) & (F.to_date(ts) >= start) & (F.to_date(ts) < end)
+    )
 
 
 def flatten_io(tx: DataFrame, full: bool = False) -> DataFrame:
@@ -29,7 +31,10 @@ def flatten_io(tx: DataFrame, full: bool = False) -> DataFrame:
     def side(kind: str, name: str) -> Column:
         return F.transform(name, lambda x: F.struct(F.lit(kind).alias("row_kind"), *[x[f].alias(f) for f in fields]))
 
-    rows = tx.select("block_hash", F.col("hash").alias("transaction_hash"), "block_number", "block_timestamp", F.explode(F.concat(side("input", "inputs"), side("output", "outputs"))).alias("io"))
+    rows = tx.select(
+        "block_hash", F.col("hash").alias("transaction_hash"), "block_number", "block_timestamp",
+        F.explode(F.concat(side("input", "inputs"), side("output", "outputs"))).alias("io")
+    )
     out = rows.select("block_hash", "transaction_hash", "block_number", "block_timestamp", "io.*")
     out = out.withColumnRenamed("value", "source_value").withColumn("value_sats", F.expr("try_cast(source_value as decimal(38,0))"))
     return out.withColumnRenamed("type", "script_type") if full else out

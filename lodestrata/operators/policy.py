@@ -58,30 +58,42 @@ def recency(df: DataFrame, cutoff_time: str) -> Column:
 def importance_v1(features: DataFrame, cutoff_time: str, campaign: str, t: Thresholds = Thresholds()) -> DataFrame:
     """Decision, score, reasons, components and cohorts of each feature row; features carries calibration_reasons."""
     cal = F.col("calibration_reasons")
-    utxo, receipt, gross, life, edges = (F.col(c) for c in ("current_utxo_sats", "max_same_tx_received_sats", "gross_flow_90d_sats", "lifetime_received_sats", "direct_large_counterparty_count"))
+    utxo, receipt, gross, life, edges = (
+        F.col(c) for c in (
+            "current_utxo_sats", "max_same_tx_received_sats", "gross_flow_90d_sats", "lifetime_received_sats",
+            "direct_large_counterparty_count"
+        )
+    )
     df = features.withColumn("recency_days", recency(features, cutoff_time))
     days = F.col("recency_days")
     ladders = [_ladder(utxo, BALANCE, BTC), _ladder(receipt, RECEIPT, BTC), _ladder(gross, TURNOVER, BTC), _ladder(days, RECENCY, 1, True)]
     extra = [
-        (edges > 0, EDGE_POINTS, "direct_large_selected_edge"), (F.array_contains(cal, "provider_entity_prediction"), PREDICTION_POINTS, "provider_entity_prediction"),
+        (edges > 0, EDGE_POINTS, "direct_large_selected_edge"), (
+            F.array_contains(cal, "provider_entity_prediction"), PREDICTION_POINTS, "provider_entity_prediction"
+        ),
         (F.array_contains(cal, "existing_system_watchlist"), WATCHLIST_POINTS, "existing_system_watchlist"),
     ]
     score = sum((p for p, _ in ladders), F.lit(0)) + sum((F.when(c, p).otherwise(0) for c, p, _ in extra), F.lit(0))
     components = _codes(*[c for _, c in ladders], *[_flag(c, n) for c, _, n in extra])
     p0 = _codes(
-        *[_flag(F.array_contains(cal, n), n) for n in FORCED], _flag(utxo >= 100 * BTC, "utxo_ge_100_btc"), _flag(receipt >= 500 * BTC, "same_tx_receive_ge_500_btc"),
+        *[_flag(F.array_contains(cal, n), n) for n in FORCED], _flag(utxo >= 100 * BTC, "utxo_ge_100_btc"),
+        _flag(receipt >= 500 * BTC, "same_tx_receive_ge_500_btc"),
         _flag(gross >= 1_000 * BTC, "gross_90d_ge_1000_btc"), _flag((life >= 10_000 * BTC) & (days <= 365), "lifetime_ge_10000_active_365d"),
     )
     cohorts = [
         _flag(F.size(cal) > 0, "calibration"), _flag(utxo >= BTC, "current_capital"), _flag((utxo >= BTC) & (days > 365), "dormant_holder"),
         _flag(edges > 0, "high_value_connector"), _flag(gross >= 10 * BTC, "high_turnover"), _flag(receipt >= 100 * BTC, "historical_large_receipt"),
     ]
-    df = df.withColumns({"importance_score": score.cast("int"), "_p0": p0, "_components": components, "_sample": control_sample(campaign, F.col("address_id"))})
+    df = df.withColumns(
+        {"importance_score": score.cast("int"), "_p0": p0, "_components": components, "_sample": control_sample(campaign, F.col("address_id"))}
+    )
     kind = F.when(F.size("_p0") > 0, "P0").when(F.col("importance_score") >= t.p1, "P1").when(F.col("_sample"), "CONTROL").otherwise("NONE")
     df = df.withColumn("priority_class", kind)
     control = F.col("priority_class") == "CONTROL"
     reasons = F.when(F.size("_p0") > 0, F.col("_p0")).when(F.col("priority_class") == "P1", F.col("_components")).when(control, F.array(F.lit("deterministic_low_score_control"))).otherwise(F.array().cast("array<string>"))
-    return df.withColumns({"reason_codes": reasons, "cohort_names": _codes(*cohorts, _flag(control, "control")), "score_components": F.col("_components")}).drop("_p0", "_components", "_sample")
+    return df.withColumns(
+        {"reason_codes": reasons, "cohort_names": _codes(*cohorts, _flag(control, "control")), "score_components": F.col("_components")}
+    ).drop("_p0", "_components", "_sample")
 
 
 def chain_policy_v1(economics: DataFrame, cutoff_time: str, t: Thresholds = Thresholds()) -> DataFrame:
@@ -89,7 +101,10 @@ def chain_policy_v1(economics: DataFrame, cutoff_time: str, t: Thresholds = Thre
     df = economics.where("has_output").withColumn("recency_days", recency(economics, cutoff_time))
     utxo, receipt, gross = F.col("current_utxo_sats"), F.col("max_same_tx_received_sats"), F.col("gross_flow_90d_sats")
     score = _ladder(utxo, BALANCE, BTC)[0] + _ladder(receipt, RECEIPT, BTC)[0] + _ladder(gross, TURNOVER, BTC)[0] + _ladder(F.col("recency_days"), RECENCY, 1, True)[0]
-    bits = ((utxo >= 100 * BTC, 1), (receipt >= 500 * BTC, 2), (gross >= 1_000 * BTC, 4), ((F.col("lifetime_received_sats") >= 10_000 * BTC) & (F.col("recency_days") <= 365), 8))
+    bits = (
+        (utxo >= 100 * BTC, 1), (receipt >= 500 * BTC, 2), (gross >= 1_000 * BTC, 4),
+        ((F.col("lifetime_received_sats") >= 10_000 * BTC) & (F.col("recency_days") <= 365), 8)
+    )
     df = df.withColumns({"chain_importance_score": score.cast("int"), "p0_mask": mask(*bits)})
     economic = (utxo >= BTC) | (receipt >= 100 * BTC) | (gross >= 10 * BTC)
     s, m = F.col("chain_importance_score"), F.col("p0_mask")
@@ -117,7 +132,8 @@ def variants_v2(economics: DataFrame, cutoff_time: str, t: Thresholds = Threshol
     df = economics.where("has_output").withColumns({
         "recency_days": recency(economics, cutoff_time),
         "residual_gross_90d_sats": F.greatest(c("gross_flow_90d_sats") - c("max_same_tx_received_90d_sats"), F.lit(0).cast("bigint")),
-        "recent_receipt_retained": _retained("90d"), "balanced_receipt_retained": _retained("365d"), "retention_receipt_supported": _retained("lifetime"),
+        "recent_receipt_retained": _retained("90d"), "balanced_receipt_retained": _retained("365d"),
+        "retention_receipt_supported": _retained("lifetime"),
         "recent_receipt_repeated": c("same_tx_receive_ge_500_btc_90d_count") >= 2,
     })
     active = (c("active_tx_90d_count") >= 3) & (c("active_day_90d_count") >= 2)
@@ -144,5 +160,8 @@ def variants_v2(economics: DataFrame, cutoff_time: str, t: Thresholds = Threshol
     tiers = {}
     for v in VARIANTS:
         none = c(f"{v}_p0_mask") == 0
-        tiers |= {f"{v}_is_p0": ~none, f"{v}_is_p1": none & (c("v2_chain_score") >= t.p1), f"{v}_is_edge": none & c("v2_chain_score").between(t.edge, t.p1 - 1), f"{v}_is_coarse": ~none | wide}
+        tiers |= {
+            f"{v}_is_p0": ~none, f"{v}_is_p1": none & (c("v2_chain_score") >= t.p1),
+            f"{v}_is_edge": none & c("v2_chain_score").between(t.edge, t.p1 - 1), f"{v}_is_coarse": ~none | wide
+        }
     return df.withColumns(tiers)

@@ -14,7 +14,10 @@ SEED = "btc-v2s-p2-economic-leader-v1:"
 
 
 def needed(candidates: DataFrame, coverage: DataFrame) -> DataFrame:
-    return candidates.join(coverage.where("coverage_state = 'needs_direct_enrichment'").select(*KEYS, "active_conflict", "explicit_direct_requirement"), KEYS)
+    return candidates.join(
+        coverage.where("coverage_state = 'needs_direct_enrichment'").select(*KEYS, "active_conflict", "explicit_direct_requirement"),
+        KEYS
+    )
 
 
 def reconciliation(candidates: DataFrame, coverage: DataFrame, tiers: tuple[str, ...]) -> DataFrame:
@@ -26,7 +29,10 @@ def reconciliation(candidates: DataFrame, coverage: DataFrame, tiers: tuple[str,
 
     need = F.col("coverage_state") == "needs_direct_enrichment"
     must = need & (F.col("active_conflict") | F.col("explicit_direct_requirement"))
-    joined = own.select(*KEYS).join(cov, KEYS).agg(F.count("*").alias("joined_rows"), F.count_if(need).alias("eligible_rows"), F.count_if(must).alias("mandatory_direct_rows"))
+    joined = own.select(*KEYS).join(cov, KEYS).agg(
+        F.count("*").alias("joined_rows"), F.count_if(need).alias("eligible_rows"),
+        F.count_if(must).alias("mandatory_direct_rows")
+    )
     return count(own, "candidate").crossJoin(count(cov, "coverage")).crossJoin(joined)
 
 
@@ -38,20 +44,33 @@ def budget(points_limit: int, points_used: int, points_each: int, runtime_minute
 def leaders(candidates: DataFrame, coverage: DataFrame, k: int, seed: str = SEED) -> DataFrame:
     """The k most valuable edge and other candidates that need direct enrichment, mandatory ones first; ties by seeded digest."""
     rows = needed(candidates.where("candidate_tier in ('edge', 'coarse_other')"), coverage)
-    value = F.greatest("current_utxo_sats", "lifetime_received_sats", "residual_gross_90d_sats", "max_same_tx_received_lifetime_sats", "max_same_tx_received_365d_sats", "max_same_tx_received_90d_sats")
+    value = F.greatest(
+        "current_utxo_sats", "lifetime_received_sats", "residual_gross_90d_sats", "max_same_tx_received_lifetime_sats",
+        "max_same_tx_received_365d_sats", "max_same_tx_received_90d_sats"
+    )
     rows = rows.withColumns({
-        "economic_value_sats": value, "selection_key_sha256": sha256_text(F.concat(F.lit(seed), F.col("normalized_address"))), "address_id": address_id(F.col("normalized_address")), "cohort": F.lit("p2"),
+        "economic_value_sats": value, "selection_key_sha256": sha256_text(F.concat(F.lit(seed), F.col("normalized_address"))),
+        "address_id": address_id(F.col("normalized_address")), "cohort": F.lit("p2"),
         "_must": F.col("active_conflict") | F.col("explicit_direct_requirement"),
     })
     order = (F.desc("_must"), F.desc("economic_value_sats"), F.desc("v2_chain_score"), F.asc("selection_key_sha256"))
-    return top(rows, k, *order).select("queue_rank", "address_id", "normalized_address", "candidate_tier", "cohort", "v2_chain_score", "current_utxo_sats", "lifetime_received_sats", "economic_value_sats", "selection_key_sha256", "active_conflict", "explicit_direct_requirement", "candidate_row_sha256")
+    return top(rows, k, *order).select(
+        "queue_rank", "address_id", "normalized_address", "candidate_tier", "cohort", "v2_chain_score", "current_utxo_sats",
+        "lifetime_received_sats", "economic_value_sats", "selection_key_sha256", "active_conflict", "explicit_direct_requirement",
+        "candidate_row_sha256"
+    )
 
 
 def priority_queue(candidates: DataFrame, coverage: DataFrame) -> DataFrame:
     """All P0 and P1 candidates that need direct enrichment, in order; the ranking has no single task."""
-    rows = needed(candidates.where("candidate_tier in ('p0', 'p1')"), coverage).withColumns({"address_id": address_id(F.col("normalized_address")), "cohort": F.col("candidate_tier")})
+    rows = needed(candidates.where("candidate_tier in ('p0', 'p1')"), coverage).withColumns(
+        {"address_id": address_id(F.col("normalized_address")), "cohort": F.col("candidate_tier")}
+    )
     order = (F.asc("cohort"), F.desc("v2_chain_score"), F.desc("current_utxo_sats"), F.desc("lifetime_received_sats"), F.asc("normalized_address"))
-    return ranked(rows, *order).select("queue_rank", "address_id", "normalized_address", "candidate_tier", "cohort", "v2_chain_score", "current_utxo_sats", "lifetime_received_sats", "active_conflict", "explicit_direct_requirement", "candidate_row_sha256")
+    return ranked(rows, *order).select(
+        "queue_rank", "address_id", "normalized_address", "candidate_tier", "cohort", "v2_chain_score", "current_utxo_sats",
+        "lifetime_received_sats", "active_conflict", "explicit_direct_requirement", "candidate_row_sha256"
+    )
 
 
 def due_rows(queue: DataFrame, attempted: DataFrame, terminal: DataFrame, memberships: DataFrame, evidence: DataFrame) -> DataFrame:
@@ -66,7 +85,10 @@ def due_rows(queue: DataFrame, attempted: DataFrame, terminal: DataFrame, member
 def rank_gaps(queue: DataFrame) -> DataFrame:
     """One row: whether queue_rank runs from 1 without gaps or repeats."""
     n = F.count("*")
-    return queue.agg(n.alias("row_count"), ((F.min("queue_rank") == 1) & (F.max("queue_rank") == n) & (F.count_distinct("queue_rank") == n)).alias("contiguous"))
+    return queue.agg(
+        n.alias("row_count"),
+        ((F.min("queue_rank") == 1) & (F.max("queue_rank") == n) & (F.count_distinct("queue_rank") == n)).alias("contiguous")
+    )
 
 
 def work_queue(requests: DataFrame, observed: DataFrame, prefix: str, fresh_after: str, limit: int) -> DataFrame:

@@ -34,7 +34,10 @@ def ranked(df: DataFrame, *order: Column, name: str = "queue_rank") -> DataFrame
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     dealt = kept(df.repartitionByRange(n, *order).withColumn("_range", F.spark_partition_id()), "ranges")
     counts = dealt.groupBy("_range").agg(F.count("*").alias("_n"))  # at most n rows
-    before = counts.select("_range", F.coalesce(F.sum("_n").over(Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"))
+    before = counts.select(
+        "_range",
+        F.coalesce(F.sum("_n").over(Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before")
+    )
     within = F.row_number().over(Window.partitionBy("_range").orderBy(*order))
     placed = dealt.withColumn("_within", within).join(F.broadcast(before), "_range")
     return placed.withColumn(name, (F.col("_before") + F.col("_within")).cast("bigint")).drop("_range", "_before", "_within")

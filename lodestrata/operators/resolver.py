@@ -32,8 +32,10 @@ def claims(evidence: DataFrame, reviews: DataFrame, overrides: DataFrame, as_of:
     # the first named row wins; rows without one are left out by min_by's null order
     name, entity = F.when(c("candidate_entity_name") != "", c("candidate_entity_name")), F.when(c("candidate_entity_id") != "", c("candidate_entity_id"))
     grouped = rows.groupBy(*KEY, "asserted_value").agg(
-        F.min("evidence_tier").alias("evidence_strength"), F.count("*").alias("corroboration_count"), F.count_distinct("independence_group").alias("independence_count"),
-        F.min("effective_from").alias("effective_from"), F.max("effective_to").alias("effective_to"), (F.count_if(c("evidence_tier").isin("A", "B")) > 0).alias("_strong"),
+        F.min("evidence_tier").alias("evidence_strength"), F.count("*").alias("corroboration_count"),
+        F.count_distinct("independence_group").alias("independence_count"),
+        F.min("effective_from").alias("effective_from"), F.max("effective_to").alias("effective_to"),
+        (F.count_if(c("evidence_tier").isin("A", "B")) > 0).alias("_strong"),
         (F.count_if(~((c("source_authority") == "commercial_provider") & (c("evidence_tier") == "C"))) == 0).alias("_commercial"),
         F.min_by(name, F.when(name.isNotNull(), prefer)).alias("_name"), F.min_by(entity, F.when(entity.isNotNull(), prefer)).alias("_entity"),
     )
@@ -47,7 +49,8 @@ def claims(evidence: DataFrame, reviews: DataFrame, overrides: DataFrame, as_of:
     )
     is_entity = c("assertion_type") == "entity_control"
     return out.withColumns({
-        "claim_status": status, "entity_id": F.when(is_entity, c("_entity")), "entity_display": F.when(is_entity, c("_name")), "provider_default": is_entity & c("_commercial"),
+        "claim_status": status, "entity_id": F.when(is_entity, c("_entity")), "entity_display": F.when(is_entity, c("_name")),
+        "provider_default": is_entity & c("_commercial"),
         "claim_id": fingerprint(address=c("address"), assertion_type=c("assertion_type"), asserted_value=c("asserted_value"), status=status),
     }).drop("_strong", "_commercial", "_name", "_entity", "_review")
 
@@ -57,11 +60,14 @@ def resolutions(evidence: DataFrame, made: DataFrame, overrides: DataFrame, as_o
     c = F.col
     at = F.lit(as_of).cast(evidence.schema["observed_at"].dataType)
     known = evidence.where(c("observed_at") <= at).groupBy(*KEY).agg((F.count_if(~F.coalesce(active(at), F.lit(False))) > 0).alias("_stale"))
-    over = latest(overrides, [*KEY, "asserted_value"], "reviewed_at", "override_id", as_of).select(*KEY).distinct().withColumn("_override", F.lit(True))
+    over = latest(
+        overrides, [*KEY, "asserted_value"], "reviewed_at", "override_id", as_of
+    ).select(*KEY).distinct().withColumn("_override", F.lit(True))
     live, chosen = c("claim_status") != "rejected", (c("claim_status") != "rejected") & (c("override_decision") == "select")
     row = F.struct("asserted_value", "claim_id", "claim_status", "entity_display", "provider_default")
     per = made.groupBy(*KEY).agg(
-        F.count_if(live).alias("active_claims"), F.count_if(F.coalesce(chosen, F.lit(False))).alias("selected_claims"), F.min(F.when(chosen, row)).alias("_selected"), F.min(F.when(live, row)).alias("_only"),
+        F.count_if(live).alias("active_claims"), F.count_if(F.coalesce(chosen, F.lit(False))).alias("selected_claims"),
+        F.min(F.when(chosen, row)).alias("_selected"), F.min(F.when(live, row)).alias("_only"),
         F.sort_array(F.collect_list("claim_id")).alias("candidate_claim_ids"),
     )
     out = known.join(per, KEY, "left").join(over, KEY, "left").na.fill(0, ["active_claims", "selected_claims"]).na.fill(False, ["_override"])
@@ -83,9 +89,16 @@ def resolutions(evidence: DataFrame, made: DataFrame, overrides: DataFrame, as_o
     return out.withColumns({
         "identity_state": by(none=F.when(c("_stale"), "stale").otherwise("unattributed"), conflict="ambiguous", other="resolved"),
         "operational_tier": by(none="none", conflict="lookup_only", plain="discovery_only", other="lookup_usable"),
-        "resolution_policy": by(none=F.when(c("_override"), "local_override").otherwise("unattributed"), override="local_override", conflict="conflict_first", reviewed="reviewed_evidence", default="provider_default", other="unreviewed_evidence"),
-        "freshness_status": by(none=F.when(c("_stale"), "stale").when(c("_override"), "locally_rejected").otherwise("unknown"), conflict="conflicted", other="fresh"),
-        "primary_claim_id": primary["claim_id"], "primary_entity_display": primary["entity_display"], "resolved_asserted_value": primary["asserted_value"],
+        "resolution_policy": by(
+            none=F.when(c("_override"), "local_override").otherwise("unattributed"), override="local_override",
+            conflict="conflict_first", reviewed="reviewed_evidence", default="provider_default", other="unreviewed_evidence"
+        ),
+        "freshness_status": by(
+            none=F.when(c("_stale"), "stale").when(c("_override"), "locally_rejected").otherwise("unknown"),
+            conflict="conflicted", other="fresh"
+        ),
+        "primary_claim_id": primary["claim_id"], "primary_entity_display": primary["entity_display"],
+        "resolved_asserted_value": primary["asserted_value"],
         "candidate_claim_ids": F.coalesce("candidate_claim_ids", F.array().cast("array<string>")),
     }).drop("_stale", "_override", "_selected", "_only", "_b")
 
@@ -96,7 +109,9 @@ def conflicts(made: DataFrame, before: DataFrame | None, as_of: str) -> DataFram
     before: address, assertion_type, conflict_set_id, created_at of conflicts that were open.
     """
     c = F.col
-    now = made.where("claim_status <> 'rejected'").groupBy(*KEY).agg(F.count("*").alias("n"), F.sort_array(F.collect_list("claim_id")).alias("claim_ids")).where("n > 1").drop("n")
+    now = made.where("claim_status <> 'rejected'").groupBy(*KEY).agg(
+        F.count("*").alias("n"), F.sort_array(F.collect_list("claim_id")).alias("claim_ids")
+    ).where("n > 1").drop("n")
     if before is None:
         before = made.sparkSession.createDataFrame([], "address string, assertion_type string, conflict_set_id string, created_at timestamp")
     at = F.lit(as_of).cast(before.schema["created_at"].dataType)
@@ -104,7 +119,9 @@ def conflicts(made: DataFrame, before: DataFrame | None, as_of: str) -> DataFram
     new_id = fingerprint(address=c("address"), assertion_type=c("assertion_type"), opened=F.lit(as_of))
     return both.select(
         *KEY, F.coalesce("conflict_set_id", new_id).alias("conflict_set_id"), F.coalesce("created_at", at).alias("created_at"),
-        F.when(c("claim_ids").isNull(), at).alias("resolved_at"), F.when(c("claim_ids").isNull(), "resolved").otherwise("active").alias("status"), F.coalesce("claim_ids", F.array().cast("array<string>")).alias("claim_ids"),
+        F.when(c("claim_ids").isNull(), at).alias("resolved_at"),
+        F.when(c("claim_ids").isNull(), "resolved").otherwise("active").alias("status"),
+        F.coalesce("claim_ids", F.array().cast("array<string>")).alias("claim_ids"),
     )
 
 
@@ -115,13 +132,18 @@ def show(resolved: DataFrame, address: str, assertion_type: str) -> DataFrame:
 def decision_errors(entry: DataFrame, decisions: tuple[str, ...]) -> DataFrame:
     """Rows that can't be recorded, with codes."""
     missing = lambda c: F.coalesce(F.trim(c), F.lit("")) == ""
-    rules = {"unknown_decision": ~F.coalesce(F.col("decision").isin(*decisions), F.lit(False)), "no_reviewer": missing("reviewer_ref"), "no_address": missing("address"), "no_time": F.col("reviewed_at").isNull()}
+    rules = {
+        "unknown_decision": ~F.coalesce(F.col("decision").isin(*decisions), F.lit(False)), "no_reviewer": missing("reviewer_ref"),
+        "no_address": missing("address"), "no_time": F.col("reviewed_at").isNull()
+    }
     return entry.withColumn("codes", F.array_compact(F.array(*[F.when(c, F.lit(k)) for k, c in rules.items()]))).where(F.size("codes") > 0)
 
 
 def recorded(log: DataFrame, entry: DataFrame, decisions: tuple[str, ...]) -> DataFrame:
     """log with entry appended; an error where any of its rows can't be recorded."""
-    wrong = decision_errors(entry, decisions).agg(F.count("*").alias("n"), F.array_sort(F.collect_set(F.array_join("codes", ","))).alias("codes")).first()
+    wrong = decision_errors(entry, decisions).agg(
+        F.count("*").alias("n"), F.array_sort(F.collect_set(F.array_join("codes", ","))).alias("codes")
+    ).first()
     if wrong.n:
         raise ValueError(f"{wrong.n} decisions can't be recorded: {'; '.join(wrong.codes)}")
     return log.unionByName(entry)

@@ -15,12 +15,15 @@ def snapshot_rows(resolved: DataFrame, claims: DataFrame, as_of: str) -> DataFra
     now = latest(resolved, KEY, "resolved_at", "resolution_id", as_of)
     ids = now.select(*KEY, F.explode("candidate_claim_ids").alias("claim_id"))
     named = claims.groupBy("claim_id").agg(F.min(F.coalesce("entity_id", "asserted_value")).alias("entity"))
-    entities = ids.join(named, "claim_id").groupBy(*KEY).agg(F.transform(F.sort_array(F.collect_list(F.struct("claim_id", "entity"))), lambda x: x["entity"]).alias("candidate_entities"))
+    entities = ids.join(named, "claim_id").groupBy(*KEY).agg(
+        F.transform(F.sort_array(F.collect_list(F.struct("claim_id", "entity"))), lambda x: x["entity"]).alias("candidate_entities")
+    )
     usable = F.col("operational_tier") == "lookup_usable"
     none = F.array().cast("array<string>")
     return now.join(entities, KEY, "left").withColumns({
         "candidate_entities": F.coalesce("candidate_entities", none),
-        "primary_entity_display": F.when(usable, F.col("primary_entity_display")), "resolved_asserted_value": F.when(usable, F.col("resolved_asserted_value")),
+        "primary_entity_display": F.when(usable, F.col("primary_entity_display")),
+        "resolved_asserted_value": F.when(usable, F.col("resolved_asserted_value")),
     })
 
 

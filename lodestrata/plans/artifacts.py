@@ -117,8 +117,13 @@ def _mixed(s: SparkSession, d: str) -> tuple[DataFrame, dict[str, list[str]]]:
     union all select 'script_subject', count(distinct coalesce(script, '')), count(distinct coalesce(script, '')), 0 from io where kind = 'output' union all select 'source_accounting', 1, 0, 1""")
 def mixed_rows(s, d):
     rows = _mixed(s, d)[0]
-    ids = F.coalesce(F.when(F.col("row_kind") == "script_subject", F.col("script_id")), F.when(F.col("row_kind") == "address_feature", F.col("address_id")))
-    return rows.groupBy("row_kind").agg(F.count("*").alias("row_count"), F.count(ids).alias("id_count"), F.count("total_output_rows").alias("total_count"))
+    ids = F.coalesce(
+        F.when(F.col("row_kind") == "script_subject", F.col("script_id")),
+        F.when(F.col("row_kind") == "address_feature", F.col("address_id"))
+    )
+    return rows.groupBy("row_kind").agg(
+        F.count("*").alias("row_count"), F.count(ids).alias("id_count"), F.count("total_output_rows").alias("total_count")
+    )
 
 
 @query(f"""with {FEATURES} select (select count(*) from feat) as feature_count, (select sum(current_utxo_sats)::bigint from feat) as utxo_sats, (select count(distinct coalesce(script, '')) from io where kind = 'output') as script_count,
@@ -248,7 +253,11 @@ def payload_evidence(s, d):
     tag = lambda k, n: F.struct(F.lit(k).alias("id"), F.lit(n).alias("name"))
     tags = F.when(i % 5 == 0, F.array(tag("tag1", "first"), tag("tag2", "second"), tag(None, "none"))).otherwise(F.array(tag("tag1", "first")))
     body = F.to_json(F.struct(entity.alias("entity"), F.when(i % 3 == 0, F.concat(F.lit("Label "), t)).alias("label"), tags.alias("tags")))
-    rows = e.select(F.concat(F.lit("acct:"), F.col("user_id")).alias("address"), F.sha2(F.col("props").cast("binary"), 256).alias("payload_sha256"), F.col("ts").alias("completed_at"), body.alias("payload"))
+    rows = e.select(
+        F.concat(F.lit("acct:"), F.col("user_id")).alias("address"),
+        F.sha2(F.col("props").cast("binary"), 256).alias("payload_sha256"), F.col("ts").alias("completed_at"),
+        body.alias("payload")
+    )
     return O.payload_evidence(rows)
 
 
@@ -303,7 +312,8 @@ def text_functions(s, d):
     zoned = F.when(F.col("event_id") % 3 == 0, stamp).when(F.col("event_id") % 3 == 1, F.concat(stamp, F.lit("Z"))).otherwise(F.concat(stamp, F.lit("+02:00")))
     return e.agg(
         F.count("*").alias("row_count"), F.count_distinct(json_shape(F.col("props"))).alias("shape_count"),
-        F.count_if(is_sha256(F.sha2(F.col("props").cast("binary"), 256)) & ~is_sha256(F.col("props"))).alias("digest_count"), F.count(parsed_utc(zoned)).alias("time_count"),
+        F.count_if(is_sha256(F.sha2(F.col("props").cast("binary"), 256)) & ~is_sha256(F.col("props"))).alias("digest_count"),
+        F.count(parsed_utc(zoned)).alias("time_count"),
     )
 
 
@@ -313,14 +323,20 @@ def node_reasons(s, d):
     """Recorded answers of as many nodes as there are nations."""
     k, path = F.col("n_nationkey"), path_for(s, "node")
     info = F.struct(
-        F.lit("main").alias("chain"), F.lit(900).alias("blocks"), F.when(k % 4 == 1, 901).otherwise(900).alias("headers"), F.lit("x").alias("bestblockhash"), F.lit(False).alias("initialblockdownload"),
+        F.lit("main").alias("chain"), F.lit(900).alias("blocks"), F.when(k % 4 == 1, 901).otherwise(900).alias("headers"),
+        F.lit("x").alias("bestblockhash"), F.lit(False).alias("initialblockdownload"),
         F.lit(1.0).alias("verificationprogress"), (k % 3 == 0).alias("pruned"),
     )
     head = F.struct(F.lit(800).alias("height"), k.cast("bigint").alias("time"), F.when(k % 5 == 2, 5).otherwise(6).alias("confirmations"))
     index = F.struct(F.struct(F.lit(True).alias("synced"), F.lit(900).alias("best_block_height")).alias("txindex"))
-    row = F.struct(info.alias("blockchain_info"), F.sha2(k.cast("string").cast("binary"), 256).alias("finalized_hash"), head.alias("finalized_header"), index.alias("indexes"))
+    row = F.struct(
+        info.alias("blockchain_info"), F.sha2(k.cast("string").cast("binary"), 256).alias("finalized_hash"),
+        head.alias("finalized_header"), index.alias("indexes")
+    )
     J.table(s, d, "nation").select(F.to_json(row)).write.text(path)
-    return H.node_reasons(H.recorded_node(s, path)).select(F.col("finalized_header.time").cast("int").alias("node"), "usable", F.array_join("reasons", ",").alias("reasons"))
+    return H.node_reasons(H.recorded_node(s, path)).select(
+        F.col("finalized_header.time").cast("int").alias("node"), "usable", F.array_join("reasons", ",").alias("reasons")
+    )
 
 
 @query("select count(*) as row_count, min(ts) as oldest, max(ts) as newest, date_sub('hour', max(ts), timestamp '2024-06-01')::bigint as age_hours, 'stale' as reasons from events")
@@ -354,8 +370,14 @@ def recorded_responses(s, d):
     """Recorded answers of a service, written and read as JSON lines."""
     path = path_for(s, "recorded")
     e = J.table(s, d, "events")
-    e.select(F.col("event_type").alias("profile"), F.col("user_id").cast("string").alias("subject"), F.when(F.col("event_id") % 2 == 0, 200).otherwise(502).alias("http_status"), F.col("ts").alias("observed_at"), F.col("props").alias("body")).write.json(path)
-    return R.recorded_responses(s, path).groupBy("profile").agg(F.count("*").alias("row_count"), F.count_if(F.col("http_status") == 200).alias("ok_count"))
+    e.select(
+        F.col("event_type").alias("profile"), F.col("user_id").cast("string").alias("subject"),
+        F.when(F.col("event_id") % 2 == 0, 200).otherwise(502).alias("http_status"), F.col("ts").alias("observed_at"),
+        F.col("props").alias("body")
+    ).write.json(path)
+    return R.recorded_responses(s, path).groupBy("profile").agg(
+        F.count("*").alias("row_count"), F.count_if(F.col("http_status") == 200).alias("ok_count")
+    )
 
 
 @query("select 'done' as status, count(*) as row_count from orders")
@@ -382,7 +404,10 @@ def embedded_wallets(s, d):
     k = F.col("n_nationkey")
     own = F.concat(F.lit("w"), k)
     wallet = lambda a, on: F.struct(a.alias("address"), F.lit(on).alias("active"))
-    inner = F.struct(F.concat(F.lit("2024-01-0"), k % 9 + 1).alias("updatedAt"), F.array(wallet(own, True), wallet(F.lit("off"), False), wallet(F.lit("shared"), True)).alias("walletBalances"))
+    inner = F.struct(
+        F.concat(F.lit("2024-01-0"), k % 9 + 1).alias("updatedAt"),
+        F.array(wallet(own, True), wallet(F.lit("off"), False), wallet(F.lit("shared"), True)).alias("walletBalances")
+    )
     data = F.to_json(F.struct(F.struct(F.array(inner).alias("list")).alias("props"), F.when(k % 3 == 1, inner).alias("again")))
     html = F.concat(F.lit('<html><script id="__NEXT_DATA__" type="application/json">'), data, F.lit("</script></html>"))
     return R.wallets(J.table(s, d, "nation").select(k.cast("bigint").alias("page_id"), html.alias("html")))
@@ -419,7 +444,10 @@ _SUBJECTS = "subjects as (select 'acct:' || c_custkey as address, 'sub' || c_cus
 
 def _subjects(s: SparkSession, d: str) -> DataFrame:
     key = F.col("c_custkey")
-    return J.table(s, d, "customer").select(F.concat(F.lit("acct:"), key).alias("address"), F.concat(F.lit("sub"), key).alias("subject_id"), F.lit("bitcoin").alias("chain_key"))
+    return J.table(s, d, "customer").select(
+        F.concat(F.lit("acct:"), key).alias("address"), F.concat(F.lit("sub"), key).alias("subject_id"),
+        F.lit("bitcoin").alias("chain_key")
+    )
 
 
 @query(f"with due as ({ORACLE_SQL['due_addresses']}), {_SUBJECTS} select subject_id, chain_key, address, priority, source_kind from due join subjects using (address)")
@@ -433,7 +461,10 @@ def work_subjects(s, d):
 
 
 # Public examples of addresses, and a 2-of-3 script of three small keys with signatures of two of them and of another key.
-_ADDRESSES = ("1A1zP1eP5QGefi2DMPTfTL5SLmv7DivfNa", "3J98t1WpEZ73CNmQviecrnyiWrnqRhWNLy", "BC1QW508D6QEJXTDG4Y5R3ZARVARY0C5XW7KV8F3T4", "1A1zP1eP5QGefi2DMPTfTL5SLmv7DivfNb", "tb1qw508d6qejxtdg4y5r3zarvary0c5xw7kxpjzsx")
+_ADDRESSES = (
+    "1A1zP1eP5QGefi2DMPTfTL5SLmv7DivfNa", "3J98t1WpEZ73CNmQviecrnyiWrnqRhWNLy", "BC1QW508D6QEJXTDG4Y5R3ZARVARY0C5XW7KV8F3T4",
+    "1A1zP1eP5QGefi2DMPTfTL5SLmv7DivfNb", "tb1qw508d6qejxtdg4y5r3zarvary0c5xw7kxpjzsx"
+)
 _KINDS = ("p2pkh", "p2sh", "p2wpkh", None, None)
 _MULTISIG = "3H1z4tjmjnnU6Zcq8jWX3sPdEYmbzDCPDD"
 _SCRIPT = (
@@ -474,7 +505,10 @@ def verified_proofs(s, d):
         z.writestr("rows.csv", "\n".join(lines))
     Store(s).write(path, blob.getvalue())
     rows = R.multisig_rows(R.zipped_rows(s, path), _MESSAGE)
-    return rows.select("row_number", verify_2of3_proof(*[F.col(c) for c in ("address", "message", "first_signature", "second_signature", "redeem_script_hex")]).alias("verified"))
+    return rows.select(
+        "row_number",
+        verify_2of3_proof(*[F.col(c) for c in ("address", "message", "first_signature", "second_signature", "redeem_script_hex")]).alias("verified")
+    )
 
 
 @query("select count(*) filter (r_regionkey % 3 = 0) as proof_count, count(*) as issuer_count, timestamp '2024-02-01' as expires_at from region")
@@ -484,7 +518,10 @@ def issued_evidence(s, d):
     listed = J.table(s, d, "region").select(F.lit("2024-01-01").alias("updated_at"), F.col("r_name").alias("address"))
     issued = R.issuer_evidence(listed, "id", "Issuer", D.AS_OF, "0" * 64)
     tiers = proofs.select("evidence_tier", F.lit(None).cast("timestamp").alias("expires_at")).union(issued.select("evidence_tier", "expires_at"))
-    return tiers.agg(F.count_if(F.col("evidence_tier") == "A").alias("proof_count"), F.count_if(F.col("evidence_tier") == "B").alias("issuer_count"), F.max("expires_at").alias("expires_at"))
+    return tiers.agg(
+        F.count_if(F.col("evidence_tier") == "A").alias("proof_count"),
+        F.count_if(F.col("evidence_tier") == "B").alias("issuer_count"), F.max("expires_at").alias("expires_at")
+    )
 
 
 def _stream(s: SparkSession, rows: DataFrame) -> DataFrame:
@@ -505,5 +542,11 @@ def streamed_evidence(s, d):
     group by 1 having date_trunc('minute', ts) + interval 1 minute <= (select max(ts) - interval 5 minute from events)""")
 def streamed_minutes(s, d):
     """Requests and bytes of each minute that the watermark has closed."""
-    rows = J.table(s, d, "events").select(F.col("ts").cast("timestamp").alias("reserved_at"), F.when(F.col("event_id") % 2 == 0, F.col("event_id")).alias("actual_bytes"), F.lit(1000).cast("bigint").alias("estimated_bytes"))
-    return T.drained(T.admission_counts(_stream(s, rows)), "minutes").select(F.col("window.start").cast("timestamp_ntz").alias("minute"), "requests", "bytes")
+    rows = J.table(s, d, "events").select(
+        F.col("ts").cast("timestamp").alias("reserved_at"),
+        F.when(F.col("event_id") % 2 == 0, F.col("event_id")).alias("actual_bytes"),
+        F.lit(1000).cast("bigint").alias("estimated_bytes")
+    )
+    return T.drained(T.admission_counts(_stream(s, rows)), "minutes").select(
+        F.col("window.start").cast("timestamp_ntz").alias("minute"), "requests", "bytes"
+    )

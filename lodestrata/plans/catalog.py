@@ -101,7 +101,10 @@ def _resolutions(s: SparkSession, d: str) -> DataFrame:
 
 @query
 def flatten_io(s, d):
-    return _io(s, d).select("transaction_hash", "row_kind", "block_number", F.size("addresses").alias("n_addresses"), F.get("addresses", F.lit(0)).alias("first_address"), F.col("value_sats").cast("bigint").alias("value_sats"))
+    return _io(s, d).select(
+        "transaction_hash", "row_kind", "block_number", F.size("addresses").alias("n_addresses"),
+        F.get("addresses", F.lit(0)).alias("first_address"), F.col("value_sats").cast("bigint").alias("value_sats")
+    )
 
 
 @query
@@ -173,18 +176,27 @@ def quality_counts(s, d):
 
 @query
 def policy_v1_chain(s, d):
-    return _chain_v1(s, d).select("normalized_address", "recency_days", "chain_importance_score", "p0_mask", "is_chain_p0", "is_chain_p1", "is_edge_upgrade_frontier", "has_positive_economic_component", "is_coarse_candidate")
+    return _chain_v1(s, d).select(
+        "normalized_address", "recency_days", "chain_importance_score", "p0_mask", "is_chain_p0", "is_chain_p1",
+        "is_edge_upgrade_frontier", "has_positive_economic_component", "is_coarse_candidate"
+    )
 
 
 @query
 def importance_v1(s, d):
     rows = _decisions(s, d)
-    return rows.select("address_id", "priority_class", "importance_score", F.array_join("reason_codes", ",").alias("reasons"), F.array_join("cohort_names", ",").alias("cohorts"))
+    return rows.select(
+        "address_id", "priority_class", "importance_score", F.array_join("reason_codes", ",").alias("reasons"),
+        F.array_join("cohort_names", ",").alias("cohorts")
+    )
 
 
 @query
 def policy_v2_variants(s, d):
-    return _variants(s, d).select("normalized_address", "residual_gross_90d_sats", "v2_chain_score", "receipt_support_mask", *[f"{v}_{x}" for v in P.VARIANTS for x in ("p0_mask", "is_p1", "is_edge", "is_coarse")])
+    return _variants(s, d).select(
+        "normalized_address", "residual_gross_90d_sats", "v2_chain_score", "receipt_support_mask",
+        *[f"{v}_{x}" for v in P.VARIANTS for x in ("p0_mask", "is_p1", "is_edge", "is_coarse")]
+    )
 
 
 @query
@@ -199,26 +211,35 @@ def census_v2(s, d):
 
 @query
 def overlap_histograms(s, d):
-    return N.histograms(_variants(s, d), {"receipt_support": "receipt_support_mask", "score": "v2_chain_score"} | {f"{v}_p0": f"{v}_p0_mask" for v in P.VARIANTS})
+    return N.histograms(
+        _variants(s, d),
+        {"receipt_support": "receipt_support_mask", "score": "v2_chain_score"} | {f"{v}_p0": f"{v}_p0_mask" for v in P.VARIANTS}
+    )
 
 
 @query
 def p0_overlap(s, d):
-    return N.ordered(N.histogram(_chain_v1(s, d), "p0_mask", "mask"), "dist", "mask").select(F.array_join(F.transform("dist", lambda x: F.concat(x["mask"], F.lit(":"), x["address_count"])), ",").alias("distribution"))
+    return N.ordered(N.histogram(_chain_v1(s, d), "p0_mask", "mask"), "dist", "mask").select(
+        F.array_join(F.transform("dist", lambda x: F.concat(x["mask"], F.lit(":"), x["address_count"])), ",").alias("distribution")
+    )
 
 
 @query
 def census_v1_reconciled(s, d):
     io = _io(s, d)
     economics = E.economics_v1(io, J.CUTOFF_TIME)
-    return R.reconcile_v1(N.census_v1(io, economics, P.chain_policy_v1(economics, J.CUTOFF_TIME))).select("outcome", F.array_join("blocked_codes", ",").alias("blocked"), F.array_join("warning_codes", ",").alias("warned"))
+    return R.reconcile_v1(N.census_v1(io, economics, P.chain_policy_v1(economics, J.CUTOFF_TIME))).select(
+        "outcome", F.array_join("blocked_codes", ",").alias("blocked"), F.array_join("warning_codes", ",").alias("warned")
+    )
 
 
 @query
 def census_v2_reconciled(s, d):
     io = _io(s, d)
     economics = E.address_economics(io, J.CUTOFF_TIME)
-    return R.reconcile_v2(N.census_v2(io, economics, P.variants_v2(economics, J.CUTOFF_TIME))).select("outcome", F.array_join("blocked_codes", ",").alias("blocked"), F.array_join("warning_codes", ",").alias("warned"))
+    return R.reconcile_v2(N.census_v2(io, economics, P.variants_v2(economics, J.CUTOFF_TIME))).select(
+        "outcome", F.array_join("blocked_codes", ",").alias("blocked"), F.array_join("warning_codes", ",").alias("warned")
+    )
 
 
 def _dist(name: str):
@@ -373,7 +394,11 @@ def p0p1_queue(s, d):
 @query
 def queue_due(s, d):
     queue, ids = p0p1_queue(s, d), lambda df: df.select(Q.address_id(F.col("address")).alias("address_id")).distinct()
-    done = Q.due_rows(queue, ids(D.observations(s, d).where("observation_id % 30 = 0")), ids(D.parses(s, d).where("parse_outcome = 'parsed_success'")), ids(D.predictions(s, d)), ids(D.evidence(s, d).where("evidence_tier = 'A'")))
+    done = Q.due_rows(
+        queue, ids(D.observations(s, d).where("observation_id % 30 = 0")),
+        ids(D.parses(s, d).where("parse_outcome = 'parsed_success'")), ids(D.predictions(s, d)),
+        ids(D.evidence(s, d).where("evidence_tier = 'A'"))
+    )
     return done.select("queue_rank", "normalized_address")
 
 
@@ -385,9 +410,19 @@ def due_addresses(s, d):
 @query
 def due_entities(s, d):
     e = J.table(s, d, "events").withColumn("entity_id", F.concat(F.lit("e"), F.col("event_id") % 97))
-    obs = e.select("entity_id", F.when(F.col("event_type") == "view", "entity_detail").otherwise("balance_changes").alias("discovery_method"), (F.col("event_id") % 60 + 1).cast("int").alias("discovery_rank"), F.col("ts").alias("observed_at"))
-    parses = e.where("event_type = 'click'").select("entity_id", F.when(F.col("event_id") % 2 == 0, "parsed_success").otherwise("failed").alias("parse_outcome"), F.col("ts").alias("parsed_at"))
-    attempts = e.where("event_type = 'error'").select("entity_id", F.when(F.col("event_id") % 3 == 0, "rate_limited").otherwise("ok").alias("outcome"), F.col("ts").alias("attempted_at"))
+    obs = e.select(
+        "entity_id",
+        F.when(F.col("event_type") == "view", "entity_detail").otherwise("balance_changes").alias("discovery_method"),
+        (F.col("event_id") % 60 + 1).cast("int").alias("discovery_rank"), F.col("ts").alias("observed_at")
+    )
+    parses = e.where("event_type = 'click'").select(
+        "entity_id", F.when(F.col("event_id") % 2 == 0, "parsed_success").otherwise("failed").alias("parse_outcome"),
+        F.col("ts").alias("parsed_at")
+    )
+    attempts = e.where("event_type = 'error'").select(
+        "entity_id", F.when(F.col("event_id") % 3 == 0, "rate_limited").otherwise("ok").alias("outcome"),
+        F.col("ts").alias("attempted_at")
+    )
     seeds = e.where("event_id % 31 = 0").select("entity_id", (F.col("event_id") % 90).cast("int").alias("priority"))
     out = e.where("event_id % 97 = 5").select("entity_id").distinct()
     return V.due_entities(obs, parses, attempts, seeds, out, "2024-01-30 12:00:00", "2024-01-30 18:00:00", 60)
@@ -401,7 +436,11 @@ def fetch_profile(s, d):
 
 @query
 def admission_window(s, d):
-    r = J.table(s, d, "events").select(F.col("ts").alias("reserved_at"), (F.col("event_id") % 3).cast("string").alias("run_id"), F.when(F.col("event_id") % 2 == 0, F.col("event_id")).alias("actual_bytes"), F.lit(1000).cast("bigint").alias("estimated_bytes"))
+    r = J.table(s, d, "events").select(
+        F.col("ts").alias("reserved_at"), (F.col("event_id") % 3).cast("string").alias("run_id"),
+        F.when(F.col("event_id") % 2 == 0, F.col("event_id")).alias("actual_bytes"),
+        F.lit(1000).cast("bigint").alias("estimated_bytes")
+    )
     return V.admission(r, "2024-01-15 00:00:00", "1", 25, 1000)
 
 
@@ -412,7 +451,10 @@ def entity_frequency(s, d):
 
 @query
 def work_queue(s, d):
-    return Q.work_queue(D.requests(s, d), D.observations(s, d).withColumnRenamed("completed_at", "observed_at"), "panel:", "2024-01-29 12:00:00", 30).select("request_id", "address", "priority", "source_reference")
+    return Q.work_queue(
+        D.requests(s, d), D.observations(s, d).withColumnRenamed("completed_at", "observed_at"), "panel:", "2024-01-29 12:00:00",
+        30
+    ).select("request_id", "address", "priority", "source_reference")
 
 
 @query
@@ -427,12 +469,17 @@ def claims(s, d):
 
 @query
 def resolutions(s, d):
-    return _resolutions(s, d).select("address", "assertion_type", "active_claims", "selected_claims", "identity_state", "operational_tier", "resolution_policy", "freshness_status", "primary_entity_display", "resolved_asserted_value")
+    return _resolutions(s, d).select(
+        "address", "assertion_type", "active_claims", "selected_claims", "identity_state", "operational_tier",
+        "resolution_policy", "freshness_status", "primary_entity_display", "resolved_asserted_value"
+    )
 
 
 @query
 def conflicts(s, d):
-    return S.conflicts(_claims(s, d), None, D.AS_OF).select("address", "assertion_type", "status", "conflict_set_id", F.array_join("claim_ids", ",").alias("claim_ids"))
+    return S.conflicts(_claims(s, d), None, D.AS_OF).select(
+        "address", "assertion_type", "status", "conflict_set_id", F.array_join("claim_ids", ",").alias("claim_ids")
+    )
 
 
 @query
@@ -444,7 +491,10 @@ def snapshot_rows(s, d):
     times = ((now, 0, "r"), (other, -24, "s"), (other, 0, "a"), (other, 24, "t"))
     made_at = [df.withColumns({"resolved_at": at + F.expr(f"INTERVAL '{h}' HOUR"), "resolution_id": F.lit(i)}) for df, h, i in times]
     rows = reduce(DataFrame.unionByName, made_at)
-    return H.snapshot_rows(rows, made, D.AS_OF).select("address", "assertion_type", "operational_tier", "primary_entity_display", F.size("candidate_entities").alias("candidates"))
+    return H.snapshot_rows(rows, made, D.AS_OF).select(
+        "address", "assertion_type", "operational_tier", "primary_entity_display",
+        F.size("candidate_entities").alias("candidates")
+    )
 
 
 @query
@@ -466,7 +516,10 @@ def replay_policy_counts(s, d):
 def replay_changed_fields(s, d):
     """Replay itself changes nothing; every 13th event was changed on the way here, in one field."""
     events = D.replay_events(s, d)
-    changed = events.withColumn("amount_btc", F.when(F.col("event_id").cast("long") % 13 == 0, F.concat("amount_btc", F.lit("0"))).otherwise(F.col("amount_btc")))
+    changed = events.withColumn(
+        "amount_btc",
+        F.when(F.col("event_id").cast("long") % 13 == 0, F.concat("amount_btc", F.lit("0"))).otherwise(F.col("amount_btc"))
+    )
     return Y.changed_fields(events, Y.enriched(changed, _resolutions(s, d)))
 
 

@@ -40,9 +40,12 @@ def node_reasons(status: DataFrame, depth: int = 6) -> DataFrame:
     """status with the sorted reasons why the node can't be a source, and whether it can."""
     info, head, index = F.col("blockchain_info"), F.col("finalized_header"), F.col("indexes.txindex")
     rules = {
-        "other_chain": info["chain"] != "main", "initial_download": info["initialblockdownload"], "behind_headers": info["blocks"] < info["headers"], "pruned": info["pruned"],
-        "not_verified": info["verificationprogress"] < 0.9999, "not_final": head["confirmations"] < depth, "above_tip": head["height"] + depth - 1 > info["blocks"],
-        "no_transaction_index": ~F.coalesce(index["synced"], F.lit(False)), "index_behind": F.coalesce(index["best_block_height"], F.lit(-1)) < head["height"],
+        "other_chain": info["chain"] != "main", "initial_download": info["initialblockdownload"],
+        "behind_headers": info["blocks"] < info["headers"], "pruned": info["pruned"],
+        "not_verified": info["verificationprogress"] < 0.9999, "not_final": head["confirmations"] < depth,
+        "above_tip": head["height"] + depth - 1 > info["blocks"],
+        "no_transaction_index": ~F.coalesce(index["synced"], F.lit(False)),
+        "index_behind": F.coalesce(index["best_block_height"], F.lit(-1)) < head["height"],
         "bad_hash": ~F.coalesce(F.regexp_like("finalized_hash", F.lit("^[0-9a-f]{64}$")), F.lit(False)),
     }
     reasons = F.array_sort(F.array_compact(F.array(*[F.when(F.coalesce(c, F.lit(True)), F.lit(k)) for k, c in rules.items()])))
@@ -55,14 +58,20 @@ def freshness(df: DataFrame, ts: str, now: str, within_hours: int) -> DataFrame:
     one = df.agg(F.count("*").alias("row_count"), F.min(ts).alias("oldest"), F.max(ts).alias("newest"))
     age = F.timestamp_diff("HOUR", F.col("newest"), at).cast("bigint")
     rules = {"empty": F.col("row_count") == 0, "stale": age > within_hours, "from_the_future": F.col("newest") > at}
-    return one.select("row_count", "oldest", "newest", age.alias("age_hours"), F.array_compact(F.array(*[F.when(c, F.lit(k)) for k, c in rules.items()])).alias("reasons"))
+    return one.select(
+        "row_count", "oldest", "newest", age.alias("age_hours"),
+        F.array_compact(F.array(*[F.when(c, F.lit(k)) for k, c in rules.items()])).alias("reasons")
+    )
 
 
 def source_probe(df: DataFrame, contract: T.StructType, ts: str, now: str, within_hours: int) -> dict:
     """Schema and freshness of a source, in one answer."""
     r = freshness(df, ts, now, within_hours).first()
     missing = contract_violations(df, contract)
-    return {"rows": r.row_count, "newest": str(r.newest), "age_hours": r.age_hours, "reasons": sorted([*r.reasons, *(["schema"] if missing else [])]), "schema": missing}
+    return {
+        "rows": r.row_count, "newest": str(r.newest), "age_hours": r.age_hours,
+        "reasons": sorted([*r.reasons, *(["schema"] if missing else [])]), "schema": missing
+    }
 
 
 def monthly_budget(runs: DataFrame, now: str, limit_bytes: int, reserve_bytes: int, planned_bytes: int) -> DataFrame:

@@ -35,15 +35,18 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     outputs = line.groupBy(F.col("l_orderkey").alias("_k")).agg(F.collect_list(out).alias("outputs"))
     spent = F.struct(
-        F.lit(0).cast("bigint").alias("index"), F.lit(None).cast("string").alias("spent_transaction_hash"), F.lit(None).cast("bigint").alias("spent_output_index"),
-        F.lit(None).cast("string").alias("script_hex"), F.lit("pubkeyhash").alias("type"), F.array(F.concat(F.lit("acct:"), F.col("o_custkey"))).alias("addresses"),
+        F.lit(0).cast("bigint").alias("index"), F.lit(None).cast("string").alias("spent_transaction_hash"),
+        F.lit(None).cast("bigint").alias("spent_output_index"),
+        F.lit(None).cast("string").alias("script_hex"), F.lit("pubkeyhash").alias("type"),
+        F.array(F.concat(F.lit("acct:"), F.col("o_custkey"))).alias("addresses"),
         F.round(F.col("o_totalprice") * 100).cast("bigint").cast("decimal(38,9)").alias("value"),
     )
     day = F.datediff(F.col("o_orderdate"), F.lit("1995-01-01").cast("date"))
     return order.join(outputs, order["o_orderkey"] == outputs["_k"], "left").select(
         F.sha2(F.concat(F.lit("tx:"), F.col("o_orderkey")).cast("binary"), 256).alias("hash"),
         F.sha2(F.concat(F.lit("block:"), day).cast("binary"), 256).alias("block_hash"),
-        day.cast("bigint").alias("block_number"), F.col("o_orderdate").alias("block_timestamp"), F.trunc("o_orderdate", "MM").alias("block_timestamp_month"),
+        day.cast("bigint").alias("block_number"), F.col("o_orderdate").alias("block_timestamp"),
+        F.trunc("o_orderdate", "MM").alias("block_timestamp_month"),
         F.array(spent).alias("inputs"), F.coalesce("outputs", F.array().cast(outputs.schema["outputs"].dataType)).alias("outputs"),
     )
 
@@ -51,4 +54,7 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
 def blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     day = F.datediff(F.col("o_orderdate"), F.lit("1995-01-01").cast("date"))
     per_day = table(spark, sf_dir, "orders").groupBy(day.alias("number")).agg(F.max("o_orderdate").alias("timestamp"))
-    return per_day.select(F.sha2(F.concat(F.lit("block:"), F.col("number")).cast("binary"), 256).alias("hash"), F.col("number").cast("bigint"), "timestamp", F.trunc("timestamp", "MM").alias("timestamp_month"))
+    return per_day.select(
+        F.sha2(F.concat(F.lit("block:"), F.col("number")).cast("binary"), 256).alias("hash"), F.col("number").cast("bigint"),
+        "timestamp", F.trunc("timestamp", "MM").alias("timestamp_month")
+    )

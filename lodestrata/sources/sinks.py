@@ -58,7 +58,10 @@ def verified(spark: SparkSession, root: str) -> dict:
     return Store(spark).manifest(root)
 
 
-def published(spark: SparkSession, root: str, tables: dict[str, Callable[[str], None]], about: dict, frames: dict[str, DataFrame] | None = None) -> dict:
+def published(
+    spark: SparkSession, root: str, tables: dict[str, Callable[[str], None]], about: dict,
+    frames: dict[str, DataFrame] | None = None
+) -> dict:
     """Write each table into a staging folder, list and check it, then rename it to root. An existing root is an error."""
     store, stage = Store(spark), f"{root}.staging"
     if store.exists(root):
@@ -103,7 +106,10 @@ def source_digest(manifest: dict) -> str:
 def publish_coverage(states: DataFrame, root: str, candidates: dict, built_at: str) -> dict:
     """A coverage snapshot bound to the manifest of its candidates."""
     about = {"kind": "coverage", "built_at": built_at, "candidates_sha256": source_digest(candidates), "rows": states.count()}
-    return published(states.sparkSession, root, {"coverage": lambda p: states.write.option("compression", "zstd").parquet(p)}, about, {"coverage": states})
+    return published(
+        states.sparkSession, root, {"coverage": lambda p: states.write.option("compression", "zstd").parquet(p)}, about,
+        {"coverage": states}
+    )
 
 
 def publish_queue(queue: DataFrame, root: str, candidates: dict, coverage: dict, dry_run: bool = False) -> dict:
@@ -140,7 +146,10 @@ def export_ndjson(df: DataFrame, path: str, *order: str, version: int = 2, about
         return digest
     line = F.to_json(F.struct(*sorted(df.columns)), {"ignoreNullFields": "false"}).alias("value")
     lines = df.orderBy(*order).select(line)
-    published(spark, path, {"lines": lambda p: lines.write.text(p)}, (about or {}) | {"content": digest, "rows": rows, "version": version}, {"lines": df})
+    published(
+        spark, path, {"lines": lambda p: lines.write.text(p)},
+        (about or {}) | {"content": digest, "rows": rows, "version": version}, {"lines": df}
+    )
     return digest
 
 

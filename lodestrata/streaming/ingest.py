@@ -15,7 +15,9 @@ def new_evidence(stream: DataFrame, key: str = "evidence_fingerprint", ts: str =
 
 def admission_counts(stream: DataFrame, ts: str = "reserved_at", late: str = "5 minutes") -> DataFrame:
     """Requests and bytes of each minute."""
-    return stream.withWatermark(ts, late).groupBy(F.window(ts, "1 minute")).agg(F.count("*").alias("requests"), F.sum(F.coalesce("actual_bytes", "estimated_bytes")).alias("bytes"))
+    return stream.withWatermark(ts, late).groupBy(F.window(ts, "1 minute")).agg(
+        F.count("*").alias("requests"), F.sum(F.coalesce("actual_bytes", "estimated_bytes")).alias("bytes")
+    )
 
 
 def drained(stream: DataFrame, name: str) -> DataFrame:

@@ -22,7 +22,10 @@ def test_queue_and_coverage_are_bound_to_their_sources(spark, tmp_path):
     about = Z.publish_candidates(rows, f"{tmp_path}/c", {})
     other = Z.publish_candidates(rows.limit(3), f"{tmp_path}/d", {})
     coverage = Z.publish_coverage(rows, f"{tmp_path}/v", about, "2024-01-01")
-    queue = rows.select(F.col("normalized_address").alias("address_id"), F.row_number().over(K.Window.orderBy("normalized_address")).cast("bigint").alias("queue_rank"))
+    queue = rows.select(
+        F.col("normalized_address").alias("address_id"),
+        F.row_number().over(K.Window.orderBy("normalized_address")).cast("bigint").alias("queue_rank")
+    )
     with pytest.raises(ValueError, match="other candidates"):
         Z.publish_queue(queue, f"{tmp_path}/q", other, coverage)
     with pytest.raises(ValueError, match="gaps"):
@@ -39,7 +42,10 @@ def test_queue_and_coverage_are_bound_to_their_sources(spark, tmp_path):
 
 
 def test_snapshot_is_checked_when_loaded(spark, tmp_path):
-    rows = spark.createDataFrame([("a", "entity_control", "none"), ("b", "entity_control", None)], "address string, assertion_type string, operational_tier string")
+    rows = spark.createDataFrame(
+        [("a", "entity_control", "none"), ("b", "entity_control", None)],
+        "address string, assertion_type string, operational_tier string"
+    )
     path = f"{tmp_path}/s"
     Z.export_ndjson(rows, path, "address", version=1)
     assert Z.load_snapshot(spark, path, rows.schema).count() == 2
@@ -53,8 +59,14 @@ def test_snapshot_is_checked_when_loaded(spark, tmp_path):
 
 
 def test_campaign_is_checked(spark, tmp_path):
-    features = spark.createDataFrame([("f1", 5, 9, "2020-01-01", "2020-01-02")], "address_id string, first_seen_height long, last_seen_height long, t0 string, t1 string")
-    features = features.select("address_id", "first_seen_height", "last_seen_height", F.col("t0").cast("timestamp").alias("first_seen_time"), F.col("t1").cast("timestamp").alias("last_seen_time"))
+    features = spark.createDataFrame(
+        [("f1", 5, 9, "2020-01-01", "2020-01-02")],
+        "address_id string, first_seen_height long, last_seen_height long, t0 string, t1 string"
+    )
+    features = features.select(
+        "address_id", "first_seen_height", "last_seen_height", F.col("t0").cast("timestamp").alias("first_seen_time"),
+        F.col("t1").cast("timestamp").alias("last_seen_time")
+    )
     scripts, one = spark.createDataFrame([("s1",)], "script_id string"), spark.createDataFrame([(3,)], "total_output_rows long")
     mixed = M.mixed_rows(scripts, features, one)
     columns = {"script_subject": scripts.columns, "address_feature": features.columns, "source_accounting": one.columns}
@@ -101,13 +113,19 @@ def test_source_checks(spark, tmp_path):
         H.exported(spark, "a b")
     assert [len(p) for p in H.pages(spark.range(7), 3)] == [3, 3, 1]
     times = spark.createDataFrame([("2024-01-01 00:00:00",)], "t string").select(F.col("t").cast("timestamp").alias("t"))
-    probe = H.source_probe(times, T.StructType([T.StructField("t", T.TimestampType()), T.StructField("x", T.LongType())]), "t", "2024-01-03 00:00:00", 24)
+    probe = H.source_probe(
+        times, T.StructType([T.StructField("t", T.TimestampType()), T.StructField("x", T.LongType())]), "t",
+        "2024-01-03 00:00:00", 24
+    )
     assert probe["reasons"] == ["schema", "stale"] and H.freshness(times, "t", "2023-01-01", 24).first().reasons == ["from_the_future"]
     assert H.freshness(times.limit(0), "t", "2023-01-01", 24).first().reasons == ["empty"]
 
 
 def test_plans(spark):
-    ids = O.entity_ids(spark.createDataFrame([("a",), ("",), (None,)], "entity_id string"), spark.createDataFrame([("a",), ("b",), ("c",)], "entity_id string"))
+    ids = O.entity_ids(
+        spark.createDataFrame([("a",), ("",), (None,)], "entity_id string"),
+        spark.createDataFrame([("a",), ("b",), ("c",)], "entity_id string")
+    )
     none = ids.limit(0)
     assert [(r.entity_id, r.plan_rank) for r in O.fanout_plan(ids, ids.where("entity_id = 'a'"), none, 5).collect()] == [("b", 1), ("c", 2)]
     due = spark.createDataFrame([(i,) for i in (4, 2, 9)], "queue_rank long")
@@ -126,7 +144,10 @@ def test_decisions_and_text(spark):
     log = spark.createDataFrame([("a", "entity_control", "x", "select", None, 1, "me")], schema)
     with pytest.raises(ValueError, match="no_time"):
         S.recorded(log, log, ("select",))
-    names = spark.createDataFrame([("entity_control", "\u2003\tAcme \u00a0\n", "", "", "")], "assertion_type string, candidate_entity_name string, candidate_entity_id string, candidate_wallet_role string, candidate_label string")
+    names = spark.createDataFrame(
+        [("entity_control", "\u2003\tAcme \u00a0\n", "", "", "")],
+        "assertion_type string, candidate_entity_name string, candidate_entity_id string, candidate_wallet_role string, candidate_label string"
+    )
     assert names.select(I.canonical_value().alias("v")).first().v == "acme"
 
 

@@ -27,9 +27,11 @@ AS_OF = "2024-02-01 00:00:00"
 @pytest.mark.parametrize(
     ("text", "kind"),
     [
-        ("1A1zP1eP5QGefi2DMPTfTL5SLmv7DivfNa", "p2pkh"), ("3J98t1WpEZ73CNmQviecrnyiWrnqRhWNLy", "p2sh"), ("bc1qw508d6qejxtdg4y5r3zarvary0c5xw7kv8f3t4", "p2wpkh"),
+        ("1A1zP1eP5QGefi2DMPTfTL5SLmv7DivfNa", "p2pkh"), ("3J98t1WpEZ73CNmQviecrnyiWrnqRhWNLy", "p2sh"),
+        ("bc1qw508d6qejxtdg4y5r3zarvary0c5xw7kv8f3t4", "p2wpkh"),
         ("BC1QW508D6QEJXTDG4Y5R3ZARVARY0C5XW7KV8F3T4", "p2wpkh"), ("bc1p0xlxvlhemja6c4dqv22uapctqupfhlxm9h8z3k2e72q4k9hcz7vqzk5jj0", "p2tr"),
-        ("1A1zP1eP5QGefi2DMPTfTL5SLmv7DivfNb", None), ("bc1qw508d6qejxtdg4y5r3zarvary0c5xw7kv8f3t5", None), ("Bc1qw508d6qejxtdg4y5r3zarvary0c5xw7kv8f3t4", None), ("tb1qw508d6qejxtdg4y5r3zarvary0c5xw7kxpjzsx", None), ("", None),
+        ("1A1zP1eP5QGefi2DMPTfTL5SLmv7DivfNb", None), ("bc1qw508d6qejxtdg4y5r3zarvary0c5xw7kv8f3t5", None),
+        ("Bc1qw508d6qejxtdg4y5r3zarvary0c5xw7kv8f3t4", None), ("tb1qw508d6qejxtdg4y5r3zarvary0c5xw7kxpjzsx", None), ("", None),
     ],
 )
 def test_address(text, kind):
@@ -65,11 +67,18 @@ def test_proof_and_archive(spark, tmp_path):
     digest = P.message_digest(message)
     one, two, other = signed(101, digest, 777), signed(303, digest, 888), signed(999, digest, 555)
     assert A.normalized(address)[1] == "p2sh"
-    lines = ["coin,total", f"BTC,x,y,{address},1,{message},{one},{two},{script.hex()}", f"BTC,x,y,{address},1,{message},{one},{one},{script.hex()}", f"BTC,x,y,{address},1,{message},{one},{other},{script.hex()}", f"ETH,x,y,{address},1,{message},{one},{two},{script.hex()}"]
+    lines = [
+        "coin,total", f"BTC,x,y,{address},1,{message},{one},{two},{script.hex()}",
+        f"BTC,x,y,{address},1,{message},{one},{one},{script.hex()}",
+        f"BTC,x,y,{address},1,{message},{one},{other},{script.hex()}", f"ETH,x,y,{address},1,{message},{one},{two},{script.hex()}"
+    ]
     with zipfile.ZipFile(tmp_path / "a.zip", "w") as z:
         z.writestr("rows.csv", "\n".join(lines))
     rows = R.multisig_rows(R.zipped_rows(spark, str(tmp_path / "a.zip")), message)
-    judged = rows.withColumn("verified", P.verify_2of3_proof(*[F.col(c) for c in ("address", "message", "first_signature", "second_signature", "redeem_script_hex")]))
+    judged = rows.withColumn(
+        "verified",
+        P.verify_2of3_proof(*[F.col(c) for c in ("address", "message", "first_signature", "second_signature", "redeem_script_hex")])
+    )
     assert [r.verified for r in judged.orderBy("row_number").collect()] == [True, False, False]
     assert R.proof_evidence(judged, "id", "name", "2024-01-01", "0" * 64).count() == 1
 
@@ -88,9 +97,15 @@ def test_readers_and_sinks(spark, tmp_path):
     assert R.ndjson(spark, str(tmp_path / "e.ndjson"), REPLAY_EVENT).count() == 2
     stored = K.stored_payload(spark, str(tmp_path / "blobs"), b"hello")
     assert gzip.decompress(next((tmp_path / "blobs").rglob("*.gz")).read_bytes()) == b"hello"
-    ledger = spark.createDataFrame([(stored["payload_name"], stored["payload_sha256"]), (stored["payload_name"], "bad")], "payload_name string, payload_sha256 string")
+    ledger = spark.createDataFrame(
+        [(stored["payload_name"], stored["payload_sha256"]), (stored["payload_name"], "bad")],
+        "payload_name string, payload_sha256 string"
+    )
     assert R.payloads(spark, str(tmp_path / "blobs"), ledger).count() == 1
-    rows = spark.createDataFrame([(f"a{i}", "p0" if i % 2 else "edge", i % 3) for i in range(20)], "normalized_address string, candidate_tier string, address_bucket long")
+    rows = spark.createDataFrame(
+        [(f"a{i}", "p0" if i % 2 else "edge", i % 3) for i in range(20)],
+        "normalized_address string, candidate_tier string, address_bucket long"
+    )
     root = str(tmp_path / "pub")
     manifest = K.publish_candidates(rows, root, {"kind": "candidates"})
     assert len(manifest["files"]) == 6 and K.verified(spark, root)["kind"] == "candidates"
@@ -118,22 +133,38 @@ def test_readers_and_sinks(spark, tmp_path):
 
 def proof(spark, *rows):
     """Evidence from dicts over defaults."""
-    base = {f.name: None for f in EVIDENCE} | {"address": "a", "assertion_type": "entity_control", "source_authority": "commercial_provider", "evidence_tier": "C", "independence_group": "g", "observed_at": T0, "evidence_status": "valid", "candidate_entity_name": "Acme"}
+    base = {f.name: None for f in EVIDENCE} | {
+        "address": "a", "assertion_type": "entity_control", "source_authority": "commercial_provider", "evidence_tier": "C",
+        "independence_group": "g", "observed_at": T0, "evidence_status": "valid", "candidate_entity_name": "Acme"
+    }
     return spark.createDataFrame([tuple((base | {"evidence_id": f"e{i}"} | r)[f.name] for f in EVIDENCE) for i, r in enumerate(rows)], EVIDENCE)
 
 
 def decided(spark, *rows):
-    return spark.createDataFrame([("a", "entity_control", v, d, T0 + datetime.timedelta(days=n), n, n) for n, (v, d) in enumerate(rows)], "address string, assertion_type string, asserted_value string, decision string, reviewed_at timestamp, review_id int, override_id int")
+    return spark.createDataFrame(
+        [("a", "entity_control", v, d, T0 + datetime.timedelta(days=n), n, n) for n, (v, d) in enumerate(rows)],
+        "address string, assertion_type string, asserted_value string, decision string, reviewed_at timestamp, review_id int, override_id int"
+    )
 
 
 @pytest.mark.parametrize(
     ("rows", "reviews", "overrides", "state", "policy"),
     [
-        ([{}], [], [], "resolved", "provider_default"), ([{}, {"candidate_entity_name": " ACME ", "candidate_entity_id": "other"}], [], [], "resolved", "provider_default"),
-        ([{}, {"source_authority": "official", "evidence_tier": "B"}], [], [], "resolved", "unreviewed_evidence"), ([{}, {"candidate_entity_name": "Beta"}], [], [], "ambiguous", "conflict_first"),
-        ([{}, {"candidate_entity_name": "Beta"}], [], [("beta", "select")], "resolved", "local_override"), ([{}, {"candidate_entity_name": "Beta"}], [("acme", "reject")], [], "resolved", "provider_default"),
-        ([{}], [("acme", "accept")], [], "resolved", "provider_default"), ([{"evidence_tier": "B", "source_authority": "official"}], [("acme", "accept")], [], "resolved", "reviewed_evidence"),
-        ([{"evidence_tier": "B"}], [("acme", "accept")], [("acme", "reject")], "unattributed", "local_override"), ([{"evidence_status": "retracted"}], [], [], "stale", "unattributed"),
+        ([{}], [], [], "resolved", "provider_default"), (
+            [{}, {"candidate_entity_name": " ACME ", "candidate_entity_id": "other"}], [], [], "resolved", "provider_default"
+        ),
+        (
+            [{}, {"source_authority": "official", "evidence_tier": "B"}], [], [], "resolved", "unreviewed_evidence"
+        ), ([{}, {"candidate_entity_name": "Beta"}], [], [], "ambiguous", "conflict_first"),
+        ([{}, {"candidate_entity_name": "Beta"}], [], [("beta", "select")], "resolved", "local_override"), (
+            [{}, {"candidate_entity_name": "Beta"}], [("acme", "reject")], [], "resolved", "provider_default"
+        ),
+        ([{}], [("acme", "accept")], [], "resolved", "provider_default"), (
+            [{"evidence_tier": "B", "source_authority": "official"}], [("acme", "accept")], [], "resolved", "reviewed_evidence"
+        ),
+        (
+            [{"evidence_tier": "B"}], [("acme", "accept")], [("acme", "reject")], "unattributed", "local_override"
+        ), ([{"evidence_status": "retracted"}], [], [], "stale", "unattributed"),
         ([{"expires_at": T0}], [], [], "stale", "unattributed"), ([{}], [], [("acme", "reject"), ("acme", "select")], "resolved", "local_override"),
         ([{"assertion_type": "address_label", "candidate_label": "L", "provider_tag_id": "t"}], [], [], "unattributed", "unattributed"),
     ],
@@ -167,8 +198,17 @@ def test_evidence_import(spark):
 
 def test_replay_changes_nothing(spark):
     base = {f.name: None for f in REPLAY_EVENT} | {"output_address": "a", "semantic_decision": "internal_candidate"}
-    events = spark.createDataFrame([tuple((base | {"event_id": str(i), "replay_weight": w, "input_addresses": ins}).values()) for i, (w, ins) in enumerate([(3, ["b", "b", "c"]), (0, []), (None, [None, "b"])])], REPLAY_EVENT)
-    snap = spark.createDataFrame([(x, "entity_control", "resolved", "lookup_usable", "provider_default", " Acme") for x in "ab"], "address string, assertion_type string, identity_state string, operational_tier string, resolution_policy string, primary_entity_display string")
+    events = spark.createDataFrame(
+        [
+            tuple((base | {"event_id": str(i), "replay_weight": w, "input_addresses": ins}).values()) for i,
+            (w, ins) in enumerate([(3, ["b", "b", "c"]), (0, []), (None, [None, "b"])])
+        ],
+        REPLAY_EVENT
+    )
+    snap = spark.createDataFrame(
+        [(x, "entity_control", "resolved", "lookup_usable", "provider_default", " Acme") for x in "ab"],
+        "address string, assertion_type string, identity_state string, operational_tier string, resolution_policy string, primary_entity_display string"
+    )
     assert Y.changed_fields(events, Y.enriched(events, snap)).first()[0] == 0
     r = Y.replay_impact(events, snap).first()
     assert (r.events, r.found, r.internal_candidate_provider_default_events) == (5, 5, 5)
@@ -177,14 +217,20 @@ def test_replay_changes_nothing(spark):
 
 
 def test_streams(spark, tmp_path):
-    rows = spark.createDataFrame([(hashlib.sha256(str(i % 4).encode()).hexdigest(), T0 + datetime.timedelta(seconds=i)) for i in range(10)], "evidence_fingerprint string, observed_at timestamp")
+    rows = spark.createDataFrame(
+        [(hashlib.sha256(str(i % 4).encode()).hexdigest(), T0 + datetime.timedelta(seconds=i)) for i in range(10)],
+        "evidence_fingerprint string, observed_at timestamp"
+    )
     rows.write.parquet(str(tmp_path / "in"))
     stream = ingest.new_evidence(spark.readStream.schema(rows.schema).parquet(str(tmp_path / "in")))
     q = stream.writeStream.format("memory").queryName("fresh").option("checkpointLocation", str(tmp_path / "cp")).start()
     q.processAllAvailable()
     q.stop()
     assert spark.table("fresh").count() == 4
-    sized = rows.select(F.col("observed_at").alias("reserved_at"), F.lit(None).cast("long").alias("actual_bytes"), F.lit(5).cast("long").alias("estimated_bytes"))
+    sized = rows.select(
+        F.col("observed_at").alias("reserved_at"), F.lit(None).cast("long").alias("actual_bytes"),
+        F.lit(5).cast("long").alias("estimated_bytes")
+    )
     assert ingest.admission_counts(sized).first().bytes == 50
 
 

@@ -40,23 +40,32 @@ def transactions(spark, *rows):
         return [tuple(Decimal(v) if i == at and v is not None else v for i, v in enumerate(x)) for x in side]
 
     made = [(h, b, n, t, dec(i, 6), dec(o, 4)) for h, b, n, t, i, o in rows]
-    schema = "hash string, block_hash string, block_number bigint, t string, " + ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in TRANSACTIONS if f.name in ("inputs", "outputs"))
+    schema = "hash string, block_hash string, block_number bigint, t string, " + ", ".join(
+        f"{f.name} {f.dataType.simpleString()}" for f in TRANSACTIONS if f.name in ("inputs", "outputs")
+    )
     df = spark.createDataFrame(made, schema)
     return df.withColumn("block_timestamp", F.col("t").cast("timestamp")).withColumn("block_timestamp_month", F.trunc("block_timestamp", "MM")).drop("t")
 
 
 def test_flatten_keeps_all_items_and_drops_none(spark):
-    tx = transactions(spark, ("x", "b", 1, "2019-12-01", [spend("a", 5)], [out(["a", "b"], 1), out([], 2), out("c", None)]), ("y", "b", 2, "2020-02-01", [], [out("c", 1)]))
+    tx = transactions(
+        spark, ("x", "b", 1, "2019-12-01", [spend("a", 5)], [out(["a", "b"], 1), out([], 2), out("c", None)]),
+        ("y", "b", 2, "2020-02-01", [], [out("c", 1)])
+    )
     io = X.flatten_io(X.at_cutoff(tx, 10, CUT), True)
     assert io.count() == 4
     assert [r.normalized_address for r in X.single_address(io).orderBy("row_kind").collect()] == ["a", "c"]
     acc = E.source_accounting(io).first()
-    assert (acc.total_output_rows, acc.total_input_rows, acc.empty_address_rows, acc.multi_address_rows, acc.standard_single_address_rows) == (3, 1, 1, 1, 1)
+    assert (
+        acc.total_output_rows, acc.total_input_rows, acc.empty_address_rows, acc.multi_address_rows,
+        acc.standard_single_address_rows
+    ) == (3, 1, 1, 1, 1)
 
 
 def test_windows_include_their_edge_and_not_a_microsecond_more(spark):
     tx = transactions(
-        spark, ("x", "b", 1, "2019-10-03 00:00:00", [], [out("a", 7)]), ("y", "b", 1, "2019-10-02 23:59:59.999999", [], [out("a", 5)]), ("z", "b", 1, "2019-01-01 00:00:00", [], [out("a", 3)]),
+        spark, ("x", "b", 1, "2019-10-03 00:00:00", [], [out("a", 7)]), ("y", "b", 1, "2019-10-02 23:59:59.999999", [], [out("a", 5)]),
+        ("z", "b", 1, "2019-01-01 00:00:00", [], [out("a", 3)]),
     )
     r = E.address_economics(X.flatten_io(tx), CUT).first()
     assert (r.gross_flow_90d_sats, r.lifetime_received_sats, r.active_tx_90d_count, r.active_tx_365d_count) == (7, 15, 1, 3)
@@ -80,7 +89,10 @@ def test_zero_outputs_and_input_only_addresses(spark):
 
 
 def test_co_receivers_count_receivers_only(spark):
-    tx = transactions(spark, ("x", "b", 1, "2019-12-01", [spend("s", 900 * BTC)], [out("a", 60 * BTC), out("a", 50 * BTC), out("b", 200 * BTC), out("c", 99 * BTC)]))
+    tx = transactions(
+        spark,
+        ("x", "b", 1, "2019-12-01", [spend("s", 900 * BTC)], [out("a", 60 * BTC), out("a", 50 * BTC), out("b", 200 * BTC), out("c", 99 * BTC)])
+    )
     assert {tuple(r) for r in E.large_counterparties(X.flatten_io(tx)).collect()} == {("a", 1), ("b", 1)}
 
 
@@ -111,23 +123,39 @@ def test_hashes(spark):
 def test_text(spark):
     df = spark.createDataFrame([("a:b:c", " Big \t Name "), ("none", "x")], "s string, t string")
     assert [tuple(r) for r in df.select(stratum(F.col("s")), collapsed(F.col("t"))).collect()] == [("c", "big name"), ("unspecified", "x")]
-    times = spark.createDataFrame([("2024-01-01T00:00:00Z",), ("2024-01-01T00:00:00",)], "t string").select(parsed_utc(F.col("t")).alias("p")).collect()
+    times = spark.createDataFrame(
+        [("2024-01-01T00:00:00Z",), ("2024-01-01T00:00:00",)], "t string"
+    ).select(parsed_utc(F.col("t")).alias("p")).collect()
     assert times[0].p is not None and times[1].p is None
 
 
 def feature(spark, **values):
-    base = {"address_id": "00", "current_utxo_sats": 0, "max_same_tx_received_sats": 0, "gross_flow_90d_sats": 0, "lifetime_received_sats": 0, "direct_large_counterparty_count": 0}
+    base = {
+        "address_id": "00", "current_utxo_sats": 0, "max_same_tx_received_sats": 0, "gross_flow_90d_sats": 0,
+        "lifetime_received_sats": 0, "direct_large_counterparty_count": 0
+    }
     row = base | values
-    df = spark.range(1).select(*[F.lit(v).alias(k) if k == "address_id" else F.lit(v).cast("bigint").alias(k) for k, v in row.items() if k not in ("days", "cal")])
-    return df.withColumns({"last_seen_time": F.lit(CUT).cast("timestamp") - F.make_dt_interval(F.lit(row.get("days", 1000))), "calibration_reasons": F.array(*map(F.lit, row.get("cal", ()))).cast("array<string>")})
+    df = spark.range(1).select(
+        *[F.lit(v).alias(k) if k == "address_id" else F.lit(v).cast("bigint").alias(k) for k, v in row.items() if k not in ("days", "cal")]
+    )
+    return df.withColumns(
+        {
+            "last_seen_time": F.lit(CUT).cast("timestamp") - F.make_dt_interval(F.lit(row.get("days", 1000))),
+            "calibration_reasons": F.array(*map(F.lit, row.get("cal", ()))).cast("array<string>")
+        }
+    )
 
 
 @pytest.mark.parametrize(
     ("values", "kind", "score"),
     [
-        ({"current_utxo_sats": 100 * BTC}, "P0", 20), ({"current_utxo_sats": 100 * BTC - 1}, "NONE", 12), ({"max_same_tx_received_sats": 499 * BTC, "current_utxo_sats": 10 * BTC, "days": 365}, "P1", 25),
+        ({"current_utxo_sats": 100 * BTC}, "P0", 20), ({"current_utxo_sats": 100 * BTC - 1}, "NONE", 12), (
+            {"max_same_tx_received_sats": 499 * BTC, "current_utxo_sats": 10 * BTC, "days": 365}, "P1", 25
+        ),
         ({"gross_flow_90d_sats": 10 * BTC, "days": 30}, "NONE", 13), ({"days": 31}, "NONE", 7), ({"cal": ["existing_provider_conflict"]}, "P0", 0),
-        ({"cal": ["provider_entity_prediction", "existing_system_watchlist"]}, "P1", 25), ({"direct_large_counterparty_count": 1}, "NONE", 10), ({"lifetime_received_sats": 10_000 * BTC, "days": 366}, "NONE", 0),
+        (
+            {"cal": ["provider_entity_prediction", "existing_system_watchlist"]}, "P1", 25
+        ), ({"direct_large_counterparty_count": 1}, "NONE", 10), ({"lifetime_received_sats": 10_000 * BTC, "days": 366}, "NONE", 0),
     ],
 )
 def test_importance(spark, values, kind, score):
@@ -138,7 +166,10 @@ def test_importance(spark, values, kind, score):
 def test_quotas_are_whole(spark):
     for slots in (0, 1, 7, 99, 100, 12_000):
         assert sum(W.quotas(slots).values()) == slots
-    assert W.quotas(10) == {"current_capital": 3, "historical_large_receipt": 3, "high_turnover": 2, "dormant_holder": 1, "high_value_connector": 1, "calibration_control": 0}
+    assert W.quotas(10) == {
+        "current_capital": 3, "historical_large_receipt": 3, "high_turnover": 2, "dormant_holder": 1, "high_value_connector": 1,
+        "calibration_control": 0
+    }
 
 
 WAVE = (
@@ -190,7 +221,10 @@ def test_first_wave(spark, seed):
 
 
 def test_first_wave_anchors_and_capacity(spark):
-    rows = [("a" * 64, "P0", 5, 7, 0, 0, 0, ["utxo_ge_100_btc"], ["current_capital"]), ("b" * 64, "P1", 30, 1, 1, 1, 1, ["x", "y"], ["current_capital", "high_turnover"])]
+    rows = [
+        ("a" * 64, "P0", 5, 7, 0, 0, 0, ["utxo_ge_100_btc"], ["current_capital"]),
+        ("b" * 64, "P1", 30, 1, 1, 1, 1, ["x", "y"], ["current_capital", "high_turnover"])
+    ]
     anchors = spark.createDataFrame([("n1", ["existing_provider_conflict"]), ("n2", [])], "address string, calibration_reasons array<string>")
     best = W.best_p0(spark.createDataFrame(rows, WAVE), 9, anchors).collect()
     assert [r.p0_place for r in best] == [0, 2, 6] and best[1].address_id == "a" * 64
@@ -205,7 +239,10 @@ def test_first_wave_anchors_and_capacity(spark):
 
 
 def test_candidate_violations(spark):
-    row = dict(normalized_address="a", strict_is_p0=False, strict_is_p1=False, strict_is_edge=True, strict_is_coarse=True, v2_chain_score=16, strict_p0_mask=0, receipt_support_mask=0, **{c: 5 for c in C.SATS}, **{c: 1 for c in C.COUNTS})
+    row = dict(
+        normalized_address="a", strict_is_p0=False, strict_is_p1=False, strict_is_edge=True, strict_is_coarse=True,
+        v2_chain_score=16, strict_p0_mask=0, receipt_support_mask=0, **{c: 5 for c in C.SATS}, **{c: 1 for c in C.COUNTS}
+    )
     df = spark.createDataFrame([row]).withColumn("last_seen_time", F.lit(CUT).cast("timestamp"))
     good = C.strict_candidates(df)
     assert good.first().candidate_tier == "edge" and C.violations(good).count() == 0
@@ -222,7 +259,9 @@ def test_coverage_precedence(spark):
     got = {r.normalized_address: r.coverage_state for r in V.coverage_state(cand, *sets).collect()}
     for n in names:
         direct, member, evidence, conflict, explicit = (c == "1" for c in n)
-        assert got[n] == ("direct_enriched" if direct else "needs_direct_enrichment" if conflict or explicit else "entity_membership_covered" if member else "local_evidence_covered" if evidence else "needs_direct_enrichment")
+        assert got[n] == (
+            "direct_enriched" if direct else "needs_direct_enrichment" if conflict or explicit else "entity_membership_covered" if member else "local_evidence_covered" if evidence else "needs_direct_enrichment"
+        )
 
 
 @pytest.mark.parametrize("parts", [2, 8, 200])
@@ -230,7 +269,9 @@ def test_ranks_of_wide_rows(spark, parts):
     before = spark.conf.get("spark.sql.shuffle.partitions")
     spark.conf.set("spark.sql.shuffle.partitions", parts)
     try:
-        df = spark.range(50_000, numPartitions=7).select("id", (F.col("id") * 7_919 % 50_021).alias("v"), F.sha2(F.col("id").cast("string").cast("binary"), 256).alias("more"))
+        df = spark.range(50_000, numPartitions=7).select(
+            "id", (F.col("id") * 7_919 % 50_021).alias("v"), F.sha2(F.col("id").cast("string").cast("binary"), 256).alias("more")
+        )
         rows = K.ranked(df, F.desc("v"), F.asc("id")).collect()
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
@@ -239,7 +280,10 @@ def test_ranks_of_wide_rows(spark, parts):
 
 
 def test_one_address_in_half_the_rows(spark):
-    tx = transactions(spark, *[(f"t{i}", f"b{i % 5}", i, "2019-12-01", [], [out("hot", 10 ** 10 + i), out(f"a{i}", 10 ** 10 * (i % 3))]) for i in range(300)])
+    tx = transactions(
+        spark,
+        *[(f"t{i}", f"b{i % 5}", i, "2019-12-01", [], [out("hot", 10 ** 10 + i), out(f"a{i}", 10 ** 10 * (i % 3))]) for i in range(300)]
+    )
     got = {r.normalized_address: r for r in E.address_economics(X.flatten_io(tx), CUT).collect()}
     assert got["hot"].lifetime_received_sats == sum(10 ** 10 + i for i in range(300)) and got["hot"].active_tx_90d_count == 300
     plan = E.address_economics(X.flatten_io(tx), CUT)._jdf.queryExecution().optimizedPlan().toString()
@@ -272,7 +316,10 @@ def test_census_mutations_are_caught(spark):
     row1 = N.census_v1(io, e1, P.chain_policy_v1(e1, CUT)).persist()
     row2 = N.census_v2(io, e2, P.variants_v2(e2, CUT)).persist()
     assert R.reconcile_v1(row1).first().blocked_codes == [] and R.reconcile_v2(row2).first().blocked_codes == []
-    for name, code in (("chain_p0_union_count", "p0_union"), ("utxo_ge_10_btc_count", "utxo_ladder"), ("excluded_source_address_count", "coarse_partition")):
+    for name, code in (
+        ("chain_p0_union_count", "p0_union"), ("utxo_ge_10_btc_count", "utxo_ladder"),
+        ("excluded_source_address_count", "coarse_partition")
+    ):
         assert code in R.reconcile_v1(row1.withColumn(name, F.lit(10**6).cast("bigint"))).first().blocked_codes
     assert "hard_stop_p0" in R.reconcile_v2(row2.withColumn("strict_p0_union_count", F.lit(2 * 10**6).cast("bigint"))).first().blocked_codes
 
