@@ -90,7 +90,7 @@ class WordEncoder(dict):
     comes back; the one before goes.
     """
 
-    MOST = 300_000
+    MOST = 400_000
 
     def __init__(self, path: str):
         import regex
@@ -129,7 +129,13 @@ class WordEncoder(dict):
                 out = self[word] = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
                 return out
             text = text.lower()
-        out = self[word] = b"".join(map(self.unit, self.cut(text)))
+        if text.isalpha():  # one unit; and two, as most others are
+            out = self.unit(text)
+        elif text[-1] in ".,;:!?" and text[:-1].isalpha():
+            out = self.unit(text[:-1]) + self.unit(text[-1])
+        else:
+            out = b"".join(map(self.unit, self.cut(text)))
+        self[word] = out
         return out
 
     def clear(self) -> None:
