@@ -90,7 +90,7 @@ class WordEncoder(dict):
     comes back; the one before goes.
     """
 
-    MOST = 400_000
+    MOST = 250_000
 
     def __init__(self, path: str):
         import regex
