@@ -84,10 +84,10 @@ def panel_by_stratum(rows: DataFrame) -> DataFrame:
     return rows.groupBy("stratum", "outcome").agg(*_counts())
 
 
-def calibration_seeds(evidence: DataFrame, tiers: tuple[str, ...], group: str, prefix: str, requests: DataFrame, limit: int) -> DataFrame:
-    """Addresses with official evidence that have no calibration request yet, by address."""
+def calibration_seeds(evidence: DataFrame, tiers: tuple[str, ...], group: str, prefix: str, requests: DataFrame) -> DataFrame:
+    """All addresses with official evidence that have no calibration request yet, by address."""
     own = evidence.where(
         F.col("source_authority").isin("official", "regulator") & F.col("evidence_tier").isin(*tiers) & (F.col("independence_group") == group)
     ).select("address").distinct()
     asked = requests.where(F.startswith(F.col("source_reference"), F.lit(prefix))).select("address").distinct()
-    return own.join(asked, "address", "left_anti").orderBy("address").limit(limit).withColumn("source_reference", F.concat(F.lit(prefix), F.lit(group)))
+    return own.join(asked, "address", "left_anti").orderBy("address").withColumn("source_reference", F.concat(F.lit(prefix), F.lit(group)))

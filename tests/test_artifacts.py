@@ -1,7 +1,9 @@
 """What artifacts, checks and plans refuse."""
 
+import datetime
 import hashlib
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -12,6 +14,7 @@ from lodestrata.operators import fanout as O
 from lodestrata.operators import materialize as M
 from lodestrata.operators import ranking as K
 from lodestrata.operators import resolver as S
+from lodestrata.plans.registry import ORACLE_SQL, QUERIES
 from lodestrata.sources import checks as H
 from lodestrata.sources import sinks as Z
 from lodestrata.sources.store import Store, content_digest
@@ -158,3 +161,16 @@ def test_one_shot_run_that_fails(spark, tmp_path):
     assert run.status() == {"status": "failed", "error": "ZeroDivisionError"}
     with pytest.raises(FileExistsError):
         Z.once(run, {}, dict)
+
+
+def test_calibration_seeds_are_all_there(spark, tmp_path):
+    day = datetime.datetime(2024, 1, 2)
+    events = [(3 * i, day, i // 2, "view" if i % 9 == 0 else "purchase", 1.0) for i in range(3000)]
+    spark.createDataFrame(events, "event_id long, ts timestamp_ntz, user_id long, event_type string, value double").selectExpr(
+        "*", "'{}' as props"
+    ).write.parquet(f"{tmp_path}/events.parquet")
+    con = duckdb.connect()
+    con.execute(f"create view events as select * from read_parquet('{tmp_path}/events.parquet/*.parquet')")
+    wanted = con.execute(ORACLE_SQL["calibration_seeds"]).fetchall()
+    got = [tuple(r) for r in QUERIES["calibration_seeds"](spark, str(tmp_path)).collect()]
+    assert len(got) > 1000 and sorted(got) == sorted(wanted)
