@@ -36,6 +36,8 @@ from .simhash import links as covering_links
 BANDS, ROWS, RADIUS = 40, 5, 3
 #: a task's nodes and shingles, twice over: it gets two blocks at most
 NODES, SHINGLES = 4_000, 2_000_000
+#: as many edges are grouped by one task; more take steps over tables
+EDGES = 2_000_000
 _KEPT = np.uint64((1 << 48) - 1)
 _RNG = np.random.default_rng(8)
 _TIMES = _RNG.integers(0, 1 << 31, (BANDS * ROWS, 1), dtype=np.uint32) * np.uint32(2) + np.uint32(1)
@@ -127,15 +129,16 @@ def _chained(rows: DataFrame, key: str) -> DataFrame:
     return rows.select(F.col("_fp").alias("_a"), F.lead("_fp").over(w).alias("_b")).where("_b is not null")
 
 
-def candidates(nodes: DataFrame, radius: int) -> DataFrame:
-    """Pairs (_a, _b) of nodes that connect all that share a key or have near fingerprints."""
-    by_key = _chained(nodes.select("_fp", F.explode("_keys").alias("_k")), "_k")
-    by_sim = _chained(nodes.where("_n > 0").select("_fp", "_sim"), "_sim")
-    lead = nodes.where("_n > 0").groupBy("_sim").agg(F.min("_fp").alias("_fp"))
-    near = covering_links(lead.select(F.col("_sim").alias("_fp")), radius)
+def candidates(marks: DataFrame, nodes: DataFrame, radius: int) -> DataFrame:
+    """Pairs (_a, _b) of nodes that connect all that share a key or have near fingerprints. Each kind is a table: one plan of all takes much of a driver."""
+    keyed = marks.groupBy("_fp").agg(F.first("_keys").alias("_keys")).select("_fp", F.explode("_keys").alias("_k"))
+    by_key = written(_chained(keyed, "_k").distinct(), "pairs")
+    by_sim = written(_chained(nodes.where("_n > 0").select("_fp", "_sim"), "_sim"), "pairs")
+    lead = written(nodes.where("_n > 0").groupBy("_sim").agg(F.min("_fp").alias("_fp")), "leads")
+    near = written(covering_links(lead.select(F.col("_sim").alias("_fp")), radius), "near")
     one, other = (lead.select(F.col("_sim").alias(f"_s{k}"), F.col("_fp").alias(f"_{k}")) for k in "ab")
     near = near.withColumnsRenamed({"_a": "_sa", "_b": "_sb"}).join(one, "_sa").join(other, "_sb").select("_a", "_b")
-    return by_key.union(by_sim).union(near).distinct()
+    return by_key.union(by_sim).union(near)
 
 
 def forest(fps: np.ndarray, found: list[np.ndarray], similarity: float, half: np.ndarray | None = None) -> list[tuple[int, int]]:
@@ -178,14 +181,15 @@ def forest(fps: np.ndarray, found: list[np.ndarray], similarity: float, half: np
 
 def links(marks: DataFrame, similarity: float, radius: int = RADIUS) -> DataFrame:
     """Links (_a, _b) between distinct sets that join all of at least this similarity, directly or by others."""
-    nodes = marks.groupBy("_fp").agg(F.first("_n").alias("_n"), F.first("_sim").alias("_sim"), F.first("_keys").alias("_keys"))
-    groups = components(candidates(nodes, radius))
-    sized = groups.join(nodes.select(F.col("_fp").alias("_node"), "_n"), "_node")
+    nodes = written(marks.groupBy("_fp").agg(F.first("_n").alias("_n"), F.first("_sim").alias("_sim")), "nodes")
+    groups = components(candidates(marks, nodes, radius), EDGES)
+    sized = written(groups.join(nodes.select(F.col("_fp").alias("_node"), "_n"), "_node"), "sized")
     sizes = sized.groupBy("_root").agg(F.count("*").alias("_many"), F.sum("_n").alias("_all"))
     cut = F.greatest(F.ceil(F.col("_many") / NODES), F.ceil(F.col("_all") / SHINGLES)).cast("int")
     # one block: a task of its own; else every pair of blocks of half that size is one
     blocks = sizes.select("_root", F.when(cut > 1, 2 * cut).otherwise(1).alias("_cut"))
     member = sized.join(blocks, "_root").withColumn("_block", F.pmod(F.xxhash64("_node"), F.col("_cut")).cast("int"))
+    member = written(member, "members")
     one = marks.select("_fp", "_set").join(member.select(F.col("_node").alias("_fp")), "_fp", "left_semi").groupBy("_fp").agg(F.first("_set").alias("_set"))
     shipped = member.join(one, F.col("_node") == F.col("_fp")).select(
         "_root", "_fp", "_set", "_block", F.explode(F.sequence(F.lit(0), F.col("_cut") - 1)).alias("_other")
@@ -210,7 +214,7 @@ def resemblance_dedup(docs: DataFrame, similarity: float = 0.8, words: int = 5,
     Rows that repeat an id stay or go together; rows without an id stay.
     """
     marks = written(sets(docs, id_col, text_col, words), "shingles")
-    groups = grouped(marks, lambda nodes: links(marks, similarity)).where(F.col("_id").isNotNull())
+    groups = grouped(marks, lambda nodes: links(marks, similarity), EDGES).where(F.col("_id").isNotNull())
     lost = written(groups.groupBy("_id").agg(F.max(F.col("_id") == F.col("_component")).alias("_led")).where("not _led").select("_id"), "lost")
     dropped(marks)
     return docs.join(lost, docs[id_col] == lost["_id"], "left_anti")

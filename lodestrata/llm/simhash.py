@@ -166,9 +166,38 @@ def _forests(lists: DataFrame, radius: int) -> DataFrame:
     return lists.select("_m", "_fps").mapInArrow(tidy(rows), "_a long, _b long")
 
 
-def components(edges: DataFrame) -> DataFrame:
-    """_node and _root, the smallest node that it reaches, for each node with an edge (_a, _b longs)."""
+def rooted(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All ends of edges, and the smallest that each reaches: roots go to smaller roots until no edge joins two, so their number halves at least each time."""
+    nodes, at = np.unique(np.concatenate((a, b)), return_inverse=True)
+    a, b, up = at[: len(a)], at[len(a) :], np.arange(len(nodes))
+    while (up[a] != up[b]).any():
+        x, y = up[a], up[b]
+        np.minimum.at(up, np.maximum(x, y), np.minimum(x, y))
+        while (up != (above := up[up])).any():
+            up = above
+    return nodes, nodes[up]
+
+
+def _rooted_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    parts = [[c.to_numpy() for c in b.columns] for b in batches]
+    if parts:
+        nodes, roots = rooted(*(np.concatenate(x) for x in zip(*parts, strict=True)))
+        for k in range(0, len(nodes), 100_000):
+            yield pa.RecordBatch.from_arrays([pa.array(nodes[k : k + 100_000]), pa.array(roots[k : k + 100_000])], ["_node", "_root"])
+
+
+def components(edges: DataFrame, few: int = 0) -> DataFrame:
+    """_node and _root, the smallest node that it reaches, for each node with an edge (_a, _b longs).
+
+    At most few edges are counted first and go to one task, which spares the
+    driver the plans of all steps; more take the steps.
+    """
     now = written(edges.select(F.greatest("_a", "_b").alias("_u"), F.least("_a", "_b").alias("_v")).where("_u > _v").distinct(), "edges")
+    if few and now.limit(few + 1).count() <= few:
+        ship(now.sparkSession)
+        found = written(now.coalesce(1).mapInArrow(tidy(_rooted_rows), "_node long, _root long"), "roots")
+        dropped(now)
+        return found
     seen = None
     while True:
         # large star: each larger neighbour of a node goes to the smallest of its neighbours and itself
@@ -196,7 +225,7 @@ def simhash_components(docs: DataFrame, radius: int = 3, shingle: int = 3, id_co
     return grouped(marks, lambda nodes: links(nodes.select("_fp"), radius)).select("_id", "_fp", "_component")
 
 
-def grouped(marks: DataFrame, linked: Callable[[DataFrame], DataFrame]) -> DataFrame:
+def grouped(marks: DataFrame, linked: Callable[[DataFrame], DataFrame], few: int = 0) -> DataFrame:
     """marks (_id, _fp) with _component: the smallest id that linked's links between distinct _fp reach.
 
     Copies share an _fp, so rows are grouped and joined by (_fp, _salt), a part of
@@ -205,7 +234,7 @@ def grouped(marks: DataFrame, linked: Callable[[DataFrame], DataFrame]) -> DataF
     salted = marks.select("_id", "_fp", F.pmod(F.xxhash64("_id"), F.lit(SALTS)).cast("int").alias("_salt"))
     parts = salted.groupBy("_fp", "_salt").agg(F.min("_id").alias("_first"))
     nodes = parts.groupBy("_fp").agg(F.min("_first").alias("_first"))
-    roots = components(linked(nodes))
+    roots = components(linked(nodes), few)
     led = nodes.join(roots, nodes["_fp"] == roots["_node"], "left").select("_fp", "_first", F.coalesce("_root", "_fp").alias("_root"))
     names = led.groupBy("_root").agg(F.min("_first").alias("_component"))
     spread = parts.select("_fp", "_salt").join(led.join(names, "_root").select("_fp", "_component"), "_fp")

@@ -77,3 +77,32 @@ def test_likeness_where_every_sketch_fails(spark, monkeypatch):
     texts = ["\n".join(f"{i} " + "x" * 20 for i in range(k, k + 80)) for k in (0, 40)]
     rows = G.document_fingerprints(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
     assert all(0 < r._near_edited < 1 and r._near_next == pytest.approx(40 / 120) for r in rows)
+
+
+def test_components_in_one_task_are_those_of_the_steps(spark):
+    import random
+
+    from lodestrata.llm.simhash import components
+
+    rng = random.Random(3)
+    chain = [(k * 7 - 5000, k * 7 - 4993) for k in range(400)]
+    edges = chain + [(rng.randrange(-(2**63), 2**63), rng.randrange(10_000, 10_300)) for _ in range(300)] + [(10**6 + k, 10**6) for k in range(200)] + [(5, 5)]
+    df = spark.createDataFrame(edges, "_a long, _b long").repartition(5)
+    steps, one = ({(r._node, r._root) for r in components(df, few).collect()} for few in (0, 1000))
+    assert one == steps and len(one) == components(df, 1000).count() and components(df.limit(0), 1000).count() == 0
+    assert {r for n, r in one if n < -2000} >= {-5000}
+    assert {(r._node, r._root) for r in components(df, 899).collect()} == steps  # one edge too many
+
+
+def test_near_duplicates_are_found_by_small_plans(spark):
+    """What the driver plans and starts at once takes its memory."""
+    import corpus_pipeline as C
+
+    texts = [" ".join(f"w{k * (i // 3)}" for k in range(40)) for i in range(30)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    store = spark._jsparkSession.sharedState().statusStore()
+    before = store.executionsCount()
+    assert C.near_duplicates(spark, docs, "").count() == 10
+    plans = store.executionsList(before, 1000)
+    sizes = [plans.apply(k).physicalPlanDescription().split("\n\n")[0].count("Exchange") for k in range(plans.size())]
+    assert sizes and sum(sizes) <= 80, (sum(sizes), len(sizes))  # one plan of all candidates and steps over tables: 121
